@@ -55,7 +55,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError("every chunk identifier has collisions")
     text = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("text"))
     recipes = written(text.select("id", F.sha2("text", 256).alias("text_sha256"), F.transform(chunks(F.col("text")), lambda c: identify(c)).alias("recipe")), "recipes")
-    groups = recipes.groupBy("recipe").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
+    # written, so that the join deals both sides anew and can split a group of very many copies
+    groups = written(recipes.groupBy("recipe").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
     return recipes.join(groups, "recipe").select(
         F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
