@@ -4,7 +4,8 @@ A source whose target is r times its size takes each document floor(r) times and
 r - floor(r). Which documents those are is balanced sampling: probabilities move along the null space of the balance
 constraints (words, documents) until they are 0 or 1. Three undecided documents and two constraints always leave one
 direction, so a block is worked through until at most two are undecided. Blocks are hash ranges of a source and their
-leftovers meet in fewer blocks, round by round, until two documents of a source remain, which land by a draw.
+leftovers meet in fewer blocks, round by round. In a source's last block a short ladder of sizes is left out of the
+flight; it and the last two open documents are the landing problem.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 BLOCK = 4096
+#: Documents of a source that wait for its landing, and draws tried there.
+LADDER, DRAWS = 16, 8
 _EPS = 1e-9
 
 
@@ -81,10 +84,18 @@ def _fly(frame: pd.DataFrame, last: bool = False) -> pd.DataFrame:
     """One block, long documents first so that short ones stay open; last lands those that do."""
     frame = frame.sort_values(["size", "order", "row"], ascending=[False, True, True], ignore_index=True)
     seed = f"{frame['source'].iloc[0]}:{frame['order'].iloc[0]}:{len(frame)}"
-    chances = flight(frame["size"].tolist(), frame["chance"].tolist(), seed)
-    if last:
-        chances = _land(frame["size"].tolist(), chances, seed)
-    return frame.assign(chance=chances)
+    sizes, chances = frame["size"].tolist(), frame["chance"].tolist()
+    if not last:
+        return frame.assign(chance=flight(sizes, chances, seed))
+    # a ladder of sizes waits for the landing, so that what remains there can meet the words closely
+    open_ = [k for k, p in enumerate(chances) if _EPS < p < 1 - _EPS]
+    ladder = sorted({open_[(len(open_) - 1) * i // (LADDER - 1)] for i in range(LADDER)}) if open_ else []
+    held = set(ladder)
+    rest = [k for k in range(len(sizes)) if k not in held]
+    moved = flight([sizes[k] for k in rest], [chances[k] for k in rest], seed)
+    for k, p in zip(rest, moved, strict=True):
+        chances[k] = p
+    return frame.assign(chance=land(sizes, chances, seed))
 
 
 def _fly_only(frame: pd.DataFrame) -> pd.DataFrame:
@@ -95,20 +106,39 @@ def _fly_and_land(frame: pd.DataFrame) -> pd.DataFrame:
     return _fly(frame, last=True)
 
 
-def _land(sizes: list[float], chances: list[float], seed: str) -> list[float]:
-    """The landing phase over the at most two that are open: a draw of the outcome nearest to both sums."""
-    open_ = [k for k, p in enumerate(chances) if 0 < p < 1]
-    if not open_:
-        return chances
+def land(sizes: list[float], chances: list[float], seed: str) -> list[float]:
+    """The landing phase over what is still open, at most the ladder and two more.
+
+    From each of a few draws by the chances, single flips and then swaps bring the words nearest to their balance; the
+    draw that ends nearest, in words and then in documents, lands.
+    """
+    out = [float(round(p)) for p in chances]
+    open_ = [k for k, p in enumerate(chances) if _EPS < p < 1 - _EPS]
     words = sum(sizes[k] * chances[k] for k in open_)
     count = sum(chances[k] for k in open_)
-    outcomes = [[(code >> j) & 1 for j in range(len(open_))] for code in range(1 << len(open_))]
-    miss = [(abs(sum(sizes[k] * z for k, z in zip(open_, o, strict=True)) - words), abs(sum(o) - count)) for o in outcomes]
-    best = min(miss)
-    ties = [o for o, m in zip(outcomes, miss, strict=True) if m == best]
-    for k, z in zip(open_, ties[int(_draw(seed) * len(ties))], strict=True):
-        chances[k] = float(z)
-    return chances
+    best: tuple[float, float] | None = None
+    for attempt in range(DRAWS if open_ else 0):
+        z = {k: int(_draw(f"{seed}:{attempt}:{k}") < chances[k]) for k in open_}
+        miss = (abs(sum(sizes[k] * z[k] for k in open_) - words), abs(sum(z.values()) - count))
+        while True:
+            moves = []
+            over = sum(sizes[k] * z[k] for k in open_) - words
+            more = sum(z.values()) - count
+            for i in open_:
+                w, c = over + sizes[i] * (1 - 2 * z[i]), more + 1 - 2 * z[i]
+                moves.append(((abs(w), abs(c)), (i,)))
+                moves += [((abs(w + sizes[j] * (1 - 2 * z[j])), abs(c + 1 - 2 * z[j])), (i, j)) for j in open_ if j > i]
+            step = min(moves)
+            if step[0] >= miss:
+                break
+            miss = step[0]
+            for k in step[1]:
+                z[k] = 1 - z[k]
+        if best is None or miss < best:
+            best = miss
+            for k in open_:
+                out[k] = float(z[k])
+    return out
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:

@@ -122,7 +122,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     linked = components.join(nodes, "fp")
     least = linked.groupBy("component").agg(F.min("node").alias("least"))
     linked = linked.join(least, "component").select("fp", "least")
-    found = nodes.join(linked, "fp", "left").select("fp", F.coalesce("least", "node").alias("component_id"))
+    # written, so that the last join deals both sides anew and can split a fingerprint of very many copies
+    found = written(nodes.join(linked, "fp", "left").select("fp", F.coalesce("least", "node").alias("component_id")), "found")
     return prints.join(found, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
