@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.llm import decontaminate, exact_dedup, language_id, mixing, simhash
+from trackmill.llm import decontaminate, exact_dedup, language_id, lm_score, mixing, secrets, simhash, toxicity
 from trackmill.llm.common import held_out, table
 
 
@@ -33,12 +33,32 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"), 4)))
+    scored = toxicity.score(docs.withColumn("held_out", held_out(F.col("doc_id"), 4)), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id"), 7).alias("held_out"))
+    return lm_score.score_texts(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash": op3_simhash,
     "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_toxicity": op9_toxicity,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLES: dict[str, str] = {
@@ -47,4 +67,5 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY norm)
     """,
+    "op8_secret_scan": secrets.ORACLE_SQL,
 }
