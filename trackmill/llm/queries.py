@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.llm import decontaminate, exact_dedup, language_id, lm_score, mixing, secrets, simhash, toxicity
+from trackmill.llm import decontaminate, exact_dedup, language_id, line_dedup, lm_score, mixing, secrets, simhash, toxicity
 from trackmill.llm.common import held_out, table
 
 
@@ -25,6 +25,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash": op3_simhash,
+    "op4_line_dedup": op4_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
     "op8_secret_scan": op8_secret_scan,
