@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.llm import decontaminate, exact_dedup, language_id, line_dedup, lm_score, mixing, secrets, simhash, toxicity
+from trackmill.llm import decontaminate, exact_dedup, language_id, line_dedup, lm_score, mixing, secrets, simhash, toxicity, url_filter
 from trackmill.llm.common import held_out, table
 
 
@@ -29,6 +29,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.filter_urls(url_filter.page_captures(pages), url_filter.derived_entries(pages))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash": op3_simhash,
     "op4_line_dedup": op4_line_dedup,
+    "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
     "op8_secret_scan": op8_secret_scan,
@@ -72,5 +78,6 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY norm)
     """,
+    "op5_url_filter": url_filter.ORACLE_SQL,
     "op8_secret_scan": secrets.ORACLE_SQL,
 }
