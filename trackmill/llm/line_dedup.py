@@ -15,6 +15,8 @@ from trackmill.llm.common import connected_components, written
 
 #: Edits allowed, and characters from which a line takes part in the edit join; shorter ones are matched exactly.
 MAX_EDITS, LEAST_CHARS = 2, 20
+#: Letters that signatures count.
+LETTERS = "eantirosdhlucmgpbfvw"
 
 
 def _hash(line: Column) -> list[Column]:
@@ -60,6 +62,37 @@ def probes(line: Column, k: int) -> list[Column]:
     return out
 
 
+def _let(value: Column, then) -> Column:
+    """then of value, with value computed once; a bare reuse in a lambda would compute it at every step."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _long(n: int) -> Column:
+    return F.lit(n).cast("long")
+
+
+def _without_shared_ends(a: Column, b: Column, k: int) -> Column:
+    """(a, b) without quarters that they begin or end with alike, which leaves their distance; long ones only."""
+
+    def shared(x: Column, y: Column, end: bool) -> Column:
+        n = F.least(F.length(x), F.length(y))
+        out = F.when(n < 8 * (k + 1), 0)
+        for quarters in (3, 2, 1):
+            size = F.floor(n * quarters / 4).cast("int")
+            same = F.right(x, size) == F.right(y, size) if end else F.left(x, size) == F.left(y, size)
+            out = out.when(same, size)
+        return out.otherwise(0)
+
+    head = shared(a, b, False)
+    cut = F.struct(F.substring(a, head + 1, F.length(a)).alias("a"), F.substring(b, head + 1, F.length(b)).alias("b"))
+
+    def tail(pair: Column) -> Column:
+        size = shared(pair["a"], pair["b"], True)
+        return F.struct(F.left(pair["a"], F.length(pair["a"]) - size).alias("a"), F.left(pair["b"], F.length(pair["b"]) - size).alias("b"))
+
+    return _let(cut, tail)
+
+
 def edit_distance_within(a: Column, b: Column, k: int) -> Column:
     """Edit distance of two strings whose lengths differ by at most k, as far as k; greater ones are just above k.
 
@@ -67,62 +100,83 @@ def edit_distance_within(a: Column, b: Column, k: int) -> Column:
     to j + k of a. The value at the band's lower edge is followed down to the last row of a and then along it. Needs
     more than k characters in a.
     """
+    letters = lambda p: F.struct(F.split(p["a"], "").alias("x"), F.split(p["b"], "").alias("y"), F.length(p["a"]).alias("rows"), F.length(p["b"]).alias("columns"))
+    return _let(_without_shared_ends(a, b, k), lambda p: _let(letters(p), lambda s: _banded(s["x"], s["y"], s["rows"], s["columns"], k)))
+
+
+def _banded(x: Column, y: Column, rows: Column, columns: Column, k: int) -> Column:
     width = 2 * k + 1
     full = (1 << width) - 1
-    x, y = F.split(a, ""), F.split(b, "")
-    rows, columns = F.length(a), F.length(b)
-    bits = lambda c: c.bitwiseAND(F.lit(full).cast("long"))
-    flip = lambda c: F.bitwise_not(c)
-
-    def matches(j: Column) -> Column:
-        letter = F.get(y, j)
-        out = F.lit(0).cast("long")
+
+    def matches(j: Column, letter: Column) -> Column:
+        out = _long(0)
         for r in range(width):
-            out = out.bitwiseOR(F.when(F.get(x, j - k + r) == letter, F.lit(1 << r).cast("long")).otherwise(F.lit(0).cast("long")))
+            out = out.bitwiseOR(F.when(F.get(x, j - k + r) == letter, _long(1 << r)).otherwise(_long(0)))
         return out
 
-    def given(state: Column, m: Column, d: Column, hp: Column, j: Column) -> Column:
-        hn = d.bitwiseAND(state["vp"])
-        down = F.shiftright(d, 1)
-        last = rows - k  # from this step on the edge is a's last row
-        bit = F.lit(width - 2) - (j - last)
-        along = F.when(F.bit_get(hp, F.greatest(bit, F.lit(0))) == 1, 1).otherwise(0) - F.when(F.bit_get(hn, F.greatest(bit, F.lit(0))) == 1, 1).otherwise(0)
-        step = F.when(j < last, F.when(d.bitwiseAND(F.lit(1 << (width - 1)).cast("long")) == 0, 1).otherwise(0)).otherwise(along)
-        return F.struct(
-            bits(hn.bitwiseOR(flip(down.bitwiseOR(hp)))).alias("vp"), bits(down.bitwiseAND(hp)).alias("vn"), (state["edits"] + step).cast("int").alias("edits")
-        )
+    def given(state: Column, d: Column, hp: Column, j: Column) -> Column:
+        hn, down = d.bitwiseAND(state["vp"]), F.shiftright(d, 1)
+        beyond = j - (rows - k)  # from 0 on the edge is a's last row
+        bit = F.coalesce(F.get(F.array(*[_long(1 << r) for r in range(width - 2, -1, -1)]), F.greatest(beyond, F.lit(0))), _long(0))
+        along = F.when(hp.bitwiseAND(bit) != 0, 1).when(hn.bitwiseAND(bit) != 0, -1).otherwise(0)
+        edge = F.when(d.bitwiseAND(_long(1 << (width - 1))) == 0, 1).otherwise(0)
+        step = F.when(beyond < 0, edge).otherwise(along)
+        vp = hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp))).bitwiseAND(_long(full))
+        return F.struct(vp.alias("vp"), down.bitwiseAND(hp).alias("vn"), (state["edits"] + step).alias("edits"))
 
     def advance(state: Column, j: Column) -> Column:
-        m = F.array(matches(j))
-        # nested one-element transforms give names to what is used more than once
-        return F.transform(
-            m,
-            lambda m: F.transform(
-                F.array(bits((m.bitwiseAND(state["vp"]) + state["vp"]).bitwiseXOR(state["vp"]).bitwiseOR(m).bitwiseOR(state["vn"]))),
-                lambda d: F.transform(F.array(bits(state["vn"].bitwiseOR(flip(d.bitwiseOR(state["vp"]))))), lambda hp: given(state, m, d, hp, j))[0],
-            )[0],
-        )[0]
-
-    start = F.struct(F.lit(full & ~((1 << k) - 1)).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"), F.lit(k).cast("int").alias("edits"))
+        def diagonal(m: Column) -> Column:
+            vp = state["vp"]
+            d = (m.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(m).bitwiseOR(state["vn"]).bitwiseAND(_long(full))
+            return _let(d, horizontal)
+
+        def horizontal(d: Column) -> Column:
+            hp = state["vn"].bitwiseOR(F.bitwise_not(d.bitwiseOR(state["vp"]))).bitwiseAND(_long(full))
+            return _let(hp, lambda hp: given(state, d, hp, j))
+
+        # some row of the band is at most 2k from the edge, so beyond 3k none is within k and the rest is skipped
+        return F.when(state["edits"] > 3 * k, state).otherwise(_let(F.get(y, j), lambda c: _let(matches(j, c), diagonal)))
+
+    start = F.struct(_long(full & ~((1 << k) - 1)).alias("vp"), _long(0).alias("vn"), F.lit(k).alias("edits"))
     return F.aggregate(F.sequence(F.lit(0), columns - 1), start, advance, lambda s: s["edits"])
 
 
+def letter_signature(line: Column) -> Column:
+    """Counts of frequent letters modulo 4 in two bits each, so coded that a step of one changes one bit.
+
+    An edit changes at most two counts by one, so lines within k edits differ in at most 2k bits.
+    """
+    out = _long(0)
+    for i, letter in enumerate(LETTERS):
+        count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+        code = F.get(F.array(*[_long(g << (2 * i)) for g in (0, 1, 3, 2)]), count % 4)
+        out = out.bitwiseOR(code)
+    return out
+
+
 def line_links(found: DataFrame, k: int = MAX_EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """(a, b): identities of different lines of found(line) within k edits, each pair once. Lines may repeat."""
-    distinct = found.select(F.xxhash64("line").alias("h1"), F.struct(_hash(F.col("line"))[1], "line").alias("x")).groupBy("h1").agg(F.collect_set("x").alias("xs"))
-    long = distinct.select("h1", F.explode("xs").alias("x")).where(F.length("x.line") >= least_chars)
-    index = long.select("h1", F.explode(F.array(*segments(F.col("x.line"), k))).alias("key"))
-    probe = long.select(F.col("h1").alias("other"), F.explode(F.array(*probes(F.col("x.line"), k))).alias("key")).where("key IS NOT NULL")
-    pairs = index.join(probe, "key").where("h1 != other").select(F.least("h1", "other").alias("p"), F.greatest("h1", "other").alias("q")).distinct()
-    left = distinct.select(F.col("h1").alias("p"), F.explode("xs").alias("a"))
-    right = distinct.select(F.col("h1").alias("q"), F.explode("xs").alias("b"))
-    near = (F.abs(F.length("a.line") - F.length("b.line")) <= k) & (F.least(F.length("a.line"), F.length("b.line")) >= least_chars)
-    both = pairs.join(left, "p").join(right, "q").where(near)
-    both = both.where(edit_distance_within(F.col("a.line"), F.col("b.line"), k) <= k)
-    return both.select(_identity("p", "a.h2").alias("a"), _identity("q", "b.h2").alias("b"))
-
-
-def _identity(h1: str, h2: str) -> Column:
+    """(a, b): identities of different lines of found(line) within k edits, each pair once. Lines may repeat.
+
+    Keys and signatures of the lines are dealt out, once per distinct line and task; texts only of the lines whose keys
+    meet and whose signatures allow it.
+    """
+    long = found.where(F.length("line") >= least_chars)
+    keys = F.struct(F.array(*segments(F.col("line"), k)).alias("own"), F.array(*probes(F.col("line"), k)).alias("tried"), letter_signature(F.col("line")).alias("sig"))
+    distinct = long.select(*_hash(F.col("line")), keys.alias("x")).groupBy("h1", "h2").agg(F.any_value("x").alias("x"))
+    index = distinct.select(F.col("h1").alias("p"), F.col("x.sig").alias("sig_p"), F.explode("x.own").alias("key"))
+    probe = distinct.select(F.col("h1").alias("q"), F.col("x.sig").alias("sig_q"), F.explode("x.tried").alias("key_q")).where("key_q IS NOT NULL")
+    meet = (F.col("key") == F.col("key_q")) & (F.col("p") != F.col("q")) & (F.bit_count(F.col("sig_p").bitwiseXOR(F.col("sig_q"))) <= 2 * k)
+    pairs = written(index.join(probe, meet).select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct(), "line-pairs")
+    met = pairs.select(F.explode(F.array("p", "q")).alias("met")).distinct()
+    texts = written(long.select(F.xxhash64("line").alias("h1"), "line").join(met, F.col("h1") == F.col("met"), "left_semi").distinct(), "line-texts")
+    left = texts.select(F.col("h1").alias("p"), F.col("line").alias("a"))
+    right = texts.select(F.col("h1").alias("q"), F.col("line").alias("b"))
+    near = F.abs(F.length("a") - F.length("b")) <= k
+    both = pairs.join(left, "p").join(right, "q").where(near).where(edit_distance_within(F.col("a"), F.col("b"), k) <= k)
+    return both.select(_identity(*_hash(F.col("a"))).alias("a"), _identity(*_hash(F.col("b"))).alias("b"))
+
+
+def _identity(h1: Column | str, h2: Column | str) -> Column:
     return F.concat(F.lpad(F.hex(h1), 16, "0"), F.lpad(F.hex(h2), 16, "0"))
 
 
