@@ -2,8 +2,10 @@ import random
 import re
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
+from trackmill.llm import line_dedup
 from trackmill.llm.line_dedup import drop_repeated_lines, edit_distance_within, repeated_lines
 
 
@@ -86,7 +88,9 @@ def line_rows():
     return rows + [(100, None, None, None, None), (101, "", None, None, None), (None, base[1], None, None, None), (None, base[2] + "\nnew and never seen line", None, None, None)]
 
 
-def test_repeated_lines(spark):
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_repeated_lines(spark, most, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MOST_BROADCAST", most)
     rows = line_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("line", F.lit("x"))
     got = repeated_lines(docs)

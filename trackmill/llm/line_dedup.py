@@ -17,6 +17,8 @@ from trackmill.llm.common import connected_components, written
 MAX_EDITS, LEAST_CHARS = 2, 20
 #: Letters that signatures count.
 LETTERS = "eantirosdhlucmgpbfvw"
+#: Line numbers (8 bytes each) that are broadcast at most.
+MOST_BROADCAST = 500_000
 
 
 def _hash(line: Column) -> list[Column]:
@@ -27,7 +29,7 @@ def _hash(line: Column) -> list[Column]:
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, at, line): the lines of docs, trimmed, with their numbers from 0; blank lines are left out."""
     split = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("at", "line"))
-    return split.withColumn("line", F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")).where("line != ''")
+    return split.withColumn("line", F.btrim("line", F.lit(" \t\n\x0b\f\r"))).where("line != ''")
 
 
 def _segment_start(length: Column, number: int, k: int) -> Column:
@@ -157,18 +159,22 @@ def letter_signature(line: Column) -> Column:
 def line_links(found: DataFrame, k: int = MAX_EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """(a, b): identities of different lines of found(line) within k edits, each pair once. Lines may repeat.
 
-    Keys and signatures of the lines are dealt out, once per distinct line and task; texts only of the lines whose keys
-    meet and whose signatures allow it.
+    First only keys are dealt out, once per distinct line and task, to find the lines that meet another one. The texts
+    of those are fetched, their pairs formed under a condition on signatures, and the pairs verified.
     """
     long = found.where(F.length("line") >= least_chars)
-    keys = F.struct(F.array(*segments(F.col("line"), k)).alias("own"), F.array(*probes(F.col("line"), k)).alias("tried"), letter_signature(F.col("line")).alias("sig"))
+    keys = F.struct(F.array(*segments(F.col("line"), k)).alias("own"), F.array(*probes(F.col("line"), k)).alias("tried"))
     distinct = long.select(*_hash(F.col("line")), keys.alias("x")).groupBy("h1", "h2").agg(F.any_value("x").alias("x"))
-    index = distinct.select(F.col("h1").alias("p"), F.col("x.sig").alias("sig_p"), F.explode("x.own").alias("key"))
-    probe = distinct.select(F.col("h1").alias("q"), F.col("x.sig").alias("sig_q"), F.explode("x.tried").alias("key_q")).where("key_q IS NOT NULL")
-    meet = (F.col("key") == F.col("key_q")) & (F.col("p") != F.col("q")) & (F.bit_count(F.col("sig_p").bitwiseXOR(F.col("sig_q"))) <= 2 * k)
-    pairs = written(index.join(probe, meet).select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct(), "line-pairs")
-    met = pairs.select(F.explode(F.array("p", "q")).alias("met")).distinct()
-    texts = written(long.select(F.xxhash64("line").alias("h1"), "line").join(met, F.col("h1") == F.col("met"), "left_semi").distinct(), "line-texts")
+    index = distinct.select(F.col("h1").alias("p"), F.explode("x.own").alias("key"))
+    probe = distinct.select(F.col("h1").alias("q"), F.explode("x.tried").alias("key_q")).where("key_q IS NOT NULL")
+    meet = (F.col("key") == F.col("key_q")) & (F.col("p") != F.col("q"))
+    met = index.join(probe, meet, "left_semi").select(F.col("p").alias("met")).unionByName(probe.join(index, meet, "left_semi").select(F.col("q").alias("met")))
+    texts = _texts(long.select(F.xxhash64("line").alias("h1"), "line"), written(met.distinct(), "lines-met"))
+    signed = texts.withColumn("sig", letter_signature(F.col("line")))
+    index = signed.select(F.col("h1").alias("p"), F.col("sig").alias("sig_p"), F.explode(F.array(*segments(F.col("line"), k))).alias("key"))
+    probe = signed.select(F.col("h1").alias("q"), F.col("sig").alias("sig_q"), F.explode(F.array(*probes(F.col("line"), k))).alias("key_q")).where("key_q IS NOT NULL")
+    alike = meet & (F.bit_count(F.col("sig_p").bitwiseXOR(F.col("sig_q"))) <= 2 * k)
+    pairs = index.join(probe, alike).select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
     left = texts.select(F.col("h1").alias("p"), F.col("line").alias("a"))
     right = texts.select(F.col("h1").alias("q"), F.col("line").alias("b"))
     near = F.abs(F.length("a") - F.length("b")) <= k
@@ -176,6 +182,19 @@ def line_links(found: DataFrame, k: int = MAX_EDITS, least_chars: int = LEAST_CH
     return both.select(_identity(*_hash(F.col("a"))).alias("a"), _identity(*_hash(F.col("b"))).alias("b"))
 
 
+def _texts(lines: DataFrame, met: DataFrame) -> DataFrame:
+    """(h1, line): the different lines whose h1 is in met.
+
+    Numbers of a counted, small size are broadcast, so that copies of a line are dropped where they are read; more of
+    them meet the lines in a shuffle, after the copies are dropped.
+    """
+    if met.count() <= MOST_BROADCAST:
+        found = lines.join(F.broadcast(met), F.col("h1") == F.col("met"), "left_semi").distinct()
+    else:
+        found = lines.distinct().join(met, F.col("h1") == F.col("met"), "left_semi")
+    return written(found, "line-texts")
+
+
 def _identity(h1: Column | str, h2: Column | str) -> Column:
     return F.concat(F.lpad(F.hex(h1), 16, "0"), F.lpad(F.hex(h2), 16, "0"))
 
