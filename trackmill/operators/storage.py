@@ -15,6 +15,7 @@ from trackmill.operators.keep import keep_last
 from trackmill.plans.unified import DEDUP_KEYS, SORT_KEYS, TELEMETRY_SCHEMA, require_columns
 
 COMPRESSIONS = ("snappy", "gzip", "zstd", "lz4", "lz4_raw", "none", "uncompressed")
+MOST_ROWS_PER_FILE = 5_000_000
 _DAY = re.compile(r"^date=(\d{4}-\d{2}-\d{2})$")
 
 
@@ -85,18 +86,17 @@ def load_date_range(spark: SparkSession, root: str, d0: date, d1: date, sort: bo
     return rows.orderBy(*[F.col(c).asc_nulls_last() for c in SORT_KEYS]) if sort else rows
 
 
-def _write_days(df: DataFrame, root: str, compression: str, rows_per_file: int) -> None:
-    """Replace the days of df. A day's rows go to as many tasks as a hash of the vehicle has, not to one."""
+def _write_days(df: DataFrame, root: str, compression: str) -> None:
+    """Replace the days of df. Rows are rebalanced by day: a large day is split over tasks, small days share one."""
     sort = [c for c in SORT_KEYS if c in df.columns]
-    salt = F.pmod(F.xxhash64(*sort[:2]), F.lit(8)) if sort else F.pmod(F.xxhash64(*df.columns[:1]), F.lit(8))
-    dealt = df.withColumn("_salt", salt).repartition("date", "_salt").drop("_salt").sortWithinPartitions("date", *sort)
-    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
+    dealt = df.hint("rebalance", "date").sortWithinPartitions("date", *sort)
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MOST_ROWS_PER_FILE)
     writer.option("compression", _codec(compression)).partitionBy("date").parquet(root)
 
 
 def save_partition(df: DataFrame, root: str, d: date, compression: str = "snappy") -> None:
     """Replace one day by df."""
-    _write_days(df.withColumn("date", F.lit(d).cast("date")), root, compression, 5_000_000)
+    _write_days(df.withColumn("date", F.lit(d).cast("date")), root, compression)
 
 
 def save_partitioned(df: DataFrame, root: str, date_col: str = "timestamp", dedup: bool = False, compression: str = "snappy") -> dict[date, int]:
@@ -104,7 +104,7 @@ def save_partitioned(df: DataFrame, root: str, date_col: str = "timestamp", dedu
     days = require_columns(df, [date_col]).withColumn("date", F.to_date(date_col)).where("date IS NOT NULL")
     if dedup:
         days = keep_last(days.withColumn("_seq", F.lit(0)), [*DEDUP_KEYS, "date"], ("_seq",))
-    _write_days(days, root, compression, 5_000_000)
+    _write_days(days, root, compression)
     return _counts(df.sparkSession, root, days)
 
 
@@ -139,7 +139,7 @@ def merge_partitions(
     if not dedup_first_write:
         first = both.where(~F.col("date").isin(*there) if there else F.lit(True)).drop("_seq", "_order")
         kept = kept.where(F.col("date").isin(*there)).unionByName(first) if there else first
-    _write_days(kept, root, compression, 5_000_000)
+    _write_days(kept, root, compression)
     return _counts(spark, root, spark.createDataFrame([(d,) for d in days], "date date"))
 
 

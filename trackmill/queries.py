@@ -72,11 +72,10 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def _register(sql: str | None = None):
+def _register(sql: str, name: str = ""):
     def add(query: Query) -> Query:
-        QUERIES[query.__name__] = query
-        if sql:
-            ORACLES[query.__name__] = sql
+        QUERIES[name or query.__name__] = query
+        ORACLES[name or query.__name__] = sql
         return query
 
     return add
@@ -308,7 +307,7 @@ def keep_last_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(keep.keep_last(e, ["provider_vehicle_id", "hour"], ("_seq",)))
 
 
-@_register(f"WITH {FLAT} SELECT provider, provider_vehicle_id, timestamp, speed_mph FROM flat")
+@_register(f"WITH {FLAT} SELECT provider, provider_vehicle_id, timestamp, speed_mph FROM flat", name="union_providers")
 def union_of_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flat(spark, sf_dir)
     both = union_providers([unified.filter_provider(rows, p) for p in ("motive", "samsara")])
