@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,10 +46,11 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 _LOWER = bytes(range(256)).lower()
 
 
-@F.pandas_udf(T.LongType())
-def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(T.LongType())
+def _fingerprints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in texts:
-        yield pd.Series([fingerprint(x) for x in batch], dtype="int64")
+        # one text at a time is a Python object
+        yield pa.array([fingerprint(x.as_py()) for x in batch], pa.int64())
 
 
 def variants(fp: Column, parts: list[tuple[int, int]], first: int = 0) -> list[Column]:
