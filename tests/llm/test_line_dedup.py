@@ -112,3 +112,10 @@ def test_drop_and_empty(spark, docs, empty):
     assert repeated_lines(empty).count() == 0
     got = repeated_lines(docs)
     assert got.count() == len({r.doc_id for r in docs.select("doc_id").collect()})
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_own_segments_are_among_the_probes(spark, k):
+    rows = spark.createDataFrame([("abcdefghijklmnopqrstuvwxyz äöü",), ("x" * 21,)], "line string")
+    own = rows.select(F.array(*line_dedup.segments(F.col("line"), k)).alias("s"), F.array(*line_dedup.probes(F.col("line"), k)).alias("p"))
+    assert all([r.p[i] for i in line_dedup._own(k)] == r.s for r in own.collect())

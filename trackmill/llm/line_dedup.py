@@ -8,7 +8,7 @@ are connected by such links; of each class the first line in the corpus stays.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackmill.llm.common import connected_components, written
@@ -64,6 +64,16 @@ def probes(line: Column, k: int) -> list[Column]:
     return out
 
 
+def _own(k: int) -> list[int]:
+    """Where probes() has the line's own segments: as long as itself and unshifted."""
+    out, at = [], 0
+    for i in range(k + 1):
+        least, most = max(-i, i - k), min(i, k - i)
+        out.append(at - least)
+        at += most - least + 1
+    return out
+
+
 def _let(value: Column, then) -> Column:
     """then of value, with value computed once; a bare reuse in a lambda would compute it at every step."""
     return F.transform(F.array(value), then)[0]
@@ -163,16 +173,22 @@ def line_links(found: DataFrame, k: int = MAX_EDITS, least_chars: int = LEAST_CH
     of those are fetched, their pairs formed under a condition on signatures, and the pairs verified.
     """
     long = found.where(F.length("line") >= least_chars)
-    keys = F.struct(F.array(*segments(F.col("line"), k)).alias("own"), F.array(*probes(F.col("line"), k)).alias("tried"))
-    distinct = long.select(*_hash(F.col("line")), keys.alias("x")).groupBy("h1", "h2").agg(F.any_value("x").alias("x"))
-    index = distinct.select(F.col("h1").alias("p"), F.explode("x.own").alias("key"))
-    probe = distinct.select(F.col("h1").alias("q"), F.explode("x.tried").alias("key_q")).where("key_q IS NOT NULL")
-    meet = (F.col("key") == F.col("key_q")) & (F.col("p") != F.col("q"))
-    met = index.join(probe, meet, "left_semi").select(F.col("p").alias("met")).unionByName(probe.join(index, meet, "left_semi").select(F.col("q").alias("met")))
-    texts = _texts(long.select(F.xxhash64("line").alias("h1"), "line"), written(met.distinct(), "lines-met"))
+    tried = F.array(*probes(F.col("line"), k))
+    distinct = long.select(*_hash(F.col("line")), tried.alias("tried")).groupBy("h1", "h2").agg(F.any_value("tried").alias("tried"))
+    rows = distinct.select("h1", F.posexplode("tried").alias("at", "key")).where("key IS NOT NULL")
+    rows = rows.select("h1", "key", F.col("at").isin(_own(k)).alias("own"))
+    # a line looks itself up as well, so a key's rows hold both who has the segment and who asks for it
+    same = Window.partitionBy("key")
+    owner = F.when(F.col("own"), F.col("h1"))
+    ends = {"lo": F.min("h1"), "hi": F.max("h1"), "lo_own": F.min(owner), "hi_own": F.max(owner)}
+    rows = rows.withColumns({name: end.over(same) for name, end in ends.items()})
+    other = (F.col("own") & (F.col("lo") != F.col("hi"))) | (F.col("lo_own") != F.col("h1")) | (F.col("hi_own") != F.col("h1"))
+    met = rows.where(other).select(F.col("h1").alias("met")).distinct()
+    texts = _texts(long.select(F.xxhash64("line").alias("h1"), "line"), written(met, "lines-met"))
     signed = texts.withColumn("sig", letter_signature(F.col("line")))
     index = signed.select(F.col("h1").alias("p"), F.col("sig").alias("sig_p"), F.explode(F.array(*segments(F.col("line"), k))).alias("key"))
     probe = signed.select(F.col("h1").alias("q"), F.col("sig").alias("sig_q"), F.explode(F.array(*probes(F.col("line"), k))).alias("key_q")).where("key_q IS NOT NULL")
+    meet = (F.col("key") == F.col("key_q")) & (F.col("p") != F.col("q"))
     alike = meet & (F.bit_count(F.col("sig_p").bitwiseXOR(F.col("sig_q"))) <= 2 * k)
     pairs = index.join(probe, alike).select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
     left = texts.select(F.col("h1").alias("p"), F.col("line").alias("a"))
