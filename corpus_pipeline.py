@@ -10,7 +10,7 @@ from trackmill.llm.decontaminate import drop_contaminated
 from trackmill.llm.exact_dedup import drop_exact_copies
 from trackmill.llm.language_id import drop_unidentified, train_on_kept_in
 from trackmill.llm.mixing import mix_sources
-from trackmill.llm.simhash import drop_near_copies
+from trackmill.llm.similar import drop_similar_copies
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each component of near copies the document with the smallest id."""
-    return drop_near_copies(docs)
+    return drop_similar_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
