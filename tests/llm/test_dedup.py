@@ -6,9 +6,10 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from trackmill.llm.common import connected_components
+from trackmill.llm.common import connected_components, shared_dir
 from trackmill.llm.exact_dedup import chunks, drop_exact_copies, exact_groups, normalised
 from trackmill.llm.simhash import drop_near_copies, fingerprint, fingerprint_links, near_copies
+from trackmill.llm.similar import drop_similar_copies
 
 
 def norm(text):
@@ -132,3 +133,40 @@ def test_components(spark):
 
 def test_empty(empty):
     assert exact_groups(empty).count() == near_copies(empty).count() == drop_exact_copies(empty).count() == drop_near_copies(empty).count() == 0
+
+
+def kept_by_hand(rows, group):
+    """One row of each group: the smallest id, null ids last."""
+    best = {}
+    for r in rows:
+        g = group[rows.index(r)]
+        if g not in best or (r[0] is None, r[0] or 0) < (best[g][0] is None, best[g][0] or 0):
+            best[g] = r
+    return sorted(((r[0], norm(r[1])) for r in best.values()), key=str)
+
+
+#: One id with several texts, repeated rows, and null ids, each with and without a copy elsewhere.
+AWKWARD = [(1, "copy me"), (5, "copy me"), (5, "only text of its kind"), (None, "copy me"), (1, "copy me"), (None, "alone and without id"), (None, "alone  and without id"), (7, None), (7, ""), (8, "other words"), (8, "other words here and there"), (8, "other words")]
+
+
+@pytest.mark.parametrize("drop", [drop_exact_copies, drop_near_copies, drop_similar_copies])
+def test_drops_decide_by_row(spark, drop):
+    frame = spark.createDataFrame(AWKWARD, "doc_id long, text string").withColumn("_id", F.lit("x")).repartition(3)
+    got = drop(frame)
+    assert got.columns == frame.columns
+    found = sorted(((r.doc_id, norm(r.text)) for r in got.collect()), key=str)
+    assert found == kept_by_hand(AWKWARD, [norm(t) for _, t in AWKWARD])
+
+
+def test_a_local_folder_is_no_shared_one():
+    class Context:
+        master = "spark://host:7077"
+
+    class Conf:
+        get = staticmethod(lambda key, other: other)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        shared_dir(Session)

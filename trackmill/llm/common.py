@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 #: ASCII white space as the query contracts define it, for Java regular expressions.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Spark's setting to drop shuffle files at the end of an execution.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,22 +22,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir. A local master may leave it unset and gets a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("trackmill.shared.dir", None)
     if not folder:
+        if not re.match(r"local(\[.*)?$", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="trackmill-")
         spark.conf.set("trackmill.shared.dir", folder)
     return folder.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back, which cuts its lineage and survives lost executors."""
+    """Write df to the shared folder and read it back, which cuts its lineage and survives lost executors.
+
+    The write's shuffle files go when it ends, so the disk holds one step's shuffles at a time.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that written() made and that nothing reads any more."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def one_row_each(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, key: Callable[[Column], Column]) -> DataFrame:
+    """docs with one row of each group; columns stay as they are.
+
+    rows(id, key, group) has a row per row of docs, key(text) being what tells texts apart. Of a group the row with the
+    smallest id stays, null ids last; of several texts with that id the one with the smallest key; of rows that repeat
+    id and key the one with the smallest text. Rows are found by id and key together, so a row never goes because
+    another one shares its id.
+    """
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    pairs = rows.groupBy("group", "id", "key").agg(F.count("*").alias("n"))
+    # written, so that the join deals both sides anew and can split a group of very many copies
+    least = written(pairs.groupBy("group").agg(F.min(place).alias("least")), "row-least")
+    pairs = pairs.join(least, "group").select("id", "key", "n", (place == F.col("least")).alias("stays"))
+    pairs = written(pairs.where("NOT stays OR n > 1").select("id", "key", "stays"), "row-marks")
+    own_id, own_key, row = scratch(docs, "_id"), scratch(docs, "_key"), scratch(docs, "_row")
+
+    def matched(frame: DataFrame, stays: bool, how: str) -> DataFrame:
+        own = pairs.where(F.col("stays") == stays).select(F.col("id").alias(own_id), F.col("key").alias(own_key))
+        return frame.join(own, F.col(id_col).eqNullSafe(F.col(own_id)) & (key(F.col(text_col)) == F.col(own_key)), how)
+
+    kept = matched(docs, False, "left_anti")
+    if not pairs.where("stays").isEmpty():
+        often = matched(docs, True, "left_semi").groupBy(F.col(id_col).alias(own_id), key(F.col(text_col)).alias(own_key))
+        often = often.agg(F.min_by(F.struct(*docs.columns), F.coalesce(F.col(text_col), F.lit(""))).alias(row)).select(f"{row}.*")
+        kept = matched(kept, True, "left_anti").unionByName(often)
+    return kept.select(*docs.columns)
+
+
 def scratch(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have."""
     have = {c.lower() for c in df.columns}
@@ -72,7 +123,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = written(small.select("e.*").where("u != v").distinct(), "links")
+        done, edges = edges, written(small.select("e.*").where("u != v").distinct(), "links")
+        discard(done)
         before, state = state, _state(edges)
         if before == state:
             break

@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackmill.llm.common import SPACE, written
+from trackmill.llm.common import SPACE, one_row_each, written
 
 #: A chunk has 256 to 4096 characters and ends after one of these letters and a space; the last one may be shorter.
 CHUNK = r"(?s)(?:.{256,4096}?(?:(?<=[dgkpvw]\x20)|\z)|.{1,4096})"
@@ -63,6 +63,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that exact_groups doesn't keep."""
-    gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """docs with one row of each group of equal normalised texts; columns stay as they are.
+
+    The row with the smallest id stays, null ids last; of rows that repeat that id the one with the smallest text.
+    Rows go by id and text together: a row whose id also stands by a copy isn't touched. Null, empty and blank texts
+    are texts like others and leave one row each; an empty table stays empty.
+    """
+    found = exact_groups(docs, id_col, text_col)
+    rows = found.select(F.col(id_col).alias("id"), F.col("text_sha256").alias("key"), F.col("text_sha256").alias("group"))
+    return one_row_each(docs, rows, id_col, text_col, lambda text: F.sha2(normalised(text), 256))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackmill.llm.common import connected_components, written
+from trackmill.llm.common import connected_components, one_row_each, written
 
 MAX_BITS = 3
 #: Index entries under one variant beyond which the variant is refined by the other segment's halves.
@@ -117,18 +117,34 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     docs are not read. An empty table gives an empty result.
     """
     prints = written(docs.select(F.col(id_col).alias("id"), _fingerprints(F.col(text_col)).alias("fp")), "fingerprints")
+    found = fingerprint_components(prints)
+    return prints.join(found, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def fingerprint_components(prints: DataFrame) -> DataFrame:
+    """(fp, component, component_id) of each fingerprint in prints(id, fp): its component's least fingerprint and id."""
     nodes = written(prints.groupBy("fp").agg(F.min("id").alias("node")), "nodes")
     links = fingerprint_links(nodes.select("fp"))
     components = connected_components(links.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))).withColumnRenamed("node", "fp")
     linked = components.join(nodes, "fp")
     least = linked.groupBy("component").agg(F.min("node").alias("least"))
-    linked = linked.join(least, "component").select("fp", "least")
+    linked = linked.join(least, "component").select("fp", "component", "least")
     # written, so that the last join deals both sides anew and can split a fingerprint of very many copies
-    found = written(nodes.join(linked, "fp", "left").select("fp", F.coalesce("least", "node").alias("component_id")), "found")
-    return prints.join(found, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = nodes.join(linked, "fp", "left")
+    return written(found.select("fp", F.coalesce("component", "fp").alias("component"), F.when(F.col("component").isNull(), F.col("node")).otherwise(F.col("least")).alias("component_id")), "found")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each component: the one with the smallest id."""
-    gone = near_copies(docs, id_col, text_col).where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """docs with one row of each component of near_copies; columns stay as they are.
+
+    The row with the smallest id stays, null ids last; of several texts with that id the one with the smallest SHA-256,
+    of rows that repeat it one. Rows go by id and text together: a row whose id also stands by a near copy isn't
+    touched. Null, empty and blank texts are near copies of one another; an empty table stays empty.
+    """
+
+    def key(text: Column) -> Column:
+        return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+    prints = written(docs.select(F.col(id_col).alias("id"), key(F.col(text_col)).alias("key"), _fingerprints(F.col(text_col)).alias("fp")), "fingerprints")
+    rows = written(prints.join(fingerprint_components(prints), "fp").select("id", "key", F.col("component").alias("group")), "components")
+    return one_row_each(docs, rows, id_col, text_col, key)
