@@ -112,6 +112,16 @@ def test_other_endpoints(spark, tmp_path):
         pages.samsara_driver_assignments(spark, a, "cars")
 
 
+def test_what_is_left_out_and_what_is_missing(spark, tmp_path):
+    g = land(tmp_path / "g", {"groups": [{"group": {"id": 1, "name": "G", "company_id": 2}}, {"group": {"id": 2, "company_id": 2}}], "pagination": {"per_page": 2, "page_no": 1, "total": 2}})
+    Path(g, "broken.json").write_text("{not json")
+    found = pages.rejected(pages.read_pages(spark, "motive_groups", g), "motive_groups").orderBy("reason").collect()
+    assert [r.reason for r in found] == ["name missing", "unreadable page"] and found[1].content == "{not json" and '"id":2' in found[0].content
+    assert pages.or_none(pages.motive_groups, spark, str(tmp_path / "nowhere")) is None and pages.or_none(pages.motive_groups, spark, g).count() == 1
+    stats = spark.createDataFrame([("v", [("warp",), ("on",), (None,)])], "id string, engine_states array<struct<value: string>>")
+    assert [r.value for r in pages.unknown_states(stats).collect()] == ["warp", None]
+
+
 def test_audits(spark, tmp_path):
     p = land(tmp_path / "m", *[{"groups": [], "pagination": {"per_page": 10, "page_no": n, "total": 35}} for n in (1, 2, 4)])
     r = pages.audit_pages(pages.read_pages(spark, "motive_groups", p), "motive_groups").first()
@@ -148,6 +158,15 @@ def test_run_incremental(spark, tmp_path):
     assert storage.partition_count(spark, root) == 2
     again = incremental.run_incremental(spark, {"good": good}, root, start, start + timedelta(days=3))
     assert again.records == 2 and spark.read.parquet(root).count() == 2
+    # what has no time, what was rejected, and which version came last
+    def several(s, a, b):
+        rows = enforce_schema(good(s, a, b)).where("timestamp < '2024-01-02'")
+        versions = [rows.withColumn("speed_mph", F.lit(float(n))).withColumn("_pos", F.lit(n)) for n in (3, 9, 5)]
+        return versions[0].union(versions[1]).union(versions[2]).union(versions[0].withColumn("timestamp", F.lit(None).cast("timestamp"))), rows.limit(1)
+
+    done = incremental.run_incremental(spark, {"m": several}, str(tmp_path / "several"), start, start + timedelta(days=1))
+    assert (done.records, done.dropped_null_time, done.rejected) == (3, 1, 1)
+    assert [r.speed_mph for r in spark.read.parquet(str(tmp_path / "several")).collect()] == [9.0]
     calls = []
 
     def dies_later(s, a, b):
@@ -163,11 +182,16 @@ def test_stream_ingest(spark, tmp_path):
     v, l = motive(tmp_path, location(1, "2024-01-01T10:00:00Z"))
     root, check = str(tmp_path / "data"), str(tmp_path / "check")
     dim = pages.motive_vehicles(spark, v)
-    take = lambda: incremental.stream_ingest(spark, "motive_vehicle_locations", l, root, check, lambda items: flatten_motive(items, dim))
-    take()
+    aside = str(tmp_path / "aside")
+    take = lambda: incremental.stream_ingest(spark, "motive_vehicle_locations", l, root, check, lambda items: flatten_motive(items, dim, origin=True), quarantine=aside)
+    done = take()
+    assert (done.records, done.rejected, done.batches_with_data) == (1, 0, 1)
     assert spark.read.parquet(root).count() == 1
-    land(l, {"vehicle_id": 1, "vehicle_locations": [location(9, "2024-01-01T10:00:00Z", speed=1.0), location(8, "2024-01-02T10:00:00Z")]})
-    take()
+    land(l, {"vehicle_id": 1, "vehicle_locations": [location(7, "2024-01-01T10:00:00Z", speed=5.0), location(9, "2024-01-01T10:00:00Z", speed=1.0), location(8, "2024-01-02T10:00:00Z"), location(6, "2024-01-02T10:00:00Z", type="teleport")]})
+    Path(l, "broken.json").write_text("{not json")
+    done = take()
+    assert (done.records, done.rejected) == (3, 2)
+    assert sorted(r.reason for r in spark.read.parquet(aside).collect()) == ["location_type unknown", "unreadable page"]
     rows = spark.read.parquet(root).orderBy("timestamp").collect()
     assert len(rows) == 2 and rows[0].speed_mph == pytest.approx(0.621371)
 

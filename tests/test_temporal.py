@@ -111,3 +111,28 @@ def test_enrich_and_semi_joins(spark):
     assert assignments_for(i, gps, "k").count() == 1 and assignments_for(i, left(spark, [("z", 1, at(0))]), "k").count() == 0
     days = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "date string, x int")
     assert affected_partitions(days, days.where("x = 2")).count() == 1
+
+
+def test_null_keys_match_nothing(spark):
+    left = spark.createDataFrame([(None, 5, 1), ("a", 5, 2), (None, None, 3)], "k string, s long, n int").withColumn("ts", F.timestamp_seconds("s"))
+    right = spark.createDataFrame([(None, 4, 7.0), ("a", 4, 8.0)], "k string, s long, v double").select("k", F.timestamp_seconds("s").alias("ts"), "v", F.lit(0).alias("ordinal"))
+    want = [(1, None), (2, 8.0), (3, None)]
+    for out in (asof_backward(left, right, ["k"], "ts", "v"), asof_nearest(left, right, ["k"], "ts", "v")):
+        assert sorted((r.n, r.v) for r in out.collect()) == want
+    spans = right.select("k", F.col("ts").alias("start_time"), F.timestamp_seconds(F.lit(9)).alias("end_time"), F.lit(False).alias("is_passenger"), F.lit("d").alias("driver_id"), F.lit("D").alias("driver_name"), "ordinal")
+    out = enrich_gps(left, right.withColumnRenamed("v", "engine_state"), right.withColumnRenamed("v", "odometer"), spans, ["k"])
+    assert sorted((r.n, r.engine_state, r.odometer, r.driver_id) for r in out.collect()) == [(1, None, None, None), (2, 8.0, 8.0, "d"), (3, None, None, None)]
+
+
+def test_quartiles_by_narrowing(spark):
+    import random
+    import statistics
+
+    from trackmill.operators.analytics import describe_numeric
+
+    rng = random.Random(4)
+    for values in ([rng.random() for _ in range(4001)], [float(rng.randint(0, 3)) for _ in range(3000)], [1.0] * 2000, [rng.gauss(0, 1) for _ in range(1499)] + [None] * 7):
+        row = describe_numeric(spark.createDataFrame([(v,) for v in values], "v double").repartition(3), "v", most=50).first()
+        whole = statistics.quantiles([v for v in values if v is not None], n=4, method="inclusive")
+        assert (row.p25, row.p50, row.p75) == pytest.approx(tuple(whole))
+    assert describe_numeric(spark.createDataFrame([], "v double"), "v").first().p50 is None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,7 +82,8 @@ def engine_on_hours(idle: Column, driving: Column) -> Column:
 
 
 def has_communication_issue(message: Column) -> Column:
-    return normalize_message(message).isNotNull()
+    """Of a normalised message; one of blanks is an issue, also after it was trimmed."""
+    return message.isNotNull()
 
 
 def external_id(ids: Column, key: str) -> Column:
@@ -123,6 +126,11 @@ def duration_hours(start: Column, end: Column) -> Column:
     return duration_seconds(start, end) / 3600.0
 
 
+def to_snake(name: str) -> str:
+    """vendorName as vendor_name."""
+    return re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower()
+
+
 def contains_timestamp(start: Column, end: Column, at: Column) -> Column:
     """Both ends count."""
     return at.between(start, end)

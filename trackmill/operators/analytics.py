@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackmill.functions.telemetry import engine_on_seconds, has_communication_issue
+from trackmill.functions.telemetry import engine_on_seconds, has_communication_issue, normalize_message
 
 
 def vehicle_activity(df: DataFrame) -> DataFrame:
@@ -35,12 +35,42 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), col)
 
 
-def describe_numeric(df: DataFrame, col: str) -> DataFrame:
-    """Count, mean, sample deviation, least, quartiles with interpolation, greatest."""
+def describe_numeric(df: DataFrame, col: str, most: int = 1_000_000) -> DataFrame:
+    """Count, mean, sample deviation, least, quartiles with interpolation, greatest; exact at any size.
+
+    The values between which a quartile lies are narrowed down by approximate quantiles, pass by pass, until at most
+    so many rows are left to be sorted.
+    """
     c = F.col(col)
-    quartiles = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    found = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), quartiles.alias("_q"), F.max(c).alias("max"))
-    return found.select("count", "mean", "std", "min", *[F.col("_q")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))], "max")
+    shape = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+    n = df.agg(F.count(c)).first()[0]
+    cuts = [F.lit(_quantile(df.select(c.cast("double").alias("v")).where("v IS NOT NULL"), n, p, most)).cast("double").alias(f"p{p}") for p in (25, 50, 75)]
+    return shape.select("count", "mean", "std", "min", *cuts, "max")
+
+
+def _quantile(values: DataFrame, n: int, percent: int, most: int) -> float | None:
+    """The percentile of values(v), which has n rows, between the two ranks next to it."""
+    if not n:
+        return None
+    rank, parts = divmod((n - 1) * percent, 100)
+    below = 0
+    while n > most:
+        share = (rank - below) / n
+        lo, hi = values.agg(F.percentile_approx("v", [max(0.0, share - 0.001), min(1.0, share + 0.001)], 100_000).alias("q")).first()[0]
+        inside = F.col("v").between(F.lit(lo), F.lit(hi))
+        less, kept = values.agg(F.count_if(F.col("v") < F.lit(lo)), F.count_if(inside)).first()
+        if not below + less <= rank < rank + 1 < below + less + kept or kept == n:
+            if lo == hi and below + less <= rank < below + less + kept:
+                return lo if rank + 1 < below + less + kept or not parts else _between(values, lo, parts)
+            break
+        values, n, below = values.where(inside), kept, below + less
+    pair = [r.v for r in values.orderBy("v").offset(rank - below).limit(2).collect()]
+    return pair[0] if len(pair) < 2 else pair[0] + (pair[1] - pair[0]) * parts / 100
+
+
+def _between(values: DataFrame, lo: float, parts: int) -> float:
+    higher = values.where(F.col("v") > F.lit(lo)).agg(F.min("v")).first()[0]
+    return lo if higher is None else lo + (higher - lo) * parts / 100
 
 
 def distinct_vehicles_by_provider(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -108,5 +138,5 @@ def utilization_rollup(df: DataFrame, *keys: str) -> DataFrame:
     """Seconds and hours of running engines and rows with a message, over utilization rows."""
     seconds = engine_on_seconds(F.col("idle_time"), F.col("driving_time"))
     return df.groupBy(*keys).agg(
-        F.sum(seconds).alias("engine_on_seconds"), (F.sum(seconds) / 3600.0).alias("engine_on_hours"), F.count_if(has_communication_issue(F.col("message"))).alias("communication_issues")
+        F.sum(seconds).alias("engine_on_seconds"), (F.sum(seconds) / 3600.0).alias("engine_on_hours"), F.count_if(has_communication_issue(normalize_message(F.col("message")))).alias("communication_issues")
     )

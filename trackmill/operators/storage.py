@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from trackmill.functions.telemetry import SIZE_UNITS
 from trackmill.operators.keep import keep_last
-from trackmill.plans.unified import DEDUP_KEYS, SORT_KEYS, TELEMETRY_SCHEMA, require_columns
+from trackmill.plans.unified import DEDUP_KEYS, SORT_KEYS, TELEMETRY_COLUMNS, TELEMETRY_SCHEMA, require_columns
 
 COMPRESSIONS = ("snappy", "gzip", "zstd", "lz4", "lz4_raw", "none", "uncompressed")
 MOST_ROWS_PER_FILE = 5_000_000
@@ -99,11 +99,14 @@ def save_partition(df: DataFrame, root: str, d: date, compression: str = "snappy
     _write_days(df.withColumn("date", F.lit(d).cast("date")), root, compression)
 
 
-def save_partitioned(df: DataFrame, root: str, date_col: str = "timestamp", dedup: bool = False, compression: str = "snappy") -> dict[date, int]:
-    """Replace each day that df touches by its rows, and say how many they are. Rows without a date are left out."""
+def save_partitioned(df: DataFrame, root: str, date_col: str = "timestamp", dedup: bool = False, compression: str = "snappy", order: Sequence[str] = ()) -> dict[date, int]:
+    """Replace each day that df touches by its rows, and say how many they are. Rows without a date are left out.
+
+    dedup keeps of each key's rows those last by the columns of order, which aren't stored.
+    """
     days = require_columns(df, [date_col]).withColumn("date", F.to_date(date_col)).where("date IS NOT NULL")
     if dedup:
-        days = keep_last(days.withColumn("_seq", F.lit(0)), [*DEDUP_KEYS, "date"], ("_seq",))
+        days = keep_last(days.withColumn("_seq", F.struct(F.lit(0), *order)).drop(*order), [*DEDUP_KEYS, "date"], ("_seq",))
     _write_days(days, root, compression)
     return _counts(df.sparkSession, root, days)
 
@@ -119,14 +122,20 @@ def merge_partitions(
 ) -> dict[date, int]:
     """Unite new with what its days hold, keep the last row per key, replace those days; rows by day.
 
-    New rows come after stored ones, and among new rows those last by the columns of order. Only touched days are
-    read. Without keys whole rows are compared. dedup_first_write=False leaves copies in a day's first write.
+    New rows come after stored ones, and among new rows those last by the columns of order (null first), which aren't
+    stored. Only touched days are read. Without keys whole rows are compared. dedup_first_write=False leaves copies in a
+    day's first write. The new rows are computed once, so the days found are the days written.
     """
-    spark = new.sparkSession
-    fresh = new.withColumn("date", F.to_date(ts)).where("date IS NOT NULL")
-    days = [r.date for r in fresh.select("date").distinct().collect()]
-    if not days:
-        return {}
+    fresh = new.withColumn("date", F.to_date(ts)).where("date IS NOT NULL").persist()
+    try:
+        days = [r.date for r in fresh.select("date").distinct().collect()]
+        return _merge(fresh, days, root, keys, order, compression, dedup_first_write) if days else {}
+    finally:
+        fresh.unpersist()
+
+
+def _merge(fresh: DataFrame, days: list[date], root: str, keys: Sequence[str] | None, order: Sequence[str], compression: str, dedup_first_write: bool) -> dict[date, int]:
+    spark = fresh.sparkSession
     there = set(days) & set(list_partition_dates(spark, root))
     tagged = fresh.withColumn("_seq", F.lit(1))
     tagged = tagged.withColumn("_order", F.struct(F.lit(0), *order))
@@ -134,7 +143,7 @@ def merge_partitions(
         old = _dataset(spark, root, sorted(there), None).withColumn("_seq", F.lit(0)).withColumn("_order", F.lit(None).cast(tagged.schema["_order"].dataType))
         both = old.unionByName(tagged.drop(*[c for c in order if c not in old.columns]), allowMissingColumns=True)
     else:
-        both = tagged.drop(*[c for c in order if c.startswith("_")])
+        both = tagged.drop(*[c for c in order if c not in TELEMETRY_COLUMNS])
     kept = keep_last(both, [*keys, "date"] if keys else None, ("_seq", "_order"))
     if not dedup_first_write:
         first = both.where(~F.col("date").isin(*there) if there else F.lit(True)).drop("_seq", "_order")
@@ -156,8 +165,9 @@ def delete_partitions_before(spark: SparkSession, root: str, cutoff: date) -> in
 
 
 def apply_retention(spark: SparkSession, root: str, days: int, now: datetime | None = None) -> int:
-    """Delete the days older than so many days before now, in UTC."""
-    today = (now or datetime.now(timezone.utc)).astimezone(timezone.utc).date()
+    """Delete the days older than so many days before now, in UTC; a now without a zone is in UTC too."""
+    now = now or datetime.now(timezone.utc)
+    today = (now if now.tzinfo else now.replace(tzinfo=timezone.utc)).astimezone(timezone.utc).date()
     return delete_partitions_before(spark, root, today - timedelta(days=days))
 
 

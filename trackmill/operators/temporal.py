@@ -1,12 +1,14 @@
 """Temporal joins: backward as-of, nearest within a tolerance, first containing interval.
 
 All deal rows out by key and time bucket, not by key alone, so one vehicle's long history is no single task's work.
-Times are compared in whole microseconds. Left rows keep their number and columns.
+Times are compared in whole microseconds. Left rows keep their number and columns. A null key matches nothing, as in an
+equality join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +24,15 @@ def _bucket(micros: Column, seconds: int) -> Column:
     return F.floor(micros / F.lit(seconds * 1_000_000)).cast("long")
 
 
+def _known(by: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in by])
+
+
+def _dealt(df: DataFrame, by: Sequence[str], seconds: int) -> DataFrame:
+    """df with its bucket _b; rows without a key have no partner and are spread by their time."""
+    return df.withColumn("_b", F.when(_known(by), _bucket(F.col("_us"), seconds)).otherwise(F.xxhash64("_us")))
+
+
 def _tagged(df: DataFrame, by: Sequence[str], ts: str, is_left: int, row: Column, value: Column, ordinal: Column) -> DataFrame:
     return df.select(*by, _micros(F.col(ts)).alias("_us"), F.lit(is_left).alias("_left"), row.alias("_row"), value.alias("_value"), ordinal.cast("long").alias("_ord"))
 
@@ -32,7 +43,7 @@ def _payload(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str, righ
     some = F.struct(F.col(value).alias("value"), _micros(F.col(right_ts)).alias("us"), F.col(ordinal).cast("long").alias("ord"))
     none_row = F.lit(None).cast(left.select(row.alias("r")).schema["r"].dataType)
     l_rows = _tagged(left, by, ts, 1, row, F.lit(None).cast(kind), F.lit(None))
-    r_rows = _tagged(right.where(F.col(right_ts).isNotNull()), by, right_ts, 0, none_row, some, F.col(ordinal))
+    r_rows = _tagged(right.where(F.col(right_ts).isNotNull() & _known(by)), by, right_ts, 0, none_row, some, F.col(ordinal))
     return l_rows, r_rows
 
 
@@ -44,20 +55,25 @@ def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str,
     """
     out = out or value
     l_rows, r_rows = _payload(left, right, by, ts, right_ts, value, ordinal)
-    l_rows, r_rows = (d.withColumn("_b", _bucket(F.col("_us"), bucket_seconds)) for d in (l_rows, r_rows))
-    ends = r_rows.groupBy(*by, "_b").agg(F.max_by("_value", F.struct("_us", "_ord")).alias("_value"))
-    wanted = l_rows.select(*by, "_b").distinct().withColumn("_value", F.lit(None).cast(ends.schema["_value"].dataType))
-    line = Window.partitionBy(*by).orderBy("_b", F.col("_value").isNotNull())
-    before = line.rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.unionByName(wanted).withColumn("_carry", F.last("_value", ignorenulls=True).over(before))
-    carried = carried.where("_value IS NULL AND _carry IS NOT NULL").select(*by, F.lit(None).cast("long").alias("_us"), F.lit(0).alias("_left"), F.lit(None).cast(l_rows.schema["_row"].dataType).alias("_row"), F.col("_carry").alias("_value"), F.lit(None).cast("long").alias("_ord"), "_b")
+    l_rows, r_rows = (_dealt(d, by, bucket_seconds) for d in (l_rows, r_rows))
+    carried = _carried(l_rows, r_rows, by)
     frame = Window.partitionBy(*by, "_b").orderBy(F.col("_us").asc_nulls_first(), "_left", "_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # a left row without a time sorts by the carried rows and must not see them
-    found = F.when(F.col("_us").isNotNull(), F.last("_value", ignorenulls=True).over(frame))
+    found = F.when(F.col("_us").isNotNull() & _known(by), F.last("_value", ignorenulls=True).over(frame))
     rows = l_rows.unionByName(r_rows).unionByName(carried).withColumn("_found", found)
     return rows.where("_left = 1").select("_row.*", F.col("_found.value").alias(out))
 
 
+def _carried(l_rows: DataFrame, r_rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A row per key and bucket with left rows: the last value of the buckets before, to stand ahead of the bucket's own."""
+    ends = r_rows.groupBy(*by, "_b").agg(F.max_by("_value", F.struct("_us", "_ord")).alias("_value"))
+    wanted = l_rows.where(_known(by)).select(*by, "_b").distinct().withColumn("_value", F.lit(None).cast(ends.schema["_value"].dataType))
+    line = Window.partitionBy(*by).orderBy("_b", F.col("_value").isNotNull())
+    before = line.rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.unionByName(wanted).withColumn("_carry", F.last("_value", ignorenulls=True).over(before))
+    return carried.where("_value IS NULL AND _carry IS NOT NULL").select(*by, F.lit(None).cast("long").alias("_us"), F.lit(0).alias("_left"), F.lit(None).cast(l_rows.schema["_row"].dataType).alias("_row"), F.col("_carry").alias("_value"), F.lit(None).cast("long").alias("_ord"), "_b")
+
+
 def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str, value: str, *, right_ts: str = "ts", ordinal: str = "ordinal", tolerance_s: float = 1800, out: str | None = None) -> DataFrame:
     """left with value of the right row of the same key nearest to ts, if not farther than tolerance_s; else null.
 
@@ -68,13 +84,21 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str,
     reach = int(round(tolerance_s * 1_000_000))
     seconds = max(DAY, int(2 * tolerance_s) + 1)
     l_rows, r_rows = _payload(left, right, by, ts, right_ts, value, ordinal)
-    l_rows = l_rows.withColumn("_b", _bucket(F.col("_us"), seconds))
-    r_rows = r_rows.withColumn("_b", F.explode(F.sequence(_bucket(F.col("_us") - reach, seconds), _bucket(F.col("_us") + reach, seconds))))
-    rows = l_rows.unionByName(r_rows)
+    rows = _dealt(l_rows, by, seconds).unionByName(_reaching(r_rows, reach, seconds))
     part = Window.partitionBy(*by, "_b")
     back = part.orderBy("_us", "_left", F.col("_ord").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ahead = part.orderBy("_us", F.col("_left").desc(), "_ord").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     rows = rows.withColumn("_p", F.last("_value", ignorenulls=True).over(back)).withColumn("_n", F.first("_value", ignorenulls=True).over(ahead))
+    return rows.where("_left = 1").select("_row.*", _nearest(reach)["value"].alias(out))
+
+
+def _reaching(r_rows: DataFrame, reach: int, seconds: int) -> DataFrame:
+    """Each right row in every bucket that its tolerance reaches."""
+    return r_rows.withColumn("_b", F.explode(F.sequence(_bucket(F.col("_us") - reach, seconds), _bucket(F.col("_us") + reach, seconds))))
+
+
+def _nearest(reach: int) -> Column:
+    """The nearer of _p and _n, the values before and after, if within reach."""
 
     def candidate(c: str) -> Column:
         gap = F.abs(F.col(f"{c}.us") - F.col("_us"))
@@ -82,8 +106,7 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str,
 
     p, n = candidate("_p"), candidate("_n")
     order = lambda c: F.struct(c["gap"], c["ord"])
-    best = F.when(p.isNull(), n).when(n.isNull(), p).when(order(p) <= order(n), p).otherwise(n)
-    return rows.where("_left = 1").select("_row.*", best["value"].alias(out))
+    return F.when(p.isNull(), n).when(n.isNull(), p).when(order(p) <= order(n), p).otherwise(n)
 
 
 def interval_join_first(left: DataFrame, intervals: DataFrame, by: Sequence[str], ts: str, values: Sequence[str], *, start: str = "start_time", end: str = "end_time", ordinal: str = "ordinal", passenger: str | None = "is_passenger", bucket_seconds: int = DAY) -> DataFrame:
@@ -112,10 +135,21 @@ def enrich_gps(gps: DataFrame, states: DataFrame, odometers: DataFrame, assignme
     """gps with the engine state as of its time, the nearest odometer and the driver then.
 
     states(ts, engine_state, ordinal), odometers(ts, odometer, ordinal) and assignments(start_time, end_time,
-    is_passenger, driver_id, driver_name, ordinal) share the key columns by.
+    is_passenger, driver_id, driver_name, ordinal) share the key columns by. States and odometers are dealt out with
+    the readings at once, so a reading moves once for both.
     """
-    out = asof_backward(gps, states, by, ts, "engine_state")
-    out = asof_nearest(out, odometers, by, ts, "odometer", tolerance_s=tolerance_s)
+    reach, seconds = int(round(tolerance_s * 1_000_000)), max(DAY, int(2 * tolerance_s) + 1)
+    l_rows, s_rows = (_dealt(d, by, seconds) for d in _payload(gps, states, by, ts, "ts", "engine_state", "ordinal"))
+    o_rows = _reaching(_payload(gps, odometers, by, ts, "ts", "odometer", "ordinal")[1], reach, seconds)
+    s_rows = l_rows.unionByName(s_rows).unionByName(_carried(l_rows, s_rows, by)).withColumnRenamed("_value", "_state")
+    o_rows = o_rows.withColumn("_ord", -F.col("_ord"))  # of equal times the first counts, so it comes last
+    rows = s_rows.unionByName(o_rows, allowMissingColumns=True)
+    part = Window.partitionBy(*by, "_b")
+    back = part.orderBy(F.col("_us").asc_nulls_first(), "_left", "_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = part.orderBy("_us", F.col("_left").desc(), F.col("_ord").desc()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    rows = rows.withColumns({"_s": F.last("_state", ignorenulls=True).over(back), "_p": F.last("_value", ignorenulls=True).over(back), "_n": F.first("_value", ignorenulls=True).over(ahead)})
+    state = F.when(F.col("_us").isNotNull() & _known(by), F.col("_s.value"))
+    out = rows.where("_left = 1").select("_row.*", state.alias("engine_state"), _nearest(reach)["value"].alias("odometer"))
     return interval_join_first(out, assignments, by, ts, ["driver_id", "driver_name"])
 
 

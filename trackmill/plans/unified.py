@@ -74,10 +74,12 @@ def coerce_string(c: Column, kind: T.DataType) -> Column:
     return c.cast("string")
 
 
-def enforce_schema(df: DataFrame) -> DataFrame:
-    """The 14 columns in order with their types. Further columns go, blanks and bad values are null; idempotent."""
-    df = blank_to_null(require_columns(df).select(*TELEMETRY_COLUMNS))
-    out = []
+def enforce_schema(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The 14 columns in order with their types. Blanks and bad values are null; idempotent.
+
+    Further columns go, but for those in keep, which follow as they are.
+    """
+    df, out = blank_to_null(require_columns(df).select(*TELEMETRY_COLUMNS, *keep)), []
     for field in TELEMETRY_SCHEMA.fields:
         c, kind = F.col(field.name), df.schema[field.name].dataType
         if isinstance(field.dataType, T.TimestampType):
@@ -87,7 +89,7 @@ def enforce_schema(df: DataFrame) -> DataFrame:
         else:
             c = coerce_string(c, kind)
         out.append(c.alias(field.name))
-    return df.select(*out)
+    return df.select(*out, *keep)
 
 
 def trimmed(c: Column, kind: T.DataType) -> Column:

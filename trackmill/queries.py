@@ -6,6 +6,7 @@ readings, signups driver assignments; a user is a vehicle.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -275,10 +276,10 @@ def odometer_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, "purchase").select("event_id", fn.meters_to_miles(meters).alias("miles"), fn.meters_to_km(meters).alias("km"), best.alias("best"))
 
 
-@_register("SELECT event_id AS ordinal, 43200.0::DOUBLE AS seconds, 12.0::DOUBLE AS hours FROM events WHERE event_type = 'signup'")
+@_register("SELECT event_id AS ordinal, (43200 + event_id % 36000)::DOUBLE AS seconds, round((43200 + event_id % 36000) / 3600.0::DOUBLE, 9) AS hours FROM events WHERE event_type = 'signup'")
 def assignment_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = F.col("start_time"), F.col("end_time")
-    return _assignments(spark, sf_dir).select("ordinal", fn.duration_seconds(a, b).alias("seconds"), fn.duration_hours(a, b).alias("hours"))
+    a, b = F.col("start_time"), F.timestamp_micros(F.unix_micros("end_time") + F.col("ordinal") % 36000 * 1_000_000)
+    return _assignments(spark, sf_dir).select("ordinal", fn.duration_seconds(a, b).alias("seconds"), F.round(fn.duration_hours(a, b), 9).alias("hours"))
 
 
 @_register(f"""WITH x AS (SELECT event_id, {_TYPE} AS t, CASE WHEN event_id % 7 <> 0 THEN value - 50 END AS v FROM events)
@@ -366,20 +367,25 @@ def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(analytics.dataset_summary(flat(spark, sf_dir)))
 
 
-def _gaps_sql(unit: str, value: str, alias: str, fill: str) -> str:
+def _gaps_sql(unit: str, value: str, alias: str, fill: str, rows: str = "location_description = 'view'") -> str:
     return f"""WITH {FLAT}, b AS (SELECT provider, date_trunc('{unit}', timestamp)::TIMESTAMP AS bucket, {value} AS v FROM flat WHERE event_hour GROUP BY ALL),
         r AS (SELECT provider, unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 {unit})) AS bucket FROM b GROUP BY provider)
-        SELECT r.provider, r.bucket, {fill} AS {alias} FROM r LEFT JOIN b ON r.provider = b.provider AND r.bucket = b.bucket""".replace("WHERE event_hour ", "WHERE location_description = 'view' ")
+        SELECT r.provider, r.bucket, {fill} AS {alias} FROM r LEFT JOIN b ON r.provider = b.provider AND r.bucket = b.bucket""".replace("WHERE event_hour ", f"WHERE {rows} ")
 
 
 @_register(_gaps_sql("hour", "round(avg(speed_mph), 6)", "mean_speed_mph", "b.v"))
 def hourly_mean_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of one event type, so that hours without rows lie between at small scales."""
     return _ntz(_rounded(analytics.hourly_mean_speed(flat(spark, sf_dir).where("location_description = 'view'"))))
 
 
-@_register(_gaps_sql("day", "count(*)", "records", "coalesce(b.v, 0)"))
+#: So few rows that days without any lie between.
+_SPARSE = "speed_mph > 99.2 AND location_description <> 'view'"
+
+
+@_register(_gaps_sql("day", "count(*)", "records", "coalesce(b.v, 0)", _SPARSE))
 def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ntz(analytics.daily_counts(flat(spark, sf_dir).where("location_description = 'view'")))
+    return _ntz(analytics.daily_counts(flat(spark, sf_dir).where(_SPARSE)))
 
 
 @_register("SELECT ts::DATE AS date, count(*) AS records FROM events GROUP BY ALL")
@@ -409,11 +415,12 @@ _START, _END = datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 1, 30,
     SELECT x.batch_id, x.start_at, x.end_at, count(e.event_id) AS records FROM x LEFT JOIN events e ON e.ts >= x.start_at AND e.ts <= x.end_at WHERE x.start_at < x.end_at GROUP BY ALL"""
 )
 def batch_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ends of a window count, so a row on a border is in two; each row knows its windows by arithmetic."""
     rows = [(k, a, b) for k, (a, b) in enumerate(incremental.batch_windows(_START, _END, 2.5))]
     windows = spark.createDataFrame(rows, "batch_id long, start_at timestamp, end_at timestamp")
-    e = _events(spark, sf_dir).select("event_id", "ts")
-    inside = e.join(F.broadcast(windows), (F.col("ts") >= F.col("start_at")) & (F.col("ts") <= F.col("end_at")), "right")  # a dozen windows
-    return _ntz(inside.groupBy("batch_id", "start_at", "end_at").agg(F.count("event_id").alias("records")))
+    e = _events(spark, sf_dir).where((F.col("ts") >= F.lit(_START)) & (F.col("ts") <= F.lit(_END)))
+    counts = e.select(F.explode(incremental.batch_ids(F.col("ts"), _START, 2.5)).alias("batch_id")).groupBy("batch_id").agg(F.count("*").alias("records"))
+    return _ntz(windows.join(counts, "batch_id", "left").withColumn("records", F.coalesce("records", F.lit(0))))
 
 
 @_register("SELECT floor((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 216000000000)::BIGINT AS batch_id, count(*) AS records FROM events GROUP BY ALL")
@@ -422,13 +429,14 @@ def batch_tagged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_register(
-    """WITH p AS (SELECT o_custkey % 50 AS batch_id, o_orderkey % 7 + 1 AS page_no, 650 AS total, 100 AS per_page FROM orders),
-    s AS (SELECT batch_id, 7 AS expected, list_sort(list(DISTINCT page_no)) AS seen FROM p GROUP BY batch_id)
-    SELECT batch_id, expected::BIGINT AS expected, len(seen)::INTEGER AS n_seen, len(list_filter(range(1, 8), lambda x: NOT list_contains(seen, x)))::INTEGER AS n_missing, len(seen) = 7 AS complete FROM s"""
+    """WITH p AS (SELECT o_custkey AS batch_id, o_orderkey % 7 + 1 AS page_no, o_custkey % 9 * 10 AS total, 10 AS per_page FROM orders),
+    s AS (SELECT batch_id, ceil(max(total) / 10.0)::BIGINT AS expected, list_sort(list(DISTINCT page_no)) AS seen FROM p GROUP BY batch_id)
+    SELECT batch_id, expected, len(seen)::INTEGER AS n_seen, len(list_filter(range(1, expected + 1), lambda x: NOT list_contains(seen, x)))::INTEGER AS n_missing,
+    len(list_filter(range(1, expected + 1), lambda x: NOT list_contains(seen, x))) = 0 AS complete FROM s"""
 )
 def page_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = F.struct(F.lit(100).cast("long").alias("per_page"), (F.col("o_orderkey") % 7 + 1).cast("long").alias("page_no"), F.lit(650).cast("long").alias("total"))
-    pages = _table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("batch_id"), page.alias("pagination"))
+    page = F.struct(F.lit(10).cast("long").alias("per_page"), (F.col("o_orderkey") % 7 + 1).cast("long").alias("page_no"), (F.col("o_custkey") % 9 * 10).cast("long").alias("total"))
+    pages = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("batch_id"), page.alias("pagination"))
     found = audit_pages(pages, "motive_vehicles", ["batch_id"])
     return found.select("batch_id", "expected", F.size("seen").alias("n_seen"), F.size("missing").alias("n_missing"), "complete")
 
@@ -437,7 +445,11 @@ def page_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _root(spark: SparkSession, name: str) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="trackmill-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.match(r"local(\[.*)?$", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="trackmill-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -495,3 +507,6 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = _states(spark, sf_dir).select(F.col("user_id").cast("string").alias("provider_vehicle_id"), "ts", "engine_state", "ordinal")
     joined = temporal.asof_backward(readings, states, ["provider_vehicle_id"], "timestamp", "engine_state")
     return analytics.vehicle_activity(unified.enforce_schema(joined))
+
+
+from trackmill import page_queries  # noqa: E402, F401  registers the queries over pages, stored days and streams

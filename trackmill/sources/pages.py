@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,17 +13,21 @@ from trackmill.functions.telemetry import normalize_engine_state, normalize_fuel
 from trackmill.plans.unified import filter_time_range, in_domain, quarantine, trim_strings
 from trackmill.sources.schemas import DOMAINS, ENDPOINTS, FIELD_DOMAINS, Endpoint
 
-#: Where an item came from; with these as the order, runs agree.
+#: Where an item came from; with these as the order, runs agree. A reading in a series has its ordinal besides.
 ORIGIN = ("_file", "_page", "_pos")
+ARRIVAL = (*ORIGIN, "_ordinal")
 
 
-def read_pages(spark: SparkSession, endpoint: str, path: str | Sequence[str], stream: bool = False) -> DataFrame:
+def read_pages(spark: SparkSession, endpoint: str, path: str | Sequence[str], stream: bool = False, skip_unreadable: bool = False) -> DataFrame:
     """Typed pages of one endpoint with _corrupt (the text of a page with a bad field) and _file.
 
     A bad nested field nulls that field and marks its page; the page's other fields stay. Unknown fields are ignored.
+    skip_unreadable passes over files that are missing or damaged, and reads the others.
     """
     schema = T.StructType([*ENDPOINTS[endpoint].page_schema().fields, T.StructField("_corrupt", T.StringType())])
     reader = (spark.readStream if stream else spark.read).schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+    if skip_unreadable:
+        reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
     return reader.json(path).withColumn("_file", F.col("_metadata.file_path"))
 
 
@@ -64,6 +69,28 @@ def read_items(spark: SparkSession, endpoint: str, path: str | Sequence[str]) ->
     return validated(unwrap_items(read_pages(spark, endpoint, path), endpoint), endpoint)[0]
 
 
+def rejected(pages: DataFrame, endpoint: str) -> DataFrame:
+    """What read_items leaves out: (_file, reason, content), a row per bad item and per page with a bad field.
+
+    A page that can't be parsed at all has no items, and its text is the content.
+    """
+    bad = validated(unwrap_items(pages, endpoint), endpoint)[1]
+    items = bad.select("_file", F.array_join("_errors", ", ").alias("reason"), F.to_json(F.struct(*[c for c in bad.columns if c not in (*ORIGIN, "_errors")])).alias("content"))
+    reason = F.when(F.col(ENDPOINTS[endpoint].array).isNull(), "unreadable page").otherwise("page with a bad field")
+    # the reader refuses to give _corrupt without another field
+    some = F.coalesce(F.size(ENDPOINTS[endpoint].array), F.lit(0)) >= 0
+    broken = pages.where(F.col("_corrupt").isNotNull() & some).select("_file", reason.alias("reason"), F.col("_corrupt").alias("content"))
+    return items.unionByName(broken)
+
+
+def or_none(read: Callable[..., DataFrame], *args, **more) -> DataFrame | None:
+    """What read gives, or None where its path can't be read: an input that a run can do without."""
+    try:
+        return read(*args, **more)
+    except AnalysisException:
+        return None
+
+
 def to_table(items: DataFrame) -> DataFrame:
     """Items without their origin; without items the columns stay."""
     return items.drop(*ORIGIN)
@@ -108,9 +135,10 @@ def samsara_vehicle_stats(spark: SparkSession, path: str, types: Sequence[str] =
     return read_items(spark, "samsara_vehicle_stats", path).select(*ORIGIN, "id", "name", "external_ids", *types)
 
 
-def samsara_location_stream(spark: SparkSession, path: str, vehicle_ids: Sequence[str] | None = None, start=None, end=None) -> DataFrame:
-    """Positions of the vehicles and the time range asked for; both ends count."""
-    rows = read_items(spark, "samsara_location_stream", path)
+def samsara_location_stream(spark: SparkSession, path: str, vehicle_ids: Sequence[str] | None = None, start=None, end=None, stream: bool = False) -> DataFrame:
+    """Positions of the vehicles and the time range asked for; both ends count. stream reads pages as they land."""
+    endpoint = "samsara_location_stream"
+    rows = validated(unwrap_items(read_pages(spark, endpoint, path, stream), endpoint), endpoint)[0]
     if vehicle_ids is not None:
         rows = rows.where(F.col("asset.id").isin(*vehicle_ids))
     return rows if start is None else filter_time_range(rows, "happened_at_time", start, end)
@@ -128,7 +156,10 @@ def samsara_driver_assignments(spark: SparkSession, path: str, filter_by: str =
 
 
 def explode_series(stats: DataFrame, series: str) -> DataFrame:
-    """One row per reading of a series, with its vehicle and its ordinal in the list; vehicles without any have none."""
+    """One row per reading of a series, with its vehicle and its ordinal in the list; vehicles without any have none.
+
+    An engine state that isn't known is null here and a row of unknown_states.
+    """
     if series not in ("gps", "engine_states", "obd_odometer_meters"):
         raise ValueError(f"unknown series {series}")
     own = [c for c in ("batch_id", "id", "name", "external_ids") if c in stats.columns]
@@ -136,6 +167,13 @@ def explode_series(stats: DataFrame, series: str) -> DataFrame:
     return rows.withColumn("value", normalize_engine_state(F.col("value"))) if series == "engine_states" else rows
 
 
+def unknown_states(stats: DataFrame) -> DataFrame:
+    """The engine-state readings to quarantine, with their values as they came."""
+    raw = F.filter("engine_states", lambda r: r["value"].isNull() | normalize_engine_state(r["value"]).isNull())
+    own = [c for c in ("batch_id", "id", "name", *ORIGIN) if c in stats.columns]
+    return stats.select(*own, F.explode(raw).alias("_r")).select(*own, "_r.*")
+
+
 def audit_pages(pages: DataFrame, endpoint: str, batch: Sequence[str] = ()) -> DataFrame:
     """Whether every page of a collection is there, one row per batch.
 

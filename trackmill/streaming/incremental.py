@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from trackmill.operators.flatten import union_providers
 from trackmill.operators.storage import latest_partition_date, merge_partitions
 from trackmill.plans.unified import DEDUP_KEYS, enforce_schema, filter_time_range
-from trackmill.sources.pages import read_pages, unwrap_items, validated
+from trackmill.sources.pages import ARRIVAL, read_pages, rejected, unwrap_items, validated
 
-Fetch = Callable[[SparkSession, datetime, datetime], DataFrame]
+#: Gives a provider's rows of a window, or those and what it rejected.
+Fetch = Callable[[SparkSession, datetime, datetime], DataFrame | tuple[DataFrame, DataFrame]]
 
 
 def incremental_start(spark: SparkSession, root: str, default: str, lookback_days: int) -> datetime:
@@ -43,6 +44,13 @@ def batch_id(ts: Column, start: datetime, days: float) -> Column:
     return F.floor(micros / F.lit(int(days * 86_400_000_000))).cast("long")
 
 
+def batch_ids(ts: Column, start: datetime, days: float) -> Column:
+    """The numbers of the windows that hold ts, both ends counted: two on a border."""
+    own, width = batch_id(ts, start, days), int(days * 86_400_000_000)
+    border = (F.unix_micros(ts.cast("timestamp")) - F.unix_micros(F.lit(start))) % width == 0
+    return F.when(border, F.array(own - 1, own)).otherwise(F.array(own))
+
+
 @dataclass
 class RunSummary:
     """What a run did."""
@@ -51,6 +59,7 @@ class RunSummary:
     batches_with_data: int = 0
     records: int = 0
     dropped_null_time: int = 0
+    rejected: int = 0
     partitions: set[date] = field(default_factory=set)
     failed: list[tuple[int, str]] = field(default_factory=list)
 
@@ -69,46 +78,72 @@ def run_incremental(spark: SparkSession, sources: Mapping[str, Fetch], root: str
     """Fetch, unite, type and merge each window in turn.
 
     A provider that fails is left out of that window; if all fail the run stops. A provider's frame fails where it is
-    computed, so each is counted, cached, before the union.
+    computed, so each is counted, cached, before the union; the same pass counts rows without a time. Of versions of a
+    reading in one window the last to arrive stays: by provider in sorted order, then by the ARRIVAL columns that a
+    frame has, so reruns agree.
     """
     summary = RunSummary()
     for k, (a, b) in enumerate(batch_windows(start, end, days)):
         summary.batches += 1
         frames, rows = [], 0
-        for name in sorted(sources):
+        for place, name in enumerate(sorted(sources)):
             try:
-                frame = filter_time_range(enforce_schema(sources[name](spark, a, b)), "timestamp", a, b).persist()
-                rows += frame.count()
-                frames.append(frame)
+                found = sources[name](spark, a, b)
+                found, bad = found if isinstance(found, tuple) else (found, None)
+                frame = enforce_schema(found, [c for c in ARRIVAL if c in found.columns]).withColumn("_source", F.lit(place)).persist()
+                inside = F.col("timestamp").between(F.lit(a), F.lit(b))
+                seen = frame.agg(F.count_if(inside).alias("rows"), F.count_if(F.col("timestamp").isNull()).alias("nulls")).first()
+                rejected = bad.count() if bad is not None else 0
             except Exception as failure:  # whatever stops a provider, the others go on
                 summary.failed.append((k, f"{name}: {type(failure).__name__}"))
+                continue
+            rows += seen.rows
+            summary.dropped_null_time += seen.nulls
+            summary.rejected += rejected
+            frames.append(frame)
         if not frames:
             raise AllProvidersFailed(k, summary)
         if rows:
-            everything = union_providers(frames)
+            order = ["_source", *[c for c in ARRIVAL if any(c in f.columns for f in frames)]]
+            everything = filter_time_range(union_providers(frames, order), "timestamp", a, b)
             summary.batches_with_data += 1
             summary.records += rows
-            summary.dropped_null_time += everything.where(F.col("timestamp").isNull()).count()
-            summary.partitions |= set(merge_partitions(everything, root))
+            summary.partitions |= set(merge_partitions(everything, root, order=order))
         for frame in frames:
             frame.unpersist()
     return summary
 
 
-def stream_ingest(spark: SparkSession, endpoint: str, path: str, root: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame], ts: str = "timestamp"):
-    """Merge new landed pages into the dataset, whatever has come since the last call, and return the ended query.
+def stream_ingest(spark: SparkSession, endpoint: str, path: str, root: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame], ts: str = "timestamp", quarantine: str | None = None) -> RunSummary:
+    """Merge new landed pages into the dataset, whatever has come since the last call, and say what was done.
 
-    transform gives the unified columns from an endpoint's valid items. Each micro-batch is merged like a batch, so a
-    repeated or late reading replaces the stored one.
+    transform gives the unified columns from an endpoint's valid items, and those of ARRIVAL if it keeps them. Each
+    micro-batch is merged like a batch, so a repeated or late reading replaces the stored one, and of a batch's versions
+    the last to arrive stays. Bad items and unreadable pages are counted, and kept in the folder quarantine if it is
+    given.
     """
+    summary = RunSummary()
 
     def upsert(batch: DataFrame, _: int) -> None:
-        rows = enforce_schema(transform(validated(unwrap_items(batch, endpoint), endpoint)[0]))
-        merge_partitions(rows, root, ts=ts)
+        pages = batch.persist()
+        found = transform(validated(unwrap_items(pages, endpoint), endpoint)[0])
+        order = [c for c in ARRIVAL if c in found.columns]
+        rows, bad = enforce_schema(found, order).persist(), rejected(pages, endpoint).persist()
+        seen = rows.agg(F.count(ts).alias("rows"), F.count_if(F.col(ts).isNull()).alias("nulls")).first()
+        summary.batches += 1
+        summary.batches_with_data += bool(seen.rows)
+        summary.records += seen.rows
+        summary.dropped_null_time += seen.nulls
+        summary.rejected += bad.count()
+        summary.partitions |= set(merge_partitions(rows, root, ts=ts, order=order))
+        if quarantine:
+            bad.write.mode("append").parquet(quarantine)
+        for table in (rows, bad, pages):
+            table.unpersist()
 
     query = read_pages(spark, endpoint, path, stream=True).writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return query
+    return summary
 
 
 def first_within(stream: DataFrame, lookback_days: int = 7) -> DataFrame:
