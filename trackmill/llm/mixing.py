@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackmill.llm.common import word_count, written
+from trackmill.llm.common import scratch, word_count, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -26,26 +26,40 @@ LADDER, DRAWS = 16, 8
 _EPS = 1e-9
 
 
+def _ranked(sources: DataFrame) -> DataFrame:
+    """sources with nth, their number from 0 by code point, null last.
+
+    Ranges of sources are numbered on their own and moved by the sizes of the ranges before, one number per partition.
+    """
+    ranges = sources.repartitionByRange(F.col("source").isNull(), "source").withColumn("range", F.spark_partition_id())
+    ranges = written(ranges, "source-ranges")
+    sizes = {r.range: r["count"] for r in ranges.groupBy("range").count().collect()}
+    before = {k: sum(n for j, n in sizes.items() if j < k) for k in sizes}
+    moved = F.coalesce(*[F.when(F.col("range") == k, F.lit(n)) for k, n in before.items()], F.lit(0))
+    inside = Window.partitionBy("range").orderBy(F.col("source").asc_nulls_last())
+    return ranges.withColumn("nth", F.row_number().over(inside) - 1 + moved).drop("range")
+
+
 def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """Adds target to sources(source, source_size), one row per source.
 
     Sources by code point, null last, weigh as in weights, repeating. They share share times the whole size by weight;
-    a target stops at most times its source's size and the excess is shared again by weight. In closed form: in
-    ascending order of size by weight, the first source that the level (what is left by the weight that is left)
-    doesn't fill sets the level for all after it. Works on one row per source; the windows run over those rows alone.
+    a target stops at most times its source's size and the excess is shared again by weight until none is above. Each
+    sharing is one aggregation, and what stops at one level stops at all later ones.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = sources.withColumn("_weight", F.get(cycle, (F.row_number().over(by_name) - 1) % len(weights)))
-    ranked = ranked.withColumn("_cap", F.col("source_size") * F.lit(most)).withColumn("_ratio", F.col("_cap") / F.col("_weight"))
-    before = Window.orderBy("_ratio", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing).orderBy(F.lit(1))
-    left = F.sum("source_size").over(whole) * F.lit(share) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))
-    weight = F.sum("_weight").over(whole) - F.coalesce(F.sum("_weight").over(before), F.lit(0.0))
-    ranked = ranked.withColumn("_level", left / weight)
-    ranked = ranked.withColumn("_level", F.max(F.when(F.col("_level") <= F.col("_ratio"), F.col("_level"))).over(whole))
-    target = F.least(F.col("_cap"), F.coalesce(F.col("_level") * F.col("_weight"), F.col("_cap")))
-    return ranked.withColumn("target", target).drop("_weight", "_cap", "_ratio", "_level")
+    ranked = _ranked(sources).withColumn("_weight", F.get(cycle, F.col("nth") % len(weights))).withColumn("_cap", F.col("source_size") * F.lit(most))
+    ranked = written(ranked.drop("nth"), "source-weights")
+    total = ranked.agg(F.sum("source_size")).first()[0] or 0
+    level, stopped = 0.0, -1
+    while True:
+        full = F.col("_cap") <= F.col("_weight") * F.lit(level)
+        row = ranked.agg(F.count_if(full).alias("n"), F.sum(F.when(full, F.col("source_size")).otherwise(0)).alias("size"), F.sum(F.when(full, 0.0).otherwise(F.col("_weight"))).alias("weight")).first()
+        if row.n == stopped or not row.weight:
+            break
+        stopped, level = row.n, (total * share - row.size * most) / row.weight
+    target = F.when(full, F.col("_cap")).otherwise(F.col("_weight") * F.lit(level))
+    return ranked.withColumn("target", target).drop("_weight", "_cap")
 
 
 def _draw(seed: str) -> float:
@@ -144,16 +158,18 @@ def land(sizes: list[float], chances: list[float], seed: str) -> list[float]:
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:
     """One row per row of docs: id_col, source, size, source_size, target, copies, taken.
 
-    size counts words; null and empty texts have none and are taken 0 times. Rows that repeat an id with the same size
-    are documents of their own. Choices depend on ids, sizes and sources alone, so reruns agree. A null source is a
-    source of its own. Other columns of docs are not read. An empty table gives an empty result.
+    size counts words; null and empty texts have none and are taken 0 times. Rows that repeat an id with the same size,
+    those without ids too, are documents of their own that nothing tells apart, so any of them may be the ones taken
+    once more. Choices depend on ids, sizes and sources alone, so reruns agree. A null source is a source of its own.
+    Other columns of docs are not read. An empty table gives an empty result.
     """
-    sized = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("n"))
-    targets = written(source_targets(sources).withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)), "targets")
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    keys = written(sized.groupBy("id", "source", "size").agg(F.count("*").alias("times")), "sizes")
+    sources = keys.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("source_size"), F.sum(F.when(F.col("size") > 0, F.col("times")).otherwise(0)).alias("n"))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    targets = written(source_targets(sources).withColumn("rate", rate), "targets")
     # equal rows of one id are numbered so that each is a document of its own
-    keys = sized.where("size > 0").withColumn("id", F.col("id").cast("string")).groupBy("id", "source", "size").agg(F.count("*").alias("times"))
-    units = keys.select("id", "source", "size", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("row"))
+    units = _repeated(keys.where("size > 0").select(F.col("id").cast("string").alias("id"), "source", "size", "times"), "times", "row")
     rates = targets.select(F.col("source").alias("t_source"), "rate", "n")
     units = units.join(rates, units["source"].eqNullSafe(rates["t_source"])).drop("t_source")
     undecided = units.select("source", "id", "size", "row", "n", F.xxhash64("id", "size", "row").alias("order"), (F.col("rate") - F.floor("rate")).alias("chance"))
@@ -172,26 +188,38 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         # two of each block go on; blocks are that much fewer in the next round
         most = -(-most * 3 // block)
         left = left.withColumn("n", F.ceil(F.col("n") * 3 / F.lit(block)).cast("long"))
-    extra = chosen.where("chance >= 1").groupBy("source", "id", "size").agg(F.count("*").alias("more"))
-    return _taken(sized, targets, extra, id_col)
+    extra = written(chosen.where("chance >= 1").groupBy("source", "id", "size").agg(F.count("*").alias("more")), "extra")
+    return _taken(keys, targets, extra, id_col)
 
 
 def _block(blocks: Column) -> Column:
     return F.pmod(F.col("order"), F.greatest(blocks, F.lit(1)))
 
 
-def _taken(sized: DataFrame, targets: DataFrame, extra: DataFrame, id_col: str) -> DataFrame:
-    s = sized.alias("s")
-    numbered = s.withColumn("nth", F.row_number().over(Window.partitionBy("id", "source", "size").orderBy(F.lit(1))))
+def _repeated(rows: DataFrame, times: str, row: str, piece: int = BLOCK) -> DataFrame:
+    """Each row as often as the column times says, which row numbers from 1; a large number is dealt out in pieces."""
+    once = rows.where(F.col(times) == 1).withColumn(row, F.lit(1)).drop(times)
+    first = F.sequence(F.lit(1).cast("long"), F.col(times), F.lit(piece).cast("long"))
+    many = rows.where(F.col(times) > 1).withColumn(row, F.explode(first)).hint("rebalance")
+    each = F.explode(F.sequence(F.col(row), F.least(F.col(row) + piece - 1, F.col(times))))
+    return once.unionByName(many.withColumn(row, each).withColumn(row, F.col(row).cast("int")).drop(times))
+
+
+def _taken(keys: DataFrame, targets: DataFrame, extra: DataFrame, id_col: str) -> DataFrame:
     e = extra.select(F.col("id").alias("e_id"), F.col("source").alias("e_source"), F.col("size").alias("e_size"), "more")
     on = F.col("id").cast("string").eqNullSafe(F.col("e_id")) & F.col("source").eqNullSafe(F.col("e_source")) & (F.col("size") == F.col("e_size"))
     t = targets.select(F.col("source").alias("t_source"), "source_size", "target", "rate")
-    copies = F.when(F.col("size") > 0, F.floor("rate") + F.when(F.col("nth") <= F.coalesce("more", F.lit(0)), 1).otherwise(0)).otherwise(0).cast("long")
-    joined = numbered.join(e, on, "left").join(t, F.col("source").eqNullSafe(F.col("t_source"))).withColumn("copies", copies)
-    return joined.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    joined = keys.join(e, on, "left").join(t, F.col("source").eqNullSafe(F.col("t_source")))
+    copies, more = F.when(F.col("size") > 0, F.floor("rate")).otherwise(0).cast("long"), F.coalesce("more", F.lit(0))
+    # of rows that nothing tells apart, so many are taken once more
+    parts = F.array(F.struct((copies + 1).alias("copies"), more.cast("long").alias("times")), F.struct(copies.alias("copies"), (F.col("times") - more).cast("long").alias("times")))
+    joined = joined.select("id", "source", "size", "source_size", "target", F.explode(parts).alias("part")).select("*", "part.copies", "part.times").drop("part")
+    each = _repeated(joined.where("times > 0"), "times", "row")
+    return each.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The mix itself: docs, each as often as mixed has copies of it. Ids must be unique in docs."""
-    often = mixed.where("copies > 0").select(id_col, "copies")
-    return docs.join(often, id_col).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).drop("_copy")
+    """The mix itself: docs, each as often as mixed has copies of it. Ids must be unique in docs; null ids are left out."""
+    often = mixed.where("copies > 0").select(id_col, F.col("copies").alias(times := scratch(docs, "_times")))
+    row = scratch(docs, "_row")
+    return docs.join(often, id_col).withColumn(row, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*docs.columns)
