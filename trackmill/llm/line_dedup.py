@@ -1,23 +1,31 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
 Lines within k edits of each other share one of the k + 1 segments of the shorter one, at a place that the lengths and
-the segment's number confine to a few. Distinct lines index their segments by length and number and look up the
-substrings at those places; lines that meet are verified with a banded bit-parallel edit distance. Classes of lines
-are connected by such links; of each class the first line in the corpus stays.
+the segment's number confine to a few. How many edits are allowed hangs on the shorter line's length. Distinct lines
+index their segments by length and number and look up the substrings at those places; lines that meet are verified with
+a banded bit-parallel edit distance. Where very many lines share a segment, what is left of them beside it, which holds
+all the edits, is cut and looked up in the same way. Classes of lines are connected by such links; of each class the
+first line in the corpus stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackmill.llm.common import connected_components, written
+from trackmill.llm.common import connected_components, discard, scratch, written
 
-#: Edits allowed, and characters from which a line takes part in the edit join; shorter ones are matched exactly.
-MAX_EDITS, LEAST_CHARS = 2, 20
+#: (characters of the shorter line, edits): so many edits are allowed from so many characters on, none below the first.
+BANDS = ((8, 1), (20, 2))
+#: Entries under one key beyond which the rest of the lines is looked up as well.
+HEAVY = 1000
+#: A line that isn't blank.
+NOT_BLANK = r"[^\n]*[^\x20\x09-\x0D\n][^\n]*"
 #: Letters that signatures count.
 LETTERS = "eantirosdhlucmgpbfvw"
-#: Line numbers (8 bytes each) that are broadcast at most.
+#: Line numbers or keys (8 bytes each) that are broadcast at most; more of them take a shuffle.
 MOST_BROADCAST = 500_000
 
 
@@ -26,9 +34,14 @@ def _hash(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("line"), line).alias("h2")]
 
 
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, at, line): the lines of docs, trimmed, with their numbers from 0; blank lines are left out."""
-    split = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("at", "line"))
+    """(id, t, at, line): the lines of docs, trimmed, with their numbers from 0 in the text t; blank lines are left out."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    split = docs.select(F.col(id_col).alias("id"), _text_key(text).alias("t"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
     return split.withColumn("line", F.btrim("line", F.lit(" \t\n\x0b\f\r"))).where("line != ''")
 
 
@@ -36,41 +49,58 @@ def _segment_start(length: Column, number: int, k: int) -> Column:
     return F.floor(length * number / (k + 1)).cast("int")
 
 
-def segments(line: Column, k: int) -> list[Column]:
-    """Keys under which a line is indexed: its length, a segment's number and the segment."""
-    length = F.length(line)
-    out = []
+def _places(line: Column, k: int, shorter: int) -> list[tuple[int, int, Column, Column, Column]]:
+    """(segment's number, shift, place from 0, size, whether it fits) of what a line looks up among lines so much shorter.
+
+    Segment i of the shorter line, if unchanged, lies at most i before or after its own place counted from the left,
+    and at most k - i counted from the right.
+    """
+    out, length = [], F.length(line) - shorter
     for i in range(k + 1):
         start, end = _segment_start(length, i, k), _segment_start(length, i + 1, k)
-        out.append(F.xxhash64(length, F.lit(i), F.substring(line, start + 1, end - start)))
+        for shift in range(max(-i, shorter - (k - i)), min(i, shorter + (k - i)) + 1):
+            at = start + shift
+            out.append((i, shift, at, end - start, (at >= 0) & (at + end - start <= F.length(line)) & (length > 0)))
     return out
 
 
+def _key(line: Column, shorter: int, i: int, at: Column, size: Column) -> Column:
+    return F.xxhash64(F.length(line) - shorter, F.lit(i), F.substring(line, at + 1, size))
+
+
+def segments(line: Column, k: int) -> list[Column]:
+    """Keys under which a line is indexed: its length, a segment's number and the segment."""
+    own = [p for p in _places(line, k, 0) if p[1] == 0]
+    return [_key(line, 0, i, at, size) for i, _, at, size, _ in own]
+
+
 def probes(line: Column, k: int) -> list[Column]:
-    """Keys under which a line looks up lines that are up to k characters shorter, or as long.
+    """Keys under which a line looks up lines that are up to k characters shorter, or as long; itself among them."""
+    return [F.when(fits, _key(line, shorter, i, at, size)) for shorter in range(k + 1) for i, _, at, size, fits in _places(line, k, shorter)]
 
-    Segment i of the shorter line, if unchanged, lies at most i before or after its own place counted from the left,
-    and at most k - i counted from the right.
-    """
-    out = []
-    for shorter in range(k + 1):
-        length = F.length(line) - shorter
-        for i in range(k + 1):
-            start, end = _segment_start(length, i, k), _segment_start(length, i + 1, k)
-            for shift in range(max(-i, shorter - (k - i)), min(i, shorter + (k - i)) + 1):
-                at = start + shift
-                fits = (at >= 0) & (at + end - start <= F.length(line)) & (length > 0)
-                out.append(F.when(fits, F.xxhash64(length, F.lit(i), F.substring(line, at + 1, end - start))))
-    return out
 
+def _entries(line: Column, bands: Sequence[tuple[int, int]], what) -> Column:
+    """An array of what(key, own, at, size) for all that a line looks up; own marks what it is itself indexed under.
 
-def _own(k: int) -> list[int]:
-    """Where probes() has the line's own segments: as long as itself and unshifted."""
-    out, at = [], 0
-    for i in range(k + 1):
-        least, most = max(-i, i - k), min(i, k - i)
-        out.append(at - least)
-        at += most - least + 1
+    Entries may be null. Lines whose every partner is in one band have only that band's.
+    """
+    length = F.length(line)
+    whole, plain = [], []
+    for (least, k), most in zip(bands, [*[b[0] for b in bands[1:]], None], strict=True):
+        found = []
+        for shorter in range(k + 1):
+            inside = length - shorter >= least
+            if most is not None:
+                inside &= length - shorter < most
+            for i, shift, at, size, fits in _places(line, k, shorter):
+                entry = what(_key(line, shorter, i, at, size), shorter == 0 and shift == 0, at, size)
+                found.append(F.when(fits, entry))
+                whole.append(F.when(inside & fits, entry))
+        only = length - k >= least
+        plain.append((only if most is None else only & (length < most), F.array(*found)))
+    out = F.array(*whole)
+    for only, found in plain:
+        out = F.when(only, found).otherwise(out)
     return out
 
 
@@ -166,38 +196,72 @@ def letter_signature(line: Column) -> Column:
     return out
 
 
-def line_links(found: DataFrame, k: int = MAX_EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """(a, b): identities of different lines of found(line) within k edits, each pair once. Lines may repeat.
+def _within(a: Column, b: Column, bands: Sequence[tuple[int, int]]) -> Column:
+    """Whether two lines are within the edits that the shorter one's length allows."""
+    least, out = F.least(F.length(a), F.length(b)), F.lit(False)
+    for chars, k in bands:
+        near = (F.abs(F.length(a) - F.length(b)) <= k) & (edit_distance_within(a, b, k) <= k)
+        out = F.when(least >= chars, near).otherwise(out)
+    return out
+
+
+def _few(table: DataFrame) -> DataFrame:
+    """A written table of numbers, to be broadcast if a count finds it small."""
+    return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
+
+
+def line_links(found: DataFrame, bands: Sequence[tuple[int, int]] = BANDS, heavy: int = HEAVY) -> DataFrame:
+    """(a, b): identities of different lines of found(line) within their edits, each pair once. Lines may repeat.
 
-    First only keys are dealt out, once per distinct line and task, to find the lines that meet another one. The texts
-    of those are fetched, their pairs formed under a condition on signatures, and the pairs verified.
+    First only keys are dealt out, once per distinct line and task, and keys that two lines share are found by partial
+    aggregates, so a key of very many lines is no single task's. The texts of lines under those are fetched, their pairs
+    formed under a condition on signatures, and the pairs verified. Keys of more than heavy entries are joined on a
+    second key, a segment of the rest of the line, which loses no link.
     """
-    long = found.where(F.length("line") >= least_chars)
-    tried = F.array(*probes(F.col("line"), k))
+    long, most = found.where(F.length("line") >= bands[0][0]), max(k for _, k in bands)
+    # the last bit says whether a line is indexed under the key or looks it up
+    tried = _entries(F.col("line"), bands, lambda key, own, at, size: key.bitwiseAND(_long(-2)).bitwiseOR(_long(int(own))))
     distinct = long.select(*_hash(F.col("line")), tried.alias("tried")).groupBy("h1", "h2").agg(F.any_value("tried").alias("tried"))
-    rows = distinct.select("h1", F.posexplode("tried").alias("at", "key")).where("key IS NOT NULL")
-    rows = rows.select("h1", "key", F.col("at").isin(_own(k)).alias("own"))
-    # a line looks itself up as well, so a key's rows hold both who has the segment and who asks for it
-    same = Window.partitionBy("key")
+    distinct = written(distinct.select("h1", "tried"), "lines-tried")
+    rows = distinct.select("h1", F.explode("tried").alias("key")).where("key IS NOT NULL").select("h1", F.shiftright("key", 1).alias("key"), (F.col("key") % 2 != 0).alias("own"))
     owner = F.when(F.col("own"), F.col("h1"))
-    ends = {"lo": F.min("h1"), "hi": F.max("h1"), "lo_own": F.min(owner), "hi_own": F.max(owner)}
-    rows = rows.withColumns({name: end.over(same) for name, end in ends.items()})
-    other = (F.col("own") & (F.col("lo") != F.col("hi"))) | (F.col("lo_own") != F.col("h1")) | (F.col("hi_own") != F.col("h1"))
-    met = rows.where(other).select(F.col("h1").alias("met")).distinct()
-    texts = _texts(long.select(F.xxhash64("line").alias("h1"), "line"), written(met, "lines-met"))
-    signed = texts.withColumn("sig", letter_signature(F.col("line")))
-    index = signed.select(F.col("h1").alias("p"), F.col("sig").alias("sig_p"), F.explode(F.array(*segments(F.col("line"), k))).alias("key"))
-    probe = signed.select(F.col("h1").alias("q"), F.col("sig").alias("sig_q"), F.explode(F.array(*probes(F.col("line"), k))).alias("key_q")).where("key_q IS NOT NULL")
-    meet = (F.col("key") == F.col("key_q")) & (F.col("p") != F.col("q"))
-    alike = meet & (F.bit_count(F.col("sig_p").bitwiseXOR(F.col("sig_q"))) <= 2 * k)
-    pairs = index.join(probe, alike).select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
+    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.min(owner).alias("lo_own"), F.max(owner).alias("hi_own"))
+    shared = written(shared.where("lo_own IS NOT NULL AND lo != hi"), "keys-shared")
+    ends = _few(shared.select("key", "lo_own", "hi_own"))
+    other = F.col("own") | (F.col("lo_own") != F.col("h1")) | (F.col("hi_own") != F.col("h1"))
+    met = written(rows.join(ends, "key").where(other).select(F.col("h1").alias("met")).distinct(), "lines-met")
+    discard(distinct)
+    texts = _texts(long.select(F.xxhash64("line").alias("h1"), "line"), met)
+    tried = _entries(F.col("line"), bands, lambda key, own, at, size: F.struct(F.shiftright(key, 1).alias("key"), F.lit(own).alias("own"), at.alias("at"), size.alias("size")))
+    entries = texts.select("h1", "line", letter_signature(F.col("line")).alias("sig"), F.explode(tried).alias("e")).where("e IS NOT NULL")
+    entries = entries.withColumn("key", F.col("e.key"))
+    crowded = written(shared.where(F.col("n") > heavy).select("key"), "keys-crowded")
+    light, pairs = entries.select("h1", "sig", "key", "e.own"), None
+    if not crowded.isEmpty():
+        light = light.join(_few(crowded), "key", "left_anti")
+        dense = entries.join(_few(crowded), "key", "left_semi")
+        rest = F.concat(F.substring("line", 1, F.col("e.at")), F.substring(F.col("line"), F.col("e.at") + F.col("e.size") + 1, F.length("line")))
+        dense = dense.select("h1", "sig", "key", "e.own", rest.alias("rest"))
+        own = dense.where("own").select("h1", "sig", "key", "own", F.explode(F.array(*segments(F.col("rest"), most))).alias("second"))
+        asking = dense.select("h1", "sig", "key", F.lit(False).alias("own"), F.explode(F.array(*probes(F.col("rest"), most))).alias("second")).where("second IS NOT NULL")
+        pairs = _pairs(own, asking, ["key", "second"], most)
+    some = _pairs(light.where("own"), light, ["key"], most)
+    pairs = written((some if pairs is None else some.unionByName(pairs)).distinct(), "line-pairs")
     left = texts.select(F.col("h1").alias("p"), F.col("line").alias("a"))
     right = texts.select(F.col("h1").alias("q"), F.col("line").alias("b"))
-    near = F.abs(F.length("a") - F.length("b")) <= k
-    both = pairs.join(left, "p").join(right, "q").where(near).where(edit_distance_within(F.col("a"), F.col("b"), k) <= k)
+    both = pairs.join(left, "p").join(right, "q").where(_within(F.col("a"), F.col("b"), bands))
     return both.select(_identity(*_hash(F.col("a"))).alias("a"), _identity(*_hash(F.col("b"))).alias("b"))
 
 
+def _pairs(own: DataFrame, asking: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """(p, q): lines that meet under the keys and whose signatures are near enough for k edits."""
+    asking = asking.select(F.col("h1").alias("q"), F.col("sig").alias("sig_q"), *[F.col(c).alias(f"{c}_q") for c in keys])
+    on = (F.col("h1") != F.col("q")) & (F.bit_count(F.col("sig").bitwiseXOR(F.col("sig_q"))) <= 2 * k)
+    for c in keys:
+        on &= F.col(c) == F.col(f"{c}_q")
+    return own.join(asking, on).select(F.least("h1", "q").alias("p"), F.greatest("h1", "q").alias("q"))
+
+
 def _texts(lines: DataFrame, met: DataFrame) -> DataFrame:
     """(h1, line): the different lines whose h1 is in met.
 
@@ -215,40 +279,49 @@ def _identity(h1: Column | str, h2: Column | str) -> Column:
     return F.concat(F.lpad(F.hex(h1), 16, "0"), F.lpad(F.hex(h2), 16, "0"))
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = MAX_EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """One row per id of docs: id_col, n_lines, n_dropped, n_near, dropped (line number, kept_in), by line number.
-
-    A line is dropped if its class has an earlier line, by id and then number; kept_in is the id with the first one.
-    n_near counts the dropped lines whose class has different lines. Lines are compared trimmed; blank lines, and null
-    and empty texts, count no lines and lose none. Rows that repeat an id are one document, whose equal line numbers
-    stay or go together; ids that are null are one document, the last. Lines under least_chars match exactly only.
-    """
+def _dropped(docs: DataFrame, id_col: str, text_col: str, bands: Sequence[tuple[int, int]]) -> DataFrame:
+    """The lines to drop as (id, t, at, kept_in, near)."""
     found = lines(docs, id_col, text_col)
-    named = written(found.select("id", "at", *_hash(F.col("line"))), "lines")
-    links = written(line_links(found, k, least_chars), "line-links")
+    named = written(found.select("id", "t", "at", *_hash(F.col("line"))), "lines")
+    links = written(line_links(found, bands), "line-links")
     classes = connected_components(links).select(F.col("node").alias("line"), F.col("component").alias("class"))
-    groups = named.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count("*").alias("n")).withColumn("line", _identity("h1", "h2"))
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "t", "at")
+    groups = named.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).withColumn("line", _identity("h1", "h2"))
     joined = groups.join(classes, "line", "left")
-    plain = joined.where("class IS NULL AND n > 1").select("h1", "h2", F.col("line").alias("class"), "first", F.lit(False).alias("near"))
+    plain = joined.where("class IS NULL AND n > 1").select("h1", "h2", "first", F.lit(False).alias("near"))
     linked = written(joined.where("class IS NOT NULL").select("h1", "h2", "class", "first"), "linked")
     firsts = linked.groupBy("class").agg(F.min("first").alias("first"))
-    known = written(plain.unionByName(linked.drop("first").join(firsts, "class").withColumn("near", F.lit(True))), "repeated")
-    marked = named.join(known, ["h1", "h2"], "left")
-    # of a class and a document, the line with the least number
-    own = marked.where("class IS NOT NULL").groupBy("id", "class", "first").agg(F.array_sort(F.collect_list(F.struct("at", "near"))).alias("at"))
-    own = own.withColumn("at", F.when(F.col("id").eqNullSafe(F.col("first")), F.filter("at", lambda x: x["at"] > F.col("at")[0]["at"])).otherwise(F.col("at")))
-    gone = own.select("id", F.explode("at").alias("x"), "first").groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("x.at").alias("line"), F.col("first").alias("kept_in")))).alias("dropped"), F.count_if("x.near").alias("n_near"))
-    gone = gone.withColumnRenamed("id", "gone_id")
-    counts = named.groupBy(F.col("id").alias("own_id")).agg(F.count("*").alias("n_lines"))
-    ids = docs.select(F.col(id_col).alias("id")).distinct()
-    out = ids.join(counts, F.col("id").eqNullSafe(F.col("own_id")), "left").join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left")
-    dropped = F.coalesce("dropped", F.array().cast(gone.schema["dropped"].dataType))
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.size(dropped).cast("long").alias("n_dropped"), F.coalesce("n_near", F.lit(0)).alias("n_near"), dropped.alias("dropped"))
-
-
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = MAX_EDITS) -> DataFrame:
-    """docs with text_col rid of the lines that repeated_lines drops; other columns stay as they are."""
-    gone = repeated_lines(docs, id_col, text_col, k).where("n_dropped > 0").select(F.col(id_col).alias("_gone_id"), F.col("dropped.line").alias("_gone"))
-    out = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]), "left")
-    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    return out.withColumn(text_col, F.when(F.col("_gone").isNotNull(), kept).otherwise(F.col(text_col))).select(*docs.columns)
+    known = plain.unionByName(linked.drop("first").join(firsts, "class").select("h1", "h2", "first", F.lit(True).alias("near")))
+    known = written(known, "repeated")
+    gone = named.join(known, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    return written(gone.select("id", "t", "at", F.col("first.id").alias("kept_in"), "near").distinct(), "lines-gone")
+
+
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: Sequence[tuple[int, int]] = BANDS) -> DataFrame:
+    """One row per different id and text of docs: id_col, n_lines, n_dropped, n_near, dropped (line, kept_in), by line.
+
+    A line is dropped if its class has an earlier line, by id (null ids last), then text, then number; kept_in is the
+    id with the first one. n_near counts the dropped lines whose class has different lines. Lines are compared trimmed;
+    blank lines, and null and empty texts, count no lines and lose none. Rows that repeat id and text are one document,
+    as are null and empty texts of one id; several texts of one id are several. Texts of one id are told apart by a
+    64-bit hash. Lines under the first band's length match exactly only. Other columns of docs are not read.
+    """
+    gone = _dropped(docs, id_col, text_col, bands)
+    dropped = gone.groupBy("id", "t").agg(F.array_sort(F.collect_list(F.struct(F.col("at").alias("line"), "kept_in"))).alias("dropped"), F.count_if("near").alias("n_near"))
+    dropped = dropped.withColumnsRenamed({"id": "gone_id", "t": "gone_t"})
+    out = docs.select(F.col(id_col).alias("id"), _text_key(F.col(text_col)).alias("t"), F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(NOT_BLANK)).cast("long").alias("n_lines")).distinct()
+    out = out.join(dropped, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("t") == F.col("gone_t")), "left")
+    lost = F.coalesce("dropped", F.array().cast(dropped.schema["dropped"].dataType))
+    return out.select(F.col("id").alias(id_col), "n_lines", F.size(lost).cast("long").alias("n_dropped"), F.coalesce("n_near", F.lit(0)).alias("n_near"), lost.alias("dropped"))
+
+
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: Sequence[tuple[int, int]] = BANDS) -> DataFrame:
+    """docs with text_col rid of the lines that repeated_lines drops; other columns stay as they are.
+
+    All rows stay, also those whose lines all go; rows that repeat id and text lose the same lines.
+    """
+    gone_id, gone_t, at = scratch(docs, "_gone_id"), scratch(docs, "_gone_t"), scratch(docs, "_gone")
+    gone = _dropped(docs, id_col, text_col, bands).groupBy(F.col("id").alias(gone_id), F.col("t").alias(gone_t)).agg(F.collect_list("at").alias(at))
+    out = docs.join(gone, F.col(id_col).eqNullSafe(F.col(gone_id)) & (_text_key(F.col(text_col)) == F.col(gone_t)), "left")
+    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains(at, i)), "\n")
+    return out.withColumn(text_col, F.when(F.col(at).isNotNull(), kept).otherwise(F.col(text_col))).select(*docs.columns)
