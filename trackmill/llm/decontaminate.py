@@ -8,6 +8,7 @@ Myers' bit-parallel edit distance. Windows of one item that overlap are verified
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import ahocorasick
 import pandas as pd
@@ -15,12 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackmill.llm.common import scratch
+from trackmill.llm.common import scratch, written
 
 #: Edits allowed per character of an item, and bytes of items that one automaton is built from.
 ERROR_RATE, BLOCK_BYTES = 0.05, 4_000_000
 
-HITS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("end", T.IntegerType()), T.StructField("edits", T.IntegerType())]))
+
+def hits_type(item_id: T.DataType) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField("item_id", item_id), T.StructField("end", T.IntegerType()), T.StructField("edits", T.IntegerType())]))
 
 
 def normalised(text: str | None) -> str:
@@ -119,41 +122,59 @@ def benchmark_hits(
 ) -> DataFrame:
     """docs with hits_col added: an array of (item_id, end, edits), ordered by item; a column of that name is replaced.
 
-    Items are sent to the executors in blocks of about block_bytes of text, cut by a hash of the item, so what is
-    broadcast is bounded and the texts pass the blocks one after the other in the same task. Null, empty and blank
-    texts have no hits; null, empty and blank items and those with null ids match nothing; items too short for an edit
-    match exactly; of items that repeat an id, the one last in text order counts. Empty tables give empty hits or an
-    empty result.
+    Items go to the executors in blocks of about block_bytes of text, cut by a hash of the item, so what is broadcast
+    is bounded. Where there are several, each block's hits are written before the next block is read, and joined to the
+    texts in the end, so that one block is in memory at a time. Null, empty and blank texts have no hits; null, empty
+    and blank items and those with null ids match nothing; items too short for an edit match exactly; of items that
+    repeat an id, the one last in text order counts. Ids may have any type that has an order. Rows that repeat have the
+    same hits. Empty tables give empty hits or an empty result.
     """
-    items = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").groupBy("item_id").agg(F.max("text").alias("text"))
+    kind = hits_type(items.schema[item_id].dataType)
+    items = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").groupBy("item_id").agg(F.max("text").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
-    out, found = docs.withColumn(hits_col, F.array().cast(HITS)), scratch(docs, "_found")
+    if n > 1:
+        items = written(items, "items")
+    found, key = [], scratch(docs, "_key")
+    texts = docs.select(F.col(text_col).alias("text")).where("text IS NOT NULL")
     for k in range(n):
         block = [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect()]
-        if block:
-            out = out.withColumn(found, _find(docs, block, error_rate)(F.col(text_col))).withColumn(hits_col, F.concat(hits_col, found)).drop(found)
-    return out.withColumn(hits_col, F.array_sort(hits_col))
+        find = _find(docs, block, error_rate, kind)
+        if n == 1:
+            return docs.withColumn(hits_col, find(F.col(text_col)))
+        hits = texts.select(F.sha2("text", 256).alias(key), find(F.col("text")).alias("hits")).where(F.size("hits") > 0)
+        found.append(written(hits, "hits"))
+    every = reduce(DataFrame.unionByName, found).groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("hits")))).alias(hits_col))
+    kept = docs.drop(hits_col).withColumn(key, F.sha2(F.col(text_col), 256)).join(written(every, "hits"), key, "left")
+    return kept.withColumn(hits_col, F.coalesce(hits_col, F.array().cast(kind))).select(*docs.columns, *([] if hits_col in docs.columns else [hits_col]))
 
 
-def _find(docs: DataFrame, block: list[tuple[int, str]], error_rate: float):
-    sent = docs.sparkSession.sparkContext.broadcast((block, error_rate))
+def _find(docs: DataFrame, block: list[tuple[object, str]], error_rate: float, kind: T.ArrayType):
+    sent = docs.sparkSession.sparkContext.broadcast((block, error_rate))  # a block of bounded size
 
-    @F.pandas_udf(HITS)
+    @F.pandas_udf(kind)
     def find(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(*sent.value)
+        items, rate = sent.value
+        ordered = sorted(items)
+        matcher = Matcher([(k, text) for k, (_, text) in enumerate(ordered)], rate)
         for batch in texts:
-            yield pd.Series([[{"item_id": i, "end": e, "edits": d} for i, e, d in matcher.match(x)] for x in batch], dtype=object)
+            yield pd.Series([[{"item_id": ordered[i][0], "end": e, "edits": d} for i, e, d in matcher.match(x)] for x in batch], dtype=object)
 
     return find
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: id_col, contaminated, item_ids, n_items, least_edits (null without a hit)."""
+    """One row per row of docs: id_col, contaminated, item_ids, n_items, least_edits (null without a hit).
+
+    What benchmark_hits says of nulls, empty and repeated texts and items holds; other columns aren't read.
+    """
     hits = benchmark_hits(docs.select(F.col(id_col), F.col(text_col).alias("text")), items)
     return hits.select(id_col, (F.size("hits") > 0).alias("contaminated"), F.col("hits.item_id").alias("item_ids"), F.size("hits").cast("long").alias("n_items"), F.array_min("hits.edits").alias("least_edits"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs without those that hold a passage of the benchmark; columns stay as they are."""
+    """docs without those that hold a passage of the benchmark; columns stay as they are.
+
+    Null, empty and blank texts hold none and stay; rows that repeat go or stay together. An empty table stays so.
+    """
     return benchmark_hits(docs, items, text_col, hits_col=(found := scratch(docs, "_hits"))).where(F.size(found) == 0).select(*docs.columns)
