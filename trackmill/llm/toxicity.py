@@ -25,8 +25,10 @@ from pyspark.sql import types as T
 
 from trackmill.llm.common import scratch, written
 
-#: Bounds of the model: labelled documents it is fitted on, lexicon terms; fewest toxic documents a term must be in.
-MAX_DOCS, MAX_TERMS, LEAST_DOCS = 20_000, 2_000, 4
+#: Labelled documents the model is fitted on at most; fewest toxic documents a term must be in.
+MAX_DOCS, LEAST_DOCS = 20_000, 4
+#: Steps into which scores are gathered for their calibration.
+STEPS = 1_000
 #: A term's share among toxic documents is at least so many times its share among the others.
 LEAST_LIFT = 20.0
 TREES, DEPTH = 20, 4
@@ -126,33 +128,41 @@ def learn_lexicon(labelled: DataFrame) -> frozenset[str]:
     counts = labelled.select("text", "toxic").mapInPandas(_count_terms, "term string, toxic int, n long")
     counts = counts.groupBy("term").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
     lift = (F.col("bad") / max(1, toxic)) / ((F.col("good") + 0.5) / max(1, clean))
-    best = counts.where((F.col("bad") >= LEAST_DOCS) & (lift >= LEAST_LIFT)).orderBy(F.desc("bad"), "term").limit(MAX_TERMS)
-    return frozenset(r.term for r in best.select("term").collect())
+    # the labelled documents bound what is found
+    return frozenset(r.term for r in counts.where((F.col("bad") >= LEAST_DOCS) & (lift >= LEAST_LIFT)).select("term").collect())
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_docs: int = MAX_DOCS) -> ToxicityModel:
     """Fit on at most max_docs labelled documents, those first by a hash of their id.
 
-    Labels are 0 and 1; null labels and null ids are left out, and of several labels of one id the greatest counts.
-    With no or one class among the labels the model is that class's constant.
+    Labels are 0 and 1; null labels and null ids are left out; of several labels of one id the greatest counts, of
+    several texts of one id the least. A third of each class is held back for the calibration; where that leaves a part
+    without one of the classes, all is learned from and the trees' own probability stands. With one class among the
+    labels the model is that class's constant, without labels 0.
     """
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("toxic"))
-    some = known.orderBy(F.xxhash64("_id"), "_id").limit(max_docs)
-    labelled = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(some), "_id")
-    # the lexicon and the trees see two thirds, the calibration the rest
-    labelled = written(labelled.withColumn("fold", F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(3))), "labelled")
-    fit, held = labelled.where("fold > 0"), labelled.where("fold = 0")
-    classes = {r.toxic for r in fit.select("toxic").distinct().collect()}
-    if len(classes) < 2:
-        return ToxicityModel(frozenset(), None, None, float(max(classes, default=0)))
-    lexicon = learn_lexicon(fit)
-    rows = written(_with_features(labelled, lexicon, "text", "f").select("fold", F.col("toxic").cast("double").alias("label"), "f.*"), "features")
+    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).cast("int").alias("toxic"))
+    some = known.orderBy(F.xxhash64("key"), "key").limit(max_docs)
+    labelled = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(some), "key").groupBy("key", "toxic").agg(F.min("text").alias("text"))
+    labelled = written(labelled.withColumn("place", F.xxhash64("key", F.lit("fold"))), "labelled")
+    cuts = {r.toxic: (r.cut, r.n) for r in labelled.groupBy("toxic").agg(F.percentile_approx("place", 1 / 3).alias("cut"), F.count("*").alias("n")).collect()}
+    if len(cuts) < 2:
+        return ToxicityModel(frozenset(), None, None, float(max(cuts, default=0)))
+    back = F.lit(False)
+    if all(n > 1 for _, n in cuts.values()):
+        for toxic, (cut, _) in cuts.items():
+            back = back | ((F.col("toxic") == toxic) & (F.col("place") <= F.lit(cut)))
+    labelled = labelled.withColumn("back", back)
+    lexicon = learn_lexicon(labelled.where("NOT back"))
+    rows = written(_with_features(labelled, lexicon, "text", "f").select("back", F.col("toxic").cast("double").alias("label"), "f.*"), "features")
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).coalesce(rows.sparkSession.sparkContext.defaultParallelism)
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1, maxBins=64).fit(vectors.where("fold > 0"))
-    raw = trees.transform(vectors.where("fold = 0")).select("label", vector_to_array("probability")[1].alias("raw"))
-    if held.isEmpty():
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1, maxBins=64).fit(vectors.where("NOT back"))
+    raw = trees.transform(vectors.where("back")).select("label", vector_to_array("probability")[1].alias("raw"))
+    # calibrated on one row per step of the score, however many labels there are
+    steps = raw.groupBy(F.round(F.col("raw") * STEPS).alias("step")).agg(F.avg("raw").alias("raw"), F.avg("label").alias("label"), F.count("*").cast("double").alias("n"))
+    steps = written(steps, "calibration")
+    if steps.isEmpty():
         return ToxicityModel(lexicon, trees, None, 0.0)
-    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(raw)
+    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="n", predictionCol="calibrated").fit(steps)
     return ToxicityModel(lexicon, trees, calibration, 0.0)
 
 
