@@ -3,8 +3,8 @@ import random
 import pytest
 
 import corpus_pipeline
-from trackmill.llm.simhash import fingerprint
-from trackmill.llm.similar import similar_copies
+from trackmill.llm.simhash import majority
+from trackmill.llm.similar import hashed, similar_copies
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -18,17 +18,20 @@ def shingle_set(text):
     return {tuple(words[i : i + 5]) for i in range(max(min(1, len(words)), len(words) - 4))}
 
 
-def linked(a, b):
-    x, y = shingle_set(a), shingle_set(b)
-    bits = (fingerprint(a) ^ fingerprint(b)) % 2**64
-    return bits.bit_count() <= 3 or 5 * len(x & y) >= 4 * len(x | y) > 0
+def fingerprint(text):
+    return majority(hashed(text))
+
+
+def linked(x, y):
+    """Of two (shingle set, fingerprint)."""
+    return ((x[1] ^ y[1]) % 2**64).bit_count() <= 3 or 5 * len(x[0] & y[0]) >= 4 * len(x[0] | y[0]) > 0
 
 
 def by_hand(rows):
-    part = list(range(len(rows)))
-    for i, a in enumerate(rows):
+    part, looks = list(range(len(rows))), [(shingle_set(r[1]), fingerprint(r[1])) for r in rows]
+    for i in range(len(rows)):
         for j in range(i):
-            if part[i] != part[j] and linked(a[1], rows[j][1]):
+            if part[i] != part[j] and linked(looks[i], looks[j]):
                 part = [part[j] if p == part[i] else p for p in part]
     least = {p: min((r[0] for r, q in zip(rows, part, strict=True) if q == p and r[0] is not None), default=None) for p in part}
     return sorted(((r[0], least[p]) for r, p in zip(rows, part, strict=True)), key=str)
@@ -59,8 +62,8 @@ def test_similar_copies(spark, rows, one_of):
     frame = spark.createDataFrame(every, SCHEMA)
     got = sorted(((r.doc_id, r.component_id) for r in similar_copies(frame, one_of=one_of).collect()), key=str)
     assert got == by_hand(every)
-    close = [(a, b) for a in own for b in own if a[0] < b[0] and linked(a[1], b[1])]
-    assert sum(((fingerprint(a[1]) ^ fingerprint(b[1])) % 2**64).bit_count() > 3 for a, b in close) > 10
+    looks = [(shingle_set(r[1]), fingerprint(r[1])) for r in own]
+    assert sum(linked(x, y) and ((x[1] ^ y[1]) % 2**64).bit_count() > 3 for i, x in enumerate(looks) for y in looks[:i]) > 10
 
 
 def test_the_stage_finds_similar_texts_of_distant_fingerprints(spark):

@@ -71,6 +71,7 @@ def one_row_each(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, k
     least = written(pairs.groupBy("group").agg(F.min(place).alias("least")), "row-least")
     pairs = pairs.join(least, "group").select("id", "key", "n", (place == F.col("least")).alias("stays"))
     pairs = written(pairs.where("NOT stays OR n > 1").select("id", "key", "stays"), "row-marks")
+    discard(least)
     own_id, own_key, row = scratch(docs, "_id"), scratch(docs, "_key"), scratch(docs, "_row")
 
     def matched(frame: DataFrame, stays: bool, how: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackmill.llm.common import SPACE, one_row_each, written
+from trackmill.llm.common import SPACE, discard, one_row_each, written
 
 #: A chunk has 256 to 4096 characters and ends after one of these letters and a space; the last one may be shorter.
 CHUNK = r"(?s)(?:.{256,4096}?(?:(?<=[dgkpvw]\x20)|\z)|.{1,4096})"
@@ -48,6 +48,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the smallest id are kept; null ids are never the smallest unless a group has no other. Other columns of docs are
     not read. An empty table gives an empty result.
     """
+    recipes, groups = _recipes(docs, id_col, text_col, identifiers)
+    return recipes.join(groups, "recipe").select(
+        F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
+    )
+
+
+def _recipes(docs: DataFrame, id_col: str, text_col: str, identifiers: Sequence[Callable[[Column], Column]] = IDENTIFIERS) -> tuple[DataFrame, DataFrame]:
+    """(id, text_sha256, recipe) of each row and (recipe, keep_id, group_size) of each group, both written."""
     for identify in identifiers:
         if verified(docs, text_col, identify):
             break
@@ -56,10 +64,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("text"))
     recipes = written(text.select("id", F.sha2("text", 256).alias("text_sha256"), F.transform(chunks(F.col("text")), lambda c: identify(c)).alias("recipe")), "recipes")
     # written, so that the join deals both sides anew and can split a group of very many copies
-    groups = written(recipes.groupBy("recipe").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
-    return recipes.join(groups, "recipe").select(
-        F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
-    )
+    return recipes, written(recipes.groupBy("recipe").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"), F.min("text_sha256").alias("name")), "groups")
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -69,6 +74,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows go by id and text together: a row whose id also stands by a copy isn't touched. Null, empty and blank texts
     are texts like others and leave one row each; an empty table stays empty.
     """
-    found = exact_groups(docs, id_col, text_col)
-    rows = found.select(F.col(id_col).alias("id"), F.col("text_sha256").alias("key"), F.col("text_sha256").alias("group"))
-    return one_row_each(docs, rows, id_col, text_col, lambda text: F.sha2(normalised(text), 256))
+    recipes, groups = _recipes(docs, id_col, text_col)
+    rows = recipes.join(groups, "recipe").select("id", F.col("text_sha256").alias("key"), F.col("name").alias("group"))
+    out = one_row_each(docs, rows, id_col, text_col, lambda text: F.sha2(normalised(text), 256))
+    discard(recipes, groups)
+    return out

@@ -36,10 +36,16 @@ def fingerprint(text: str | None, width: int = 3) -> int:
         starts = [0, *ends[: -width].tolist()]
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[s:e], 42) for s, e in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)]
+    return majority(np.array(hashes, dtype="<u8"))
+
+
+def majority(values: np.ndarray) -> int:
+    """The bits that over half the values have, as a signed integer."""
+    if not len(values):
+        return 0
     ones = np.zeros(64, dtype=np.int64)
-    values = np.array(hashes, dtype="<u8")
     for at in range(0, len(values), 65536):
-        ones += np.unpackbits(values[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        ones += np.unpackbits(values[at : at + 65536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits((2 * ones > len(values)).astype(np.uint8), bitorder="little").view("<i8")[0])
 
 

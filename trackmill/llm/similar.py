@@ -1,8 +1,11 @@
-"""Near copies by the Jaccard similarity of word shingles, found by an exact prefix join.
-
-Two sets of at least 4/5 similarity share a shingle among the first fifth of each in any one order of all shingles, so
-only those are dealt out. Common shingles come last in that order; which ones they are is estimated on a part of the
-texts, as the order alone depends on it. Texts that meet are verified on their whole sets.
+"""Near copies at a stated similarity: SimHash links, completed by an exact prefix join on word shingles.
+
+Three of 64 bits is far stricter than 4/5 Jaccard similarity of five-word shingles, and a bit budget that reaches it
+(13 or more) would leave segments of 9 bits, under which variants no longer tell texts apart. So fingerprints link what
+they can, and the rest is found exactly: two sets of at least 4/5 similarity share a shingle among the first fifth of
+each in any one order of all shingles, so only those are dealt out. Common shingles come last in that order; which ones
+they are is estimated on a part of the texts, as the order alone depends on it. Texts that meet are verified on their
+whole sets.
 """
 
 from __future__ import annotations
@@ -16,26 +19,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackmill.llm.common import connected_components, written
-from trackmill.llm.simhash import _LOWER, fingerprint, fingerprint_links
+from trackmill.llm.common import connected_components, discard, one_row_each, written
+from trackmill.llm.simhash import _LOWER, fingerprint_links, majority
 
-#: Words of a shingle, and the least similarity of near copies as a fraction.
+#: Words of a shingle, of fingerprints too, and the least similarity of near copies as a fraction.
 WIDTH, LEAST, OF = 5, 4, 5
 #: Of how many texts one is looked at for common shingles, and the shingles (8 bytes each) that come last at most.
-ONE_OF, MOST_COMMON = 8, 500_000
+ONE_OF, MOST_COMMON = 32, 500_000
+#: Bits in which fingerprints may differ for a pair to be looked at before all others.
+CLOSE = 16
 #: Text numbers (8 bytes each) that are broadcast at most.
 MOST_BROADCAST = 500_000
+#: Numbers that texts may go by; the first that proves free of collisions on the texts at hand is used.
+SEEDS = (0, 1, 2, 3)
 
 
-def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
-    """Distinct hashes of the word shingles in ascending order; a text of fewer words has one, one without words none."""
+def hashed(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """Hashes of the word shingles in order, repeats included; a text of fewer words has one, one without words none."""
     words = (text or "").encode("utf-8", "replace").translate(_LOWER).split()
     if not words:
-        return np.zeros(0, np.int64)
-    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts, ends = [0, *ends[:-width].tolist()], (ends[min(width, len(words)) - 1 :] - 1).tolist()
-    return np.unique(np.array([digest(joined[a:b]) for a, b in zip(starts, ends, strict=True)], dtype="<u8").view("<i8"))
+        return np.zeros(0, np.uint64)
+    own = np.array(list(map(xxhash.xxh64_intdigest, words)), dtype=np.uint64)
+    width = min(width, len(own))
+    n = len(own) - width + 1
+    out = np.full(n, width, np.uint64)
+    for i in range(width):
+        out = out * _FACTOR + own[i : i + n]
+    out = (out ^ (out >> np.uint64(32))) * _FACTOR
+    return (out ^ (out >> np.uint64(29))) * _FACTOR
+
+
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """Distinct hashes of the word shingles in ascending order."""
+    return np.unique(hashed(text, width).view(np.int64))
+
+
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _lists(found: list[np.ndarray]) -> pa.Array:
@@ -49,8 +68,19 @@ def _sets(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield _lists([shingles(x.as_py()) for x in batch])
 
 
+@F.arrow_udf(T.StructType([T.StructField("n", T.IntegerType()), T.StructField("set", T.ArrayType(T.IntegerType()))]))
+def _halves(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The number of shingles, and the distinct upper halves of their hashes."""
+    for batch in texts:
+        found = [shingles(x.as_py()) for x in batch]
+        halves = [np.unique((x >> 32).astype(np.int32)) for x in found]
+        ends = np.cumsum([0, *map(len, halves)])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *halves]), pa.int32()))
+        yield pa.StructArray.from_arrays([pa.array(list(map(len, found)), pa.int32()), lists], ["n", "set"])
+
+
 def _prefixes(docs: DataFrame, common: np.ndarray):
-    sent = docs.sparkSession.sparkContext.broadcast(common)
+    sent = docs.sparkSession.sparkContext.broadcast(common)  # MOST_COMMON numbers at most
 
     @F.arrow_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("first", T.ArrayType(T.LongType()))]))
     def prefixes(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -58,11 +88,11 @@ def _prefixes(docs: DataFrame, common: np.ndarray):
         for batch in texts:
             prints, sizes, firsts = [], [], []
             for x in batch:
-                text = x.as_py()
-                found = shingles(text)
+                each = hashed(x.as_py())
+                found = np.unique(each.view(np.int64))
                 late = last[np.searchsorted(last, found) - (found > last[-1])] == found if len(last) else np.zeros(len(found), bool)
                 n = len(found)
-                prints.append(fingerprint(text))
+                prints.append(majority(each))
                 sizes.append(n)
                 firsts.append(np.concatenate([found[~late], found[late]])[: n + LEAST * n // -OF + 1 if n else 0])
             yield pa.StructArray.from_arrays([pa.array(prints, pa.int64()), pa.array(sizes, pa.int32()), _lists(firsts)], ["fp", "n", "first"])
@@ -70,10 +100,11 @@ def _prefixes(docs: DataFrame, common: np.ndarray):
     return prefixes
 
 
-def _common(docs: DataFrame, one_of: int) -> np.ndarray:
-    part = docs.where(F.pmod(F.xxhash64("text"), F.lit(one_of)) == 0).select("text").distinct()
+def _common(texts: DataFrame, one_of: int) -> np.ndarray:
+    part = texts.where(F.pmod(F.xxhash64("text"), F.lit(one_of)) == 0)
     counted = part.select(F.explode(_sets("text")).alias("key")).groupBy("key").count().where("count > 1")
-    return np.sort(counted.orderBy(F.desc("count"), "key").limit(MOST_COMMON).select("key").toArrow().column("key").to_numpy())
+    most = written(counted.orderBy(F.desc("count"), "key").limit(MOST_COMMON).select("key"), "common")
+    return np.sort(most.toArrow().column("key").to_numpy())
 
 
 def _similar(both: Column, n: Column, m: Column) -> Column:
@@ -86,70 +117,148 @@ def _possible(n: Column, at: Column, m: Column, at_m: Column) -> Column:
     return sizes & (F.least(n - at, m - at_m) * (LEAST + OF) >= (n + m) * LEAST)
 
 
+def _candidates(meetings: DataFrame) -> DataFrame:
+    """(a, b) of meetings(a, b, n, m, at, at_m), a row per shared shingle of two sets' firsts, that may be similar.
+
+    What two sets share is at most what they were seen to share and what follows the last of it.
+    """
+    seen = meetings.groupBy("a", "b").agg(F.count("*").alias("k"), F.max("n").alias("n"), F.max("m").alias("m"), F.max("at").alias("at"), F.max("at_m").alias("at_m"))
+    most = F.col("k") + F.least(F.col("n") - F.col("at"), F.col("m") - F.col("at_m")) - 1
+    return seen.where(most * (LEAST + OF) >= (F.col("n") + F.col("m")) * LEAST).select("a", "b")
+
+
+def number(text: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.coalesce(text, F.lit("")))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of pairs(a, b) whose whole sets are similar."""
-    met = written(pairs.select(F.explode(F.array("a", "b")).alias("met")).distinct(), "met")
-    side = F.broadcast(met) if met.count() <= MOST_BROADCAST else met
-    chosen = texts.withColumn("node", F.xxhash64("text")).join(side, F.col("node") == F.col("met"), "left_semi").dropDuplicates(["node"])
-    sets = written(chosen.select("node", _sets("text").alias("set")), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(left, "a").join(right, "b").where(_similar(both, F.size("x"), F.size("y"))).select("a", "b")
+    """Those of the written pairs(a, b) whose whole sets are similar; texts(node, text) has their texts.
 
+    Halves of the hashes, which move half the bytes, rule most pairs out; the others are compared by the whole hashes.
+    """
+    near = _compared(pairs, texts, True)
+    found = _compared(near, texts, False)
+    discard(near)
+    return found
 
-def similar_links(texts: DataFrame, prints: DataFrame) -> DataFrame:
-    """(a, b): text numbers that connect the similar texts; prints has node, n and first of each row of texts(text).
 
-    Each shingle's texts are first compared with the two of least and greatest number. What that connects isn't
-    compared again, so the pairs of a large group of near copies aren't formed; all others that meet are.
+def _compared(pairs: DataFrame, texts: DataFrame, halves: bool) -> DataFrame:
+    flags = F.explode(F.array(F.struct(F.col("a").alias("met"), F.lit(True).alias("is_a")), F.struct(F.col("b").alias("met"), F.lit(False).alias("is_a"))))
+    met = pairs.select(flags.alias("x")).select("x.*").groupBy("met").agg(F.bool_or("is_a").alias("is_a"), F.bool_or(~F.col("is_a")).alias("is_b"))
+    met = written(met, "met")
+    side = F.broadcast(met) if met.count() <= MOST_BROADCAST else met
+    chosen = texts.join(side, F.col("node") == F.col("met")).drop("met").dropDuplicates(["node"])
+    if halves:
+        sets = chosen.select("node", "is_a", "is_b", _halves("text").alias("x")).select("node", "is_a", "is_b", "x.n", "x.set")
+    else:
+        sets = chosen.select("node", "is_a", "is_b", _sets("text").alias("set")).withColumn("n", F.size("set"))
+    sets = written(sets, "sets")
+    left = sets.where("is_a").select(F.col("node").alias("a"), F.col("n"), F.col("set").alias("x"))
+    right = sets.where("is_b").select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("set").alias("y"))
+    # shingles whose halves are equal count once, so that many more may be shared
+    both = F.size(F.array_intersect("x", "y")) + F.col("n") - F.size("x") + F.col("m") - F.size("y")
+    found = written(pairs.join(left, "a").join(right, "b").where(_similar(both, F.col("n"), F.col("m"))).select("a", "b"), "similar")
+    discard(met, sets)
+    return found
+
+
+def _apart(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """rows(key, node, n, at) with part, the component of each node over links; only keys that several parts hold."""
+    parts = written(connected_components(links), "parts")
+    named = rows.select("key", "node", "n", "at").join(parts, "node", "left")
+    named = written(named.select("key", "node", "n", "at", F.coalesce("component", "node").alias("part")), "parted")
+    several = written(named.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("key"), "several")
+    found = written(named.join(several, "key", "left_semi"), "apart")
+    discard(parts, named, several)
+    return found
+
+
+def similar_links(texts: DataFrame, firsts: DataFrame, prints: DataFrame) -> DataFrame:
+    """(a, b): text numbers that connect the similar texts of texts(node, text).
+
+    The written firsts(node, n, first) is used up; prints(node, fp) has the fingerprints. Each shingle's texts are first
+    compared with the one of least number, then, where that leaves parts, with the one of greatest number, as far as
+    their fingerprints are close. What is connected isn't compared again, so the pairs of a large group of near copies
+    aren't formed; all others that meet are, whatever their fingerprints.
     """
-    index = prints.select("node", "n", F.posexplode("first").alias("at", "key"))
-    own = F.struct("node", "n", "at")
-    shared = index.groupBy("key").agg(F.min(own).alias("lo"), F.max(own).alias("hi")).where("lo.node != hi.node")
-    rows = written(index.join(written(shared, "shared"), "key"), "meetings")
-    stars = rows.select("node", "n", "at", F.explode(F.array("lo", "hi")).alias("end")).where("node != end.node")
-    stars = stars.where(_possible(F.col("n"), F.col("at"), F.col("end.n"), F.col("end.at")))
-    stars = written(stars.select(F.least("node", "end.node").alias("a"), F.greatest("node", "end.node").alias("b")).distinct(), "star-pairs")
-    stars = written(_verified(stars, texts), "stars")
-    parts = written(connected_components(stars), "parts")
-    named = rows.select("key", "node", "n", "at").distinct().join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-    named = written(named, "parted")
-    several = named.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("key")
-    left = named.join(several, "key", "left_semi").alias("l")
-    right = left.select(*[F.col(c).alias(f"{c}_r") for c in ("key", "node", "n", "at", "part")])
+    shared = firsts.select("node", F.explode("first").alias("key")).groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    shared = written(shared.where("lo != hi").select("key"), "shared")
+    rows = written(firsts.select("node", "n", F.posexplode("first").alias("at", "key")).join(shared, "key"), "meetings")
+    discard(shared, firsts)
+    rows, links = rows.withColumn("part", F.col("node")), None
+    for leader in (F.min, F.max):
+        ends = written(rows.groupBy("key").agg(leader("node").alias("node")).join(rows, ["key", "node"]).select("key", *[F.col(c).alias(f"{c}_l") for c in ("node", "part", "n", "at")]), "leaders")
+        met = rows.join(ends, "key").where((F.col("part") != F.col("part_l")) & _possible(F.col("n"), F.col("at"), F.col("n_l"), F.col("at_l")))
+        pairs = _candidates(met.select(F.col("node_l").alias("a"), F.col("node").alias("b"), F.col("n_l").alias("n"), F.col("n").alias("m"), F.col("at_l").alias("at"), F.col("at").alias("at_m")))
+        for end in ("a", "b"):
+            pairs = pairs.join(prints.select(F.col("node").alias(end), F.col("fp").alias(f"fp_{end}")), end)
+        pairs = written(pairs.where(F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= CLOSE).select("a", "b"), "star-pairs")
+        found = _verified(pairs, texts)
+        links = found if links is None else links.unionByName(found)
+        apart = _apart(rows, links)
+        discard(pairs, ends, rows)
+        rows = apart
+    left = rows.alias("l")
+    right = rows.select(*[F.col(c).alias(f"{c}_r") for c in ("key", "node", "n", "at", "part")])
     on = (F.col("key") == F.col("key_r")) & (F.col("node") < F.col("node_r")) & (F.col("part") != F.col("part_r"))
-    on &= _possible(F.col("n"), F.col("at"), F.col("n_r"), F.col("at_r"))
-    pairs = written(left.join(right, on).select(F.col("node").alias("a"), F.col("node_r").alias("b")).distinct(), "pairs")
+    on &= F.least("n", "n_r") * OF >= F.greatest("n", "n_r") * LEAST
+    met = left.join(right, on).select(F.col("node").alias("a"), F.col("node_r").alias("b"), "n", F.col("n_r").alias("m"), "at", F.col("at_r").alias("at_m"))
+    pairs = written(_candidates(met), "pairs")
+    discard(rows)
     # pairs of the stars that failed come again where their parts differ
-    return stars.unionByName(_verified(pairs, texts))
+    return links.unionByName(_verified(pairs, texts))
 
 
-def similar_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", one_of: int = ONE_OF) -> DataFrame:
-    """One row per row of docs: id_col, component_id (the smallest id reachable).
-
-    Linked are texts of at least 4/5 Jaccard similarity of their five-word shingles, and texts whose SimHash
-    fingerprints are at most three bits apart. Texts are numbered by a 64-bit hash. Null ids are never the smallest
-    unless a component has no other.
-    """
+def _numbered(docs: DataFrame, id_col: str, text_col: str, one_of: int) -> tuple[DataFrame, int]:
+    """(id, node, fp, n, first) of each row, written, and the seed of its numbers."""
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     prefixes = _prefixes(docs, _common(texts, one_of))
-    prints = written(texts.select("id", F.xxhash64("text").alias("node"), prefixes("text").alias("p")).select("id", "node", "p.*"), "prefixes")
-    links = similar_links(texts.select("text"), prints)
-    nodes = written(prints.groupBy("node").agg(F.min("id").alias("id"), F.min("fp").alias("fp")), "nodes")
+    for seed in SEEDS:
+        prints = texts.select("id", number(F.col("text"), seed).alias("node"), F.sha2("text", 256).alias("sha"), prefixes("text").alias("p"))
+        prints = written(prints.select("id", "node", "sha", "p.*"), "prefixes")
+        if prints.groupBy("node").agg(F.min("sha").alias("lo"), F.max("sha").alias("hi")).where("lo != hi").isEmpty():
+            return prints, seed
+    raise ValueError("every text number has collisions")
+
+
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", one_of: int = ONE_OF) -> tuple[DataFrame, int]:
+    """(id, node, component): of each row its text's number and its component's, the least of its texts' numbers; and the seed."""
+    prints, seed = _numbered(docs, id_col, text_col, one_of)
+    rows = written(prints.select("id", "node"), "numbers")
+    nodes = written(prints.groupBy("node").agg(F.any_value("fp").alias("fp")), "texts")
+    firsts = written(prints.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("first").alias("first")), "firsts")
+    discard(prints)
+    texts = docs.select(number(F.col(text_col), seed).alias("node"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    links = written(similar_links(texts, firsts, nodes), "links-similar")
     prints_of = written(nodes.groupBy("fp").agg(F.min("node").alias("least")), "fingerprints")
     same = nodes.join(prints_of, "fp").where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     close = fingerprint_links(prints_of.select("fp")).join(prints_of.select(F.col("fp").alias("fp_a"), F.col("least").alias("a")), "fp_a")
     close = close.join(prints_of.select(F.col("fp").alias("fp_b"), F.col("least").alias("b")), "fp_b").select("a", "b")
-    linked = written(connected_components(links.unionByName(same).unionByName(close)).join(nodes, "node").select("node", "id", "component"), "linked")
-    least = linked.groupBy("component").agg(F.min("id").alias("least"))
-    found = linked.join(least, "component").select("node", "least")
-    # written, so that the last join deals both sides anew and can split a text of very many copies
-    found = written(nodes.join(found, "node", "left").select("node", F.coalesce("least", "id").alias("component_id")), "found")
-    return prints.select("id", "node").join(found, "node").select(F.col("id").alias(id_col), "component_id")
+    parts = written(connected_components(links.unionByName(same).unionByName(close)), "parts")
+    discard(links)
+    return rows.join(parts, "node", "left").select("id", "node", F.coalesce("component", "node").alias("component")), seed
+
+
+def similar_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", one_of: int = ONE_OF) -> DataFrame:
+    """One row per row of docs: id_col, component_id (the smallest id reachable).
+
+    Linked are texts of at least 4/5 Jaccard similarity of their five-word shingles, and texts whose SimHash
+    fingerprints are at most three bits apart. Null ids are never the smallest unless a component has no other. An
+    empty table gives an empty result.
+    """
+    rows = written(similar_components(docs, id_col, text_col, one_of)[0], "components")
+    # written, so that the last join deals both sides anew and can split a component of very many copies
+    least = written(rows.groupBy("component").agg(F.min("id").alias("component_id")), "found")
+    return rows.join(least, "component").select(F.col("id").alias(id_col), "component_id")
 
 
 def drop_similar_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each component of similar_copies: the one with the smallest id."""
-    gone = similar_copies(docs, id_col, text_col).where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """docs with one row of each component of similar_copies; columns stay as they are.
+
+    The row with the smallest id stays, null ids last; of several texts with that id any one, the same in each run; of
+    rows that repeat it one. Rows go by id and text together: a row whose id also stands by a near copy isn't touched.
+    Null, empty and blank texts are near copies of one another and leave one row; an empty table stays empty.
+    """
+    found, seed = similar_components(docs, id_col, text_col)
+    rows = written(found.select("id", F.col("node").alias("key"), F.col("component").alias("group")), "components")
+    return one_row_each(docs, rows, id_col, text_col, lambda text: number(text, seed))
