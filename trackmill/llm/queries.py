@@ -12,41 +12,50 @@ from trackmill.llm.common import held_out, table
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
     model = language_id.train_on_kept_in(docs)
     return language_id.identify(docs.select("doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "text"), model).drop("text")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal normalised texts over all documents."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of three-word shingles and their components within three bits, over all documents."""
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses to lines that stand earlier in the corpus, equal or within a few edits."""
     return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict of dated lists, made of the pages themselves, on every page at its fetch day."""
     pages = table(spark, sf_dir, "pages")
     return url_filter.filter_urls(url_filter.page_captures(pages), url_filter.derived_entries(pages))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that every document holds a passage of."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document, weak ones where a complementary part is near."""
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"), 4)))
@@ -55,6 +64,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and class bigram scores of every document, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id"), 7).alias("held_out"))
     return lm_score.score_texts(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 

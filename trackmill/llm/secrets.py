@@ -70,26 +70,28 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     strong = [spans(F.col("text"), kind, rank, *rest) for rank, (kind, *rest) in enumerate(STRONG)]
     weak = [spans(F.col("text"), kind, len(STRONG) + rank, *rest) for rank, (kind, *rest) in enumerate(WEAK)]
-    parts = text.select("id", F.xxhash64("id", "text").alias("row"), F.length("text").alias("chars"), F.array_sort(F.concat(*strong)).alias("found"), F.concat(*weak).alias("weak"))
+    parts = text.select("id", F.sha2("text", 256).alias("row"), F.array_sort(F.concat(*strong)).alias("found"), F.concat(*weak).alias("weak"))
     parts = written(parts, "parts")
-    linked = _linked(parts, scope).groupBy("row", "chars").agg(F.array_sort(F.collect_set("w")).alias("linked"))
-    out = parts.join(linked, ["row", "chars"], "left")
+    # written, so that the join deals both sides anew and can split a text of very many copies
+    linked = written(_linked(parts, scope).groupBy("row").agg(F.array_sort(F.collect_set("w")).alias("linked")), "linked")
+    out = parts.join(linked, "row", "left")
     return out.select(F.col("id").alias(id_col), "found", F.coalesce("linked", F.array().cast(_SPAN)).alias("linked"))
 
 
 def _linked(parts: DataFrame, scope: int) -> DataFrame:
-    both = parts.where((F.size("found") > 0) & (F.size("weak") > 0))
-    near = both.select("row", "chars", F.explode("found").alias("s"))
+    # a text's copies have the same parts
+    both = parts.where((F.size("found") > 0) & (F.size("weak") > 0)).select("row", "found", "weak").dropDuplicates(["row"])
+    near = both.select("row", F.explode("found").alias("s"))
     allowed = F.when(F.col("w.kind") == "key", F.array(*map(F.lit, NEEDS["key"]))).otherwise(F.array(*map(F.lit, NEEDS["endpoint"])))
     low, high = F.col("s.start") - scope, F.col("s.end") + scope
     near = near.withColumn("bucket", F.explode(F.sequence(F.floor(low / BUCKET), F.floor(high / BUCKET)))).withColumns({"low": low, "high": high})
-    near = near.select("row", "chars", "bucket", "low", "high", F.col("s.kind").alias("strong"), F.col("s.start").alias("s_start"), F.col("s.end").alias("s_end"))
-    weak = both.select("row", "chars", F.explode("weak").alias("w")).withColumn("bucket", F.floor(F.col("w.start") / BUCKET)).withColumn("needs", allowed)
+    near = near.select("row", "bucket", "low", "high", F.col("s.kind").alias("strong"), F.col("s.start").alias("s_start"), F.col("s.end").alias("s_end"))
+    weak = both.select("row", F.explode("weak").alias("w")).withColumn("bucket", F.floor(F.col("w.start") / BUCKET)).withColumn("needs", allowed)
     a, b = weak.alias("a"), near.alias("b")
-    on = (F.col("a.row") == F.col("b.row")) & (F.col("a.chars") == F.col("b.chars")) & (F.col("a.bucket") == F.col("b.bucket"))
+    on = (F.col("a.row") == F.col("b.row")) & (F.col("a.bucket") == F.col("b.bucket"))
     inside = F.col("a.w.start").between(F.col("b.low"), F.col("b.high")) & F.array_contains(F.col("a.needs"), F.col("b.strong"))
     apart = (F.col("a.w.start") >= F.col("b.s_end")) | (F.col("a.w.end") <= F.col("b.s_start"))
-    return a.join(b, on & inside & apart, "left_semi").select("row", "chars", "w")
+    return a.join(b, on & inside & apart, "left_semi").select("row", "w")
 
 
 def _of_kind(kind: str) -> Column:
