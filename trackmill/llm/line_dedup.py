@@ -232,19 +232,14 @@ def line_links(found: DataFrame, bands: Sequence[tuple[int, int]] = BANDS, heavy
     met = written(rows.join(ends, "key").where(other).select(F.col("h1").alias("met")).distinct(), "lines-met")
     discard(distinct)
     texts = _texts(long.select(F.xxhash64("line").alias("h1"), "line"), met)
-    tried = _entries(F.col("line"), bands, lambda key, own, at, size: F.struct(F.shiftright(key, 1).alias("key"), F.lit(own).alias("own"), at.alias("at"), size.alias("size")))
-    entries = texts.select("h1", "line", letter_signature(F.col("line")).alias("sig"), F.explode(tried).alias("e")).where("e IS NOT NULL")
-    entries = entries.withColumn("key", F.col("e.key"))
+    signed = texts.select("h1", "line", letter_signature(F.col("line")).alias("sig"))
+    entries = signed.select("h1", "sig", F.explode(tried).alias("key")).where("key IS NOT NULL")
+    entries = written(entries.select("h1", "sig", F.shiftright("key", 1).alias("key"), (F.col("key") % 2 != 0).alias("own")), "line-entries")
     crowded = written(shared.where(F.col("n") > heavy).select("key"), "keys-crowded")
-    light, pairs = entries.select("h1", "sig", "key", "e.own"), None
+    light, pairs = entries, None
     if not crowded.isEmpty():
         light = light.join(_few(crowded), "key", "left_anti")
-        dense = entries.join(_few(crowded), "key", "left_semi")
-        rest = F.concat(F.substring("line", 1, F.col("e.at")), F.substring(F.col("line"), F.col("e.at") + F.col("e.size") + 1, F.length("line")))
-        dense = dense.select("h1", "sig", "key", "e.own", rest.alias("rest"))
-        own = dense.where("own").select("h1", "sig", "key", "own", F.explode(F.array(*segments(F.col("rest"), most))).alias("second"))
-        asking = dense.select("h1", "sig", "key", F.lit(False).alias("own"), F.explode(F.array(*probes(F.col("rest"), most))).alias("second")).where("second IS NOT NULL")
-        pairs = _pairs(own, asking, ["key", "second"], most)
+        pairs = _crowded_pairs(signed, crowded, bands)
     some = _pairs(light.where("own"), light, ["key"], most)
     pairs = written((some if pairs is None else some.unionByName(pairs)).distinct(), "line-pairs")
     left = texts.select(F.col("h1").alias("p"), F.col("line").alias("a"))
@@ -253,10 +248,31 @@ def line_links(found: DataFrame, bands: Sequence[tuple[int, int]] = BANDS, heavy
     return both.select(_identity(*_hash(F.col("a"))).alias("a"), _identity(*_hash(F.col("b"))).alias("b"))
 
 
-def _pairs(own: DataFrame, asking: DataFrame, keys: list[str], k: int) -> DataFrame:
+def _crowded_pairs(signed: DataFrame, crowded: DataFrame, bands: Sequence[tuple[int, int]]) -> DataFrame:
+    """(p, q): lines that meet under a crowded key and a segment of what is left of them beside it."""
+    most = max(k for _, k in bands)
+    tried = _entries(F.col("line"), bands, lambda key, own, at, size: F.struct(F.shiftright(key, 1).alias("key"), F.lit(own).alias("own"), at.alias("at"), size.alias("size")))
+    dense = signed.select("h1", "line", "sig", F.explode(tried).alias("e")).where("e IS NOT NULL").select("h1", "line", "sig", "e.*").join(_few(crowded), "key", "left_semi")
+    rest = F.concat(F.substring("line", 1, F.col("at")), F.substring(F.col("line"), F.col("at") + F.col("size") + 1, F.length("line")))
+    dense = written(dense.select("h1", "sig", "key", "own", rest.alias("rest"), bigram_signature(rest).alias("grams")), "lines-crowded")
+    own = dense.where("own").select("h1", "sig", "grams", "key", F.explode(F.array(*segments(F.col("rest"), most))).alias("second"))
+    asking = dense.select("h1", "sig", "grams", "key", F.explode(F.array(*probes(F.col("rest"), most))).alias("second")).where("second IS NOT NULL")
+    asking = asking.withColumnRenamed("grams", "grams_q")
+    near = F.bit_count(F.col("grams").bitwiseXOR(F.col("grams_q"))) <= 4 * most
+    return _pairs(own, asking, ["key", "second"], most, near)
+
+
+def bigram_signature(line: Column) -> Column:
+    """The parity of a line's letter pairs, hashed to 60 bits. An edit takes at most two pairs away and adds two."""
+    letters, bits = F.split(line, ""), F.array(*[_long(1 << r) for r in range(60)])
+    grams = F.zip_with(letters, F.slice(letters, 2, F.greatest(F.size(letters) - 1, F.lit(0))), lambda a, b: F.get(bits, F.pmod(F.hash(a, b), F.lit(60))))
+    return F.aggregate(grams, _long(0), lambda x, g: x.bitwiseXOR(g))
+
+
+def _pairs(own: DataFrame, asking: DataFrame, keys: list[str], k: int, near: Column | None = None) -> DataFrame:
     """(p, q): lines that meet under the keys and whose signatures are near enough for k edits."""
-    asking = asking.select(F.col("h1").alias("q"), F.col("sig").alias("sig_q"), *[F.col(c).alias(f"{c}_q") for c in keys])
-    on = (F.col("h1") != F.col("q")) & (F.bit_count(F.col("sig").bitwiseXOR(F.col("sig_q"))) <= 2 * k)
+    asking = asking.withColumnsRenamed({"h1": "q", "sig": "sig_q", **{c: f"{c}_q" for c in keys}}).drop("own")
+    on = (F.lit(True) if near is None else near) & (F.col("h1") != F.col("q")) & (F.bit_count(F.col("sig").bitwiseXOR(F.col("sig_q"))) <= 2 * k)
     for c in keys:
         on &= F.col(c) == F.col(f"{c}_q")
     return own.join(asking, on).select(F.least("h1", "q").alias("p"), F.greatest("h1", "q").alias("q"))
