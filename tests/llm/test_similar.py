@@ -74,3 +74,17 @@ def test_the_stage_finds_similar_texts_of_distant_fingerprints(spark):
 
 def test_empty(empty):
     assert similar_copies(empty).count() == 0
+
+
+def test_a_crowd_around_one_text(spark):
+    """More texts under one shingle than are compared pair by pair, near enough to one text and too far from others."""
+    rng = random.Random(21)
+    words = sentence(rng, 120).split()
+    crowd = [edited(rng, words, rng.randint(1, 7)) for _ in range(160)]
+    added = sentence(rng, 25)
+    crowd += [edited(rng, words + added.split(), rng.randint(1, 6)) for _ in range(60)] + [edited(rng, crowd[k].split(), 2) for k in range(0, 60, 2)]
+    rng.shuffle(crowd)
+    every = [(i, t, "en", "s", len(t)) for i, t in enumerate(crowd)]
+    got = sorted(((r.doc_id, r.component_id) for r in similar_copies(spark.createDataFrame(every, SCHEMA)).collect()), key=str)
+    assert got == by_hand(every)
+    assert 20 < len({c for _, c in got}) < len(got) - 20

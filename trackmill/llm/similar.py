@@ -24,10 +24,14 @@ from trackmill.llm.simhash import _LOWER, fingerprint_links, majority
 
 #: Words of a shingle, of fingerprints too, and the least similarity of near copies as a fraction.
 WIDTH, LEAST, OF = 5, 4, 5
+#: Two sets of n and m are similar if (OF + LEAST) times what they don't share is at most n + m, as OF - LEAST is 1.
+OF_BOTH = OF + LEAST
 #: Of how many texts one is looked at for common shingles, and the shingles (8 bytes each) that come last at most.
 ONE_OF, MOST_COMMON = 32, 500_000
 #: Bits in which fingerprints may differ for a pair to be looked at before all others.
 CLOSE = 16
+#: Texts under one shingle beyond which they are compared by what sets them apart from one of them.
+HEAVY = 64
 #: Text numbers (8 bytes each) that are broadcast at most.
 MOST_BROADCAST = 500_000
 #: Numbers that texts may go by; the first that proves free of collisions on the texts at hand is used.
@@ -173,13 +177,56 @@ def _apart(rows: DataFrame, links: DataFrame) -> DataFrame:
     return found
 
 
-def similar_links(texts: DataFrame, firsts: DataFrame, prints: DataFrame) -> DataFrame:
+def _pivoted(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links among the texts that rows(key, node, part) has under one key, where those are very many.
+
+    Such texts have most in common, so a shingle tells nothing; what sets each apart from the key's least text, the
+    pivot, does. With d shingles set apart, of n in all, two texts are similar if and only if d + d' less twice what
+    the two have in common of these is at most (n + n') / 9. So they are joined on these, the rarest first, and only as
+    many as leave too few for the rest; with 9 d - n of at most 0 together they are similar at any rate, and all such
+    are linked to the text of the least 9 d - n.
+    """
+    pivots = rows.groupBy("key").agg(F.min("node").alias("pivot"))
+    pairs = written(rows.join(written(pivots, "pivots"), "key").select("pivot", "node", "part").distinct(), "pivot-pairs")
+    met = written(pairs.select(F.explode(F.array("pivot", "node")).alias("met")).distinct(), "met")
+    side = F.broadcast(met) if met.count() <= MOST_BROADCAST else met
+    sets = texts.join(side, F.col("node") == F.col("met"), "left_semi").dropDuplicates(["node"])
+    sets = written(sets.select("node", _sets("text").alias("set")), "sets")
+    apart = pairs.join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("x")), "pivot").join(sets.withColumnRenamed("set", "y"), "node")
+    apart = apart.withColumn("own", F.concat(F.array_except("x", "y"), F.array_except("y", "x"))).withColumn("score", OF_BOTH * F.size("own") - F.size("y"))
+    apart = written(apart.select("pivot", "node", "part", "own", "score"), "apart-sets")
+    # the pivot itself is among its texts, with nothing to set it apart
+    best = written(apart.groupBy("pivot").agg(F.min_by("node", F.struct("score", "node")).alias("best"), F.min("score").alias("least")), "nearest")
+    scored = apart.join(best, "pivot")
+    sure = scored.where((F.col("score") + F.col("least") <= 0) & (F.col("node") != F.col("best"))).select(F.col("best").alias("a"), F.col("node").alias("b"))
+    entries = apart.select("pivot", "node", F.explode("own").alias("key"))
+    often = written(entries.groupBy("pivot", "key").agg(F.count("*").alias("often")).where("often > 1"), "often")
+    # a set's shingles that no other set has come first and need no entry
+    ranked = entries.join(often, ["pivot", "key"]).groupBy("pivot", "node").agg(F.array_sort(F.collect_list(F.struct("often", "key"))).alias("shared"))
+    least = F.greatest(F.lit(1), F.ceil((F.col("score") + F.col("least")) / (2 * OF_BOTH)))
+    looked = F.size("own") - least + 1 - (F.size("own") - F.size("shared"))
+    first = scored.join(ranked, ["pivot", "node"]).where(looked > 0).select("pivot", "node", "part", "score", F.explode(F.slice("shared", 1, looked.cast("int"))).alias("x"))
+    first = written(first.select("pivot", "node", "part", "score", F.col("x.key").alias("key")), "apart-firsts")
+    other = first.select(*[F.col(c).alias(f"{c}_r") for c in first.columns])
+    on = (F.col("pivot") == F.col("pivot_r")) & (F.col("key") == F.col("key_r")) & (F.col("node") < F.col("node_r")) & (F.col("part") != F.col("part_r")) & (F.col("score") + F.col("score_r") > 0)
+    found = written(first.join(other, on).select("pivot", F.col("node").alias("a"), F.col("node_r").alias("b")).distinct(), "pivot-met")
+    left = apart.select("pivot", F.col("node").alias("a"), F.col("own").alias("x"), F.col("score").alias("s"))
+    right = apart.select("pivot", F.col("node").alias("b"), F.col("own").alias("y"), F.col("score").alias("t"))
+    both = 2 * OF_BOTH * F.size(F.array_intersect("x", "y"))
+    found = found.join(left, ["pivot", "a"]).join(right, ["pivot", "b"]).where(both >= F.col("s") + F.col("t")).select("a", "b")
+    links = written(sure.unionByName(found).distinct(), "pivot-links")
+    discard(pairs, met, sets, apart, first)
+    return links
+
+
+def similar_links(texts: DataFrame, firsts: DataFrame, prints: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """(a, b): text numbers that connect the similar texts of texts(node, text).
 
     The written firsts(node, n, first) is used up; prints(node, fp) has the fingerprints. Each shingle's texts are first
     compared with the one of least number, then, where that leaves parts, with the one of greatest number, as far as
     their fingerprints are close. What is connected isn't compared again, so the pairs of a large group of near copies
-    aren't formed; all others that meet are, whatever their fingerprints.
+    aren't formed; all others that meet are, whatever their fingerprints, but for those of over heavy texts under one
+    shingle: they are found by what sets them apart.
     """
     shared = firsts.select("node", F.explode("first").alias("key")).groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = written(shared.where("lo != hi").select("key"), "shared")
@@ -198,8 +245,11 @@ def similar_links(texts: DataFrame, firsts: DataFrame, prints: DataFrame) -> Dat
         apart = _apart(rows, links)
         discard(pairs, ends, rows)
         rows = apart
-    left = rows.alias("l")
-    right = rows.select(*[F.col(c).alias(f"{c}_r") for c in ("key", "node", "n", "at", "part")])
+    crowded = written(rows.groupBy("key").count().where(F.col("count") > heavy).select("key"), "crowded")
+    if not crowded.isEmpty():
+        links = links.unionByName(_pivoted(rows.join(crowded, "key", "left_semi"), texts))
+    left = rows.join(crowded, "key", "left_anti").alias("l")
+    right = rows.join(crowded, "key", "left_anti").select(*[F.col(c).alias(f"{c}_r") for c in ("key", "node", "n", "at", "part")])
     on = (F.col("key") == F.col("key_r")) & (F.col("node") < F.col("node_r")) & (F.col("part") != F.col("part_r"))
     on &= F.least("n", "n_r") * OF >= F.greatest("n", "n_r") * LEAST
     met = left.join(right, on).select(F.col("node").alias("a"), F.col("node_r").alias("b"), "n", F.col("n_r").alias("m"), "at", F.col("at_r").alias("at_m"))
