@@ -171,18 +171,18 @@ def _coded_counts(encoded: DataFrame, code, width: int) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(width, np.int64)
+        total = np.zeros(width, np.int32)  # of one task's tokens
         for batch in batches:
             ids = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            for start in range(0, len(ids), 2_000_000):
-                codes = code(ids, start, min(len(ids), start + 2_000_000))
+            for start in range(0, len(ids), 1_000_000):
+                codes = code(ids, start, min(len(ids), start + 1_000_000))
                 if len(codes) * 8 > width:
-                    total += np.bincount(codes, minlength=width)
+                    np.add(total, np.bincount(codes, minlength=width), out=total, casting="unsafe")
                 else:
                     found, n = np.unique(codes, return_counts=True)
-                    total[found] += n
+                    total[found] += n.astype(np.int32)
         found = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], names=["code", "n"])
+        yield pa.record_batch([pa.array(found, pa.int64()), pa.array(total[found].astype(np.int64), pa.int64())], names=["code", "n"])
 
     return encoded.select("ids").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
