@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.llm import decontaminate, exact_dedup, language_id, line_dedup, lm_score, mixing, secrets, simhash, toxicity, url_filter
+from trackmill.llm import decontaminate, exact_dedup, language_id, line_dedup, lm_score, mixing, secrets, simhash, spelling, toxicity, url_filter
 from trackmill.llm.common import held_out, table
 
 
@@ -69,6 +69,11 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_texts(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near words, form and root of every word of all documents."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
