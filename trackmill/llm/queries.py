@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.llm import decontaminate, exact_dedup, language_id, line_dedup, lm_score, mixing, secrets, simhash, spelling, toxicity, url_filter
+from trackmill.llm import collocations, decontaminate, exact_dedup, language_id, line_dedup, lm_score, mixing, secrets, simhash, spelling, suffixes, toxicity, url_filter
 from trackmill.llm.common import held_out, table
 
 
@@ -74,6 +74,16 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to passages of 50 bytes or more that earlier documents hold."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two and three words of each language, over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -86,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
