@@ -1,14 +1,16 @@
 """Suffix-array dedup by prefix-free parsing: bytes of repeated passages, whatever their length or place.
 
-Texts are cut into phrases at rolling-hash triggers: a phrase begins and ends with a trigger window, so neighbours
-overlap by one window, and equal passages are cut alike wherever they stand. The dictionary holds each different phrase
-once, the parse says which documents hold it where. A window is as long as the passages looked for, so the beginning of
-every suffix, as far as it matters, lies inside one phrase: in corpus order suffixes with equal beginnings are
-neighbours, those of one phrase through its places in the parse, those of different phrases in the dictionary's suffix
-order. Most of the dictionary's suffixes have no such neighbour. So its suffixes are sorted sparsely first, at anchors
-(each window has one, the least rolling hash in it), and in full only around anchors that two phrases share. Both orders
-are Spark shuffles on hashes of the suffixes' beginnings, which put equal ones together; no order of unequal ones is
-needed. In the end documents take from the parse what each phrase, and each suffix in it, says of earlier documents.
+Texts are cut into phrases at rolling-hash triggers, so that equal passages are cut alike wherever they stand. A phrase
+overlaps the next one by a string of the length looked for, less one byte, so each such string lies in just one phrase.
+The dictionary holds each different phrase once, the parse says which documents hold it where. The beginning of every
+suffix, as far as it matters, lies inside one phrase: in corpus order suffixes with equal beginnings are neighbours,
+those of one phrase through its places in the parse, those of different phrases in the dictionary's suffix order. Most
+of the dictionary's suffixes have no such neighbour. So its suffixes are sorted sparsely first, at anchors (each string
+has one, the least rolling hash in it), and in full only around anchors that two phrases share. Both orders are Spark
+shuffles by the suffixes' beginnings, which put equal ones together; no order of unequal ones is needed. Suffixes that
+run in parallel go as one: those around an anchor, then those of an eighth of the length, are told apart singly only
+where different strings hold them. In the end documents take from the parse what each phrase, and each suffix in it,
+says of earlier documents.
 """
 
 from __future__ import annotations
@@ -26,8 +28,10 @@ from pyspark.sql import types as T
 
 from trackmill.llm.common import discard, written
 
-#: Bytes of a repeated passage at least; bytes between two triggers on average; bytes that an anchor compares.
-LENGTH, PHRASE, ANCHOR = 50, 64, 20
+#: Bytes of a repeated passage at least; anchors of which one is a trigger; bytes that an anchor compares.
+LENGTH, TRIGGER, ANCHOR = 50, 4, 20
+#: Neighbouring suffixes that go as one before they are told apart.
+TOGETHER = 8
 #: Windows that are hashed at once: memory for a text of any length.
 BLOCK = 1 << 18
 #: Constants of the rolling hash (odd) and of its finisher.
@@ -74,44 +78,66 @@ def _blocks(data: bytes, length: int) -> Iterator[tuple[int, np.ndarray, np.ndar
         yield first, sums, inverse
 
 
-def phrase_starts(data: bytes, length: int = LENGTH, mean: int = PHRASE) -> np.ndarray:
-    """Where phrases begin: at 0 and at each later window of length bytes whose hash is a trigger; none without a window."""
-    found = [np.zeros(min(1, max(0, len(data) - length + 1)), dtype=np.int64)]
-    for first, sums, inverse in _blocks(data, length):
-        at = np.flatnonzero(_rolling(sums, inverse, length) % np.uint64(mean) == 0) + first
-        found.append(at[at > 0])
-    return np.concatenate(found)
-
-
-def phrases(data: bytes, length: int = LENGTH, mean: int = PHRASE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, names) of a text's phrases; names are 128-bit hashes as pairs of integers."""
-    starts = phrase_starts(data, length, mean)
-    ends = np.append(starts[1:] + length, len(data)) if len(starts) else starts
-    names = b"".join(xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True))
-    return starts, ends, np.frombuffer(names, "<i8").reshape(-1, 2)
+def parsed(data: bytes, length: int = LENGTH, trigger: int = TRIGGER, width: int = ANCHOR) -> tuple[np.ndarray, ...]:
+    """A text's runs of windows, by first window, anchor's hash and place, and its phrases, by start, end and first run.
 
-
-def anchors(data: bytes, length: int = LENGTH, mean: int = PHRASE, width: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of the anchor, phrase's first name, first window in the phrase, windows) of each run of windows.
-
-    A window's anchor is its least hash over width bytes, the first of equals, so equal windows have equal anchors. A
-    run is of one phrase and anchor. Of 64-bit hashes 45 bits are compared and the place breaks ties.
+    A window is a string of length bytes. Its anchor is its least hash over width bytes, the first of equals, so equal
+    windows have equal anchors. A run is the windows of one anchor; a phrase begins with the first run, and with each
+    later one whose anchor's hash is a trigger. Of hashes 45 bits are compared and the place breaks ties.
     """
-    starts, _, names = phrases(data, length, mean)
-    out: list[tuple] = [(np.empty(0, np.int64),) * 4]
-    low = np.uint64((1 << 19) - 1)
+    low, starts, cores, places, last = np.uint64((1 << 19) - 1), [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)], -1
     for first, sums, inverse in _blocks(data, length):
         hashes = _rolling(sums, inverse, width)
         least = _sliding_min((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), length - width + 1)
         own = (least & low).astype(np.int64)
-        cut = np.ones(len(own), dtype=bool)
-        cut[1:] = own[1:] != own[:-1]
-        inside = starts[np.searchsorted(starts, first) : np.searchsorted(starts, first + len(own))] - first
-        cut[inside] = True
+        cut = np.empty(len(own), dtype=bool)
+        cut[0], cut[1:] = own[0] + first != last, own[1:] != own[:-1]
+        last = own[-1] + first
         at = np.flatnonzero(cut)
-        phrase = np.searchsorted(starts, at + first, side="right") - 1
-        out.append((hashes[own[at]].view(np.int64), names[phrase, 0], at + first - starts[phrase], np.diff(np.append(at, len(own)))))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        starts.append(at + first)
+        cores.append(hashes[own[at]])
+        places.append(own[at] + first)
+    starts, cores, places = np.concatenate(starts), np.concatenate(cores), np.concatenate(places)
+    runs = np.flatnonzero((cores >> np.uint64(24)) % np.uint64(trigger) == 0)
+    if len(starts):
+        runs = np.concatenate([[0], runs[runs > 0]])
+    begin = starts[runs]
+    end = np.append(begin[1:] + length - 1, len(data)) if len(begin) else begin
+    return starts, cores.view(np.int64), places, begin, end, runs
+
+
+def names(data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128-bit hashes of the strings from begin to end, as pairs of integers."""
+    digests = b"".join(xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(begin.tolist(), end.tolist(), strict=True))
+    return np.frombuffer(digests, "<i8").reshape(-1, 2)
+
+
+def phrases(data: bytes, length: int = LENGTH, trigger: int = TRIGGER) -> list[np.ndarray]:
+    """The start, size and name (in two parts) of each phrase of a text."""
+    _, _, _, begin, end, _ = parsed(data, length, trigger)
+    found = names(data, begin, end)
+    return [begin, end - begin, found[:, 0], found[:, 1]]
+
+
+def anchors(data: bytes, length: int = LENGTH, trigger: int = TRIGGER) -> list[np.ndarray]:
+    """The anchor's hash of each run, and the first part of its phrase's name."""
+    starts, cores, _, begin, end, runs = parsed(data, length, trigger)
+    return [cores, np.repeat(names(data, begin, end)[:, 0], np.diff(np.append(runs, len(starts))))]
+
+
+def chosen_runs(data: bytes, wanted: list[dict], length: int = LENGTH, trigger: int = TRIGGER) -> Iterator[tuple]:
+    """(h1, h2, first window in the phrase, anchor's place in it, anchor's hash, string) of the runs in wanted phrases
+    whose anchors' hashes are among the phrase's cores."""
+    starts, cores, places, begin, _, runs = parsed(data, length, trigger)
+    stop = np.append(starts[1:], len(data) - length + 1)
+    ends = np.append(runs[1:], len(starts))
+    for p in wanted:
+        k = int(np.searchsorted(begin, p["start"]))
+        own = set(p["cores"])
+        for r in range(runs[k], ends[k]):
+            if (core := int(cores[r])) in own:
+                a = int(starts[r])
+                yield p["h1"], p["h2"], a - p["start"], int(places[r]) - a, core, data[a : int(stop[r]) - 1 + length]
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -132,7 +158,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 
 _PHRASES = T.ArrayType(_struct(start=_INT, size=_INT, h1=_LONG, h2=_LONG))
-_SUFFIXES = T.ArrayType(_struct(g1=_LONG, g2=_LONG, h1=_LONG, h2=_LONG, at=_INT))
+_RUNS = T.ArrayType(_struct(h1=_LONG, h2=_LONG, at=_INT, anchor=_INT, core=_LONG, s=T.BinaryType()))
 _DIGEST = _struct(n_removed=_LONG, n_spans=_LONG, kept_sha256=T.StringType())
 _SPANS = T.ArrayType(_struct(a=_INT, b=_INT))
 
@@ -149,37 +175,28 @@ def _list(rows: list[list[np.ndarray]], kind: T.ArrayType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, [f.name for f in fields]))
 
 
-def _parse(length: int, mean: int):
-    def of(data: bytes) -> list[np.ndarray]:
-        starts, ends, names = phrases(data, length, mean)
-        return [starts, ends - starts, names[:, 0], names[:, 1]]
-
+def _parse(length: int, trigger: int):
     @F.arrow_udf(_PHRASES)
     def parse(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield _list([of(_data(x)) for x in batch], _PHRASES)
+            yield _list([phrases(_data(x), length, trigger) for x in batch], _PHRASES)
 
     return parse
 
 
-def _suffixes(length: int):
-    """Of the phrases given with a text, the hashed beginnings of the suffixes in their runs of windows."""
-    def of(data: bytes, wanted: list[dict]) -> list[np.ndarray]:
-        places, names = [], []
-        for p in wanted:
-            own = {w for run in p["runs"] for w in range(run["at"], run["at"] + run["n"]) if w + length <= p["size"]}
-            places += [(p["h1"], p["h2"], w) for w in sorted(own)]
-            names += [xxhash.xxh3_128_digest(data[p["start"] + w : p["start"] + w + length]) for w in sorted(own)]
-        found = np.frombuffer(b"".join(names), "<i8").reshape(-1, 2)
-        places = np.array(places, dtype=np.int64).reshape(-1, 3)
-        return [found[:, 0], found[:, 1], places[:, 0], places[:, 1], places[:, 2]]
-
-    @F.arrow_udf(_SUFFIXES)
-    def suffixes(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+def _runs(length: int, trigger: int):
+    """The runs of the phrases that are given with a text."""
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+
+    @F.arrow_udf(_RUNS)
+    def runs(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, wanted in parts:
-            yield _list([of(_data(x), w.as_py() or []) for x, w in zip(texts, wanted, strict=True)], _SUFFIXES)
+            found = [list(chosen_runs(_data(x), w.as_py() or [], length, trigger)) for x, w in zip(texts, wanted, strict=True)]
+            columns = list(zip(*[r for own in found for r in own], strict=True)) or [()] * len(kinds)
+            rows = pa.StructArray.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], [f.name for f in _RUNS.elementType.fields])
+            yield pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), rows)
 
-    return suffixes
+    return runs
 
 
 @F.arrow_udf(_DIGEST)
@@ -204,16 +221,14 @@ def _pairs(own: pa.ListScalar) -> np.ndarray:
     return np.stack([values.field("a").to_numpy(), values.field("b").to_numpy()], axis=1).astype(np.int64)
 
 
-def _anchor_rows(docs: DataFrame, text_col: str, placed: bool, length: int, mean: int) -> DataFrame:
-    """(core, phrase), and with placed (at, n), of all runs of windows of all texts."""
-    names, types = ["core", "phrase", "at", "n"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    names = names if placed else names[:2]
+def _anchor_rows(texts: DataFrame, length: int, trigger: int) -> DataFrame:
+    """(core, h1): what anchors gives of all texts."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, some = [], 0
             for text in batch.column(0):
-                held.append(anchors(_data(text), length, mean))
+                held.append(anchors(_data(text), length, trigger))
                 some += len(held[-1][0])
                 if some > 1 << 20:
                     yield made(held)
@@ -222,68 +237,98 @@ def _anchor_rows(docs: DataFrame, text_col: str, placed: bool, length: int, mean
                 yield made(held)
 
     def made(held: list) -> pa.RecordBatch:
-        columns = [np.concatenate(x) for x in zip(*held, strict=True)][: len(names)]
-        return pa.record_batch([pa.array(x).cast(t) for x, t in zip(columns, types, strict=False)], names)
+        return pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*held, strict=True)], ["core", "h1"])
 
-    return docs.select(F.col(text_col)).mapInArrow(find, "core long, phrase long" + (", at int, n int" if placed else ""))
+    return texts.select("text").mapInArrow(find, "core long, h1 long")
 
 
-def _place() -> Column:
-    """Orders documents by id, null ids last and level with one another."""
-    return F.struct(F.col("id").isNull().alias("none"), "id")
+def _earlier(a: Column | str, b: Column | str) -> Column:
+    """Whether id a comes before id b; null ids come last and are level with one another."""
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+    return a.isNotNull() & (b.isNull() | (a < b))
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, mean: int = PHRASE) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, trigger: int = TRIGGER) -> DataFrame:
     """(id, t, spans): for texts with repeats the byte ranges (a, b) that stand in documents with smaller ids.
 
     Ranges may overlap. t tells the texts of one id apart, by a 64-bit hash.
     """
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("t"), F.col(text_col).alias("text")).where(F.octet_length(F.col(text_col)) >= length)
-    cores = _anchor_rows(texts, "text", False, length, mean).groupBy("core").agg(F.min("phrase").alias("lo"), F.max("phrase").alias("hi"))
+    cores = _anchor_rows(texts, length, trigger).groupBy("core").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
     cores = written(cores.where("lo != hi").select("core"), "cores-shared")
-    runs = _anchor_rows(texts, "text", True, length, mean).join(cores, "core", "left_semi").select(F.col("phrase").alias("h1"), "at", "n").distinct()
-    runs = written(runs.groupBy("h1").agg(F.collect_list(F.struct("at", "n")).alias("runs")), "runs-shared")
-    parse = texts.select("id", "t", F.explode(_parse(length, mean)(F.col("text"))).alias("p")).select("id", "t", "p.*")
+    mixed = _anchor_rows(texts, length, trigger).join(cores, "core", "left_semi").distinct()
+    mixed = written(mixed.groupBy("h1").agg(F.collect_list("core").alias("cores")), "phrases-mixed")
+    parse = texts.select("id", "t", F.explode(_parse(length, trigger)(F.col("text"))).alias("p")).select("id", "t", "p.*")
     parse = written(parse, "parse")
-    entries = written(parse.groupBy("h1", "h2").agg(F.min(F.struct(_place().alias("place"), "t", "start", "size")).alias("first"), F.max(_place()).alias("last")), "dictionary")
-    inside = _earlier_inside(texts, entries, runs, length)
-    several = entries.select("h1", "h2", F.col("first.place").alias("first"), "last").where("first < last").select("h1", "h2", "first")
+    inside = _inside(_mixed_runs(texts, parse, mixed, length, trigger), length)
+    entries = parse.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.bool_or(F.col("id").isNull()).alias("none"))
+    several = entries.where("low IS NOT NULL AND (low < high OR none)").select("h1", "h2", "low")
     known = written(several.join(inside, ["h1", "h2"], "full"), "known")
-    later = F.col("first").isNotNull() & (_place() > F.col("first"))
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b")))
-    parts = F.transform("ats", lambda x: F.struct((F.col("start") + x).alias("a"), (F.col("start") + x + length).alias("b")))
-    found = parse.join(known, ["h1", "h2"]).select("id", "t", F.when(later, whole).otherwise(parts).alias("spans")).where("spans IS NOT NULL")
+    parts = F.transform("ranges", lambda r: F.struct((F.col("start") + r["at"]).alias("a"), (F.col("start") + r["at"] + r["n"] - 1 + length).alias("b")))
+    found = parse.join(known, ["h1", "h2"]).select("id", "t", F.when(_earlier("low", "id"), whole).otherwise(parts).alias("spans")).where("spans IS NOT NULL")
     found = written(found.groupBy("id", "t").agg(F.flatten(F.collect_list("spans")).cast(_SPANS).alias("spans")), "spans")
-    discard(cores, runs, parse, entries, known)
+    discard(cores, mixed, parse, inside, known)
     return found
 
 
-def _earlier_inside(texts: DataFrame, entries: DataFrame, runs: DataFrame, length: int) -> DataFrame:
-    """(h1, h2, ats): the suffixes of a phrase whose beginnings stand, in other phrases, before the phrase does itself."""
-    first = entries.join(runs, "h1").select("h1", "h2", "first.*", "runs").select("h1", "h2", F.col("place.id").alias("own"), F.col("t").alias("own_t"), "start", "size", "runs")
-    asked = first.groupBy("own", "own_t").agg(F.collect_list(F.struct("start", "size", "h1", "h2", "runs")).alias("wanted"))
-    hosts = texts.join(asked, F.col("id").eqNullSafe(F.col("own")) & (F.col("t") == F.col("own_t")))
-    rows = hosts.select("id", F.explode(_suffixes(length)(F.col("text"), F.col("wanted"))).alias("s")).select(_place().alias("place"), "s.*")
-    rows = written(rows, "suffixes")
-    least = rows.groupBy("g1", "g2").agg(F.min("place").alias("least"), F.max("place").alias("most")).where("least < most")
-    # written, so that the join deals both sides anew and can split a suffix that very many phrases share
-    least = written(least.select("g1", "g2", "least"), "suffixes-shared")
-    out = rows.join(least, ["g1", "g2"]).where("least < place").select("h1", "h2", "at").distinct()
-    out = written(out.groupBy("h1", "h2").agg(F.collect_list("at").alias("ats")), "suffixes-earlier")
-    discard(rows, least)
-    return out
+def _mixed_runs(texts: DataFrame, parse: DataFrame, mixed: DataFrame, length: int, trigger: int) -> DataFrame:
+    """(h1, h2, id, at, anchor, core, s): the runs around shared anchors of each different phrase, with its first id."""
+    wanted = parse.join(mixed.select("h1"), "h1", "left_semi").groupBy("h1", "h2").agg(F.min("id").alias("low"), F.min(F.struct("t", "start", "size", "id")).alias("host"))
+    wanted = wanted.join(mixed, "h1").select("h1", "h2", "low", "host.*", "cores")
+    asked = wanted.groupBy(F.col("id").alias("host_id"), F.col("t").alias("host_t")).agg(F.collect_list(F.struct("start", "h1", "h2", "cores")).alias("wanted"))
+    hosts = texts.join(asked, F.col("id").eqNullSafe(F.col("host_id")) & (F.col("t") == F.col("host_t")))
+    rows = hosts.select(F.explode(_runs(length, trigger)(F.col("text"), F.col("wanted"))).alias("r")).select("r.*")
+    return written(rows.join(wanted.select("h1", "h2", F.col("low").alias("id")), ["h1", "h2"]), "runs-mixed")
+
+
+def _inside(rows: DataFrame, length: int) -> DataFrame:
+    """(h1, h2, ranges): the windows (at, n) of a phrase that stand, in other phrases, before the phrase does itself.
+
+    Three times different strings are formed with the first id of each: runs of windows, parts of runs, windows. The
+    next ones are formed only of strings that share what is common to all their windows with a different string.
+    """
+    runs = written(rows.groupBy("core", "anchor", "s").agg(F.min("id").alias("low")), "runs")
+    several = runs.groupBy("core").count().where("count > 1").select("core")
+    # a window's anchor lies o bytes after its start; a part has the windows of TOGETHER neighbouring o
+    windows = F.octet_length("s") - (length - 1)
+    least, most = (F.floor(o / TOGETHER).cast("int") for o in (F.greatest(F.col("anchor") - windows + 1, F.lit(0)), F.col("anchor")))
+    parts = runs.join(several, "core", "left_semi").withColumn("windows", windows).withColumn("j", F.explode(F.sequence(least, most)))
+    begin = F.greatest(F.lit(0), F.col("anchor") - (F.col("j") + 1) * TOGETHER + 1)
+    parts = parts.withColumn("i", begin).withColumn("n", F.least(F.col("windows") - 1, F.col("anchor") - F.col("j") * TOGETHER) - F.col("i") + 1)
+    common = F.substring(F.col("s"), F.col("anchor") - F.col("j") * TOGETHER + 1, F.lit(length - TOGETHER + 1))
+    parts = parts.select("s", "low", "i", "n", F.substring(F.col("s"), F.col("i") + 1, F.col("n") + length - 1).alias("part"), F.xxhash64("j", common).alias("common"))
+    parts = written(parts, "runs-parts")
+    own = written(parts.groupBy("common", "part").agg(F.min("low").alias("low")), "parts")
+    several = own.groupBy("common").count().where("count > 1").select("common")
+    single = own.join(several, "common", "left_semi").groupBy("part").agg(F.min("low").alias("low"))
+    single = written(single.withColumn("i", F.explode(F.sequence(F.lit(0), F.octet_length("part") - length))).withColumn("w", F.substring(F.col("part"), F.col("i") + 1, F.lit(length))), "windows")
+    first = written(single.groupBy("w").agg(F.min("low").alias("first")), "windows-first")
+    ahead = single.join(first, "w").where(_earlier("first", "low")).groupBy("part").agg(F.collect_list("i").alias("ahead"))
+    own = written(own.groupBy("part").agg(F.min("low").alias("first")).join(ahead, "part", "left"), "parts-first")
+    whole = F.when(_earlier("first", "low"), F.array(F.struct("i", "n")))
+    some = F.transform("ahead", lambda x: F.struct((F.col("i") + x).cast("int").alias("i"), F.lit(1).alias("n")))
+    marks = parts.join(own, "part").select("s", F.coalesce(whole, some).alias("marks")).where("marks IS NOT NULL").groupBy("s").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    ahead = written(runs.groupBy("s").agg(F.min("low").alias("first")).join(marks, "s", "left"), "runs-first")
+    whole = F.when(_earlier("first", "id"), F.array(F.struct("at", (F.octet_length("s") - (length - 1)).alias("n"))))
+    some = F.transform("marks", lambda m: F.struct((F.col("at") + m["i"]).alias("at"), m["n"].alias("n")))
+    found = rows.join(ahead, "s").select("h1", "h2", F.coalesce(whole, some).alias("ranges")).where("ranges IS NOT NULL")
+    found = written(found.groupBy("h1", "h2").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "inside")
+    discard(rows, runs, parts, single, first, own, ahead)
+    return found
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, mean: int = PHRASE) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, trigger: int = TRIGGER) -> DataFrame:
     """One row per row of docs: id_col, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte goes if it lies in a string of length bytes that also starts in a document with a smaller id; texts are their
     UTF-8 bytes, strings don't cross texts and overlap freely, and all are judged on the texts as they came. n_spans
     counts the maximal removed runs. Null ids come after all others and are level with one another; rows of one id, be
     they repeats or different texts, don't take from each other. Null and empty texts have no bytes. Other columns of
-    docs are not read. An empty table gives an empty result. Equality of strings is that of 128-bit hashes.
+    docs are not read. An empty table gives an empty result. Phrases are told apart by 128-bit hashes, strings inside them
+    by their bytes.
     """
-    found = repeated_spans(docs, id_col, text_col, length, mean).withColumnsRenamed({"id": "gone_id", "t": "gone_t"})
+    found = repeated_spans(docs, id_col, text_col, length, trigger).withColumnsRenamed({"id": "gone_id", "t": "gone_t"})
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("t"))
     rows = rows.join(found, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("t") == F.col("gone_t")), "left")
