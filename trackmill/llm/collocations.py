@@ -10,12 +10,14 @@ counts only find what can be frequent: one last scan counts those phrases themse
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,12 +131,20 @@ def _places(numbers: np.ndarray, k: int) -> np.ndarray:
     return np.flatnonzero(out)
 
 
-def _hashed_counts(docs: DataFrame, table: np.ndarray, before: np.ndarray | None, longest: int, most: int) -> DataFrame:
-    """(h, n): counts by hash of what is active by the table and wasn't by the one before; of words in a first turn."""
-    sent = docs.sparkSession.sparkContext.broadcast([table] if before is None else [before, table])  # of bounded size
+def _sent(docs: DataFrame, *tables: np.ndarray | None) -> Broadcast:
+    """The tables, of bounded size, for the tasks; to be destroyed when the counts are written."""
+    return docs.sparkSession.sparkContext.broadcast([zlib.compress(t.tobytes(), 1) for t in tables if t is not None])
+
+
+def _received(sent: Broadcast) -> list[np.ndarray]:
+    return [np.frombuffer(zlib.decompress(t), np.uint64) for t in sent.value]
+
+
+def _hashed_counts(docs: DataFrame, sent: Broadcast, longest: int, most: int) -> DataFrame:
+    """(h, n): counts by hash of what is active by the last table and wasn't by a first one; of words if there is none."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = sent.value
+        tables = _received(sent)
         for lang, vocabulary, numbers in _held(batches, most):
             hashes = _word_hashes(lang, vocabulary)
             if len(tables) == 1:
@@ -156,11 +166,11 @@ def _counts(h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
 
-def _exact_counts(docs: DataFrame, table: np.ndarray, longest: int, most: int) -> DataFrame:
+def _exact_counts(docs: DataFrame, sent: Broadcast, longest: int, most: int) -> DataFrame:
     """(lang, phrase, k, n): counts of the phrases whose bit is set; with k 0 the number of all words."""
-    sent = docs.sparkSession.sparkContext.broadcast(table)  # of bounded size
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (table,) = _received(sent)
         for lang, vocabulary, numbers in _held(batches, most):
             hashes, spelled = _word_hashes(lang, vocabulary), list(vocabulary)
             words = shorter = hashes[numbers]
@@ -172,7 +182,7 @@ def _exact_counts(docs: DataFrame, table: np.ndarray, longest: int, most: int) -
                     break
                 if k > 1:
                     shorter = _longer(shorter, words, k)
-                at = at[_set(sent.value, shorter[at]) & (rank[at] >= 0)]
+                at = at[_set(table, shorter[at]) & (rank[at] >= 0)]
                 same = rank[at] * len(spelled) + numbers[at + k - 1] if k > 1 else rank[at]
                 _, first, own, n = np.unique(same, return_index=True, return_inverse=True, return_counts=True)
                 if k < longest:
@@ -218,11 +228,13 @@ def frequent_bits(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
             continue
         idle = 0
         turns.append((shard, used[shard] is None))
-        rows = _hashed_counts(docs.where(own == shard), table, used[shard], longest, most).withColumn("since", F.lit(step))
+        sent = _sent(docs, used[shard], table)
+        rows = _hashed_counts(docs.where(own == shard), sent, longest, most).withColumn("since", F.lit(step))
         used[shard] = table
         # first seen so many steps ago, a phrase has been counted in every shard
         rows = rows if state is None else rows.unionByName(state.where(F.col("since") > step - shards))
         counted = written(rows.groupBy("h").agg(F.sum("n").alias("n"), F.min("since").alias("since")), "phrases-counted")
+        sent.destroy()
         if state is not None:
             discard(state)
         state = counted
@@ -237,7 +249,10 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     """(lang, phrase, k, n): all phrases of 1 to longest words that occur least times; with k 0 each language's words."""
     texts = _texts(docs, lang_col, text_col)
     table, _ = frequent_bits(texts, least, longest, shards, table_bits, most)
-    return written(_exact_counts(texts, table, longest, most).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+    sent = _sent(texts, table)
+    found = written(_exact_counts(texts, sent, longest, most).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+    sent.destroy()
+    return found
 
 
 def _score() -> Column:
