@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackmill.llm import suffixes
-from trackmill.llm.suffixes import anchors, merged, parsed, phrases, remove_repeats
+from trackmill.llm.suffixes import merged, parsed, phrases, remove_repeats
 
 
 def by_hand(rows, length):
@@ -68,11 +68,10 @@ def test_long_texts_in_blocks(spark, monkeypatch):
     want = by_hand(rows, 50)
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(docs).collect()), key=str) == want
     data = long.encode()
-    whole = phrases(data), anchors(data)
+    whole = phrases(data)
     monkeypatch.setattr(suffixes, "BLOCK", 1000)
-    cut = phrases(data), anchors(data)
-    assert all((a == b).all() for x, y in zip(whole, cut, strict=True) for a, b in zip(x, y, strict=True))
-    assert len(whole[0][0]) > 300
+    assert all((a == b).all() for a, b in zip(whole, phrases(data), strict=True))
+    assert len(whole[0]) > 300
 
 
 def test_equal_windows_have_equal_anchors():

@@ -113,31 +113,27 @@ def names(data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def phrases(data: bytes, length: int = LENGTH, trigger: int = TRIGGER) -> list[np.ndarray]:
-    """The start, size and name (in two parts) of each phrase of a text."""
-    _, _, _, begin, end, _ = parsed(data, length, trigger)
-    found = names(data, begin, end)
-    return [begin, end - begin, found[:, 0], found[:, 1]]
-
-
-def anchors(data: bytes, length: int = LENGTH, trigger: int = TRIGGER) -> list[np.ndarray]:
-    """The anchor's hash of each run, and the first part of its phrase's name."""
+    """The start, size and name (in two parts) of each phrase of a text, its number of runs; and all runs' anchors' hashes."""
     starts, cores, _, begin, end, runs = parsed(data, length, trigger)
-    return [cores, np.repeat(names(data, begin, end)[:, 0], np.diff(np.append(runs, len(starts))))]
+    found = names(data, begin, end)
+    return [begin, end - begin, found[:, 0], found[:, 1], np.diff(np.append(runs, len(starts))), cores]
 
 
 def chosen_runs(data: bytes, wanted: list[dict], length: int = LENGTH, trigger: int = TRIGGER) -> Iterator[tuple]:
-    """(h1, h2, first window in the phrase, anchor's place in it, anchor's hash, string) of the runs in wanted phrases
-    whose anchors' hashes are among the phrase's cores."""
+    """The runs of the wanted phrases (start, cores) of a text, as far as their anchors' hashes are among the cores.
+
+    A run is (number of the phrase in wanted, first window in the phrase, anchor's place in the run, hash, string).
+    """
     starts, cores, places, begin, _, runs = parsed(data, length, trigger)
     stop = np.append(starts[1:], len(data) - length + 1)
     ends = np.append(runs[1:], len(starts))
-    for p in wanted:
+    for number, p in enumerate(wanted):
         k = int(np.searchsorted(begin, p["start"]))
         own = set(p["cores"])
         for r in range(runs[k], ends[k]):
             if (core := int(cores[r])) in own:
                 a = int(starts[r])
-                yield p["h1"], p["h2"], a - p["start"], int(places[r]) - a, core, data[a : int(stop[r]) - 1 + length]
+                yield number, a - p["start"], int(places[r]) - a, core, data[a : int(stop[r]) - 1 + length]
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -157,8 +153,8 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-_PHRASES = T.ArrayType(_struct(start=_INT, size=_INT, h1=_LONG, h2=_LONG))
-_RUNS = T.ArrayType(_struct(h1=_LONG, h2=_LONG, at=_INT, anchor=_INT, core=_LONG, s=T.BinaryType()))
+_PHRASES = T.ArrayType(_struct(start=_INT, size=_INT, h1=_LONG, h2=_LONG, cores=T.ArrayType(_LONG)))
+_RUNS = T.ArrayType(_struct(number=_INT, at=_INT, anchor=_INT, core=_LONG, s=T.BinaryType()))
 _DIGEST = _struct(n_removed=_LONG, n_spans=_LONG, kept_sha256=T.StringType())
 _SPANS = T.ArrayType(_struct(a=_INT, b=_INT))
 
@@ -167,26 +163,26 @@ def _data(text: pa.Scalar) -> bytes:
     return (text.as_py() or "").encode()
 
 
-def _list(rows: list[list[np.ndarray]], kind: T.ArrayType) -> pa.Array:
-    """A list array of structs from each row's columns."""
-    fields = kind.elementType.fields
-    columns = [pa.array(np.concatenate([np.empty(0, np.int64), *[r[i] for r in rows]]), pa.int64()).cast(pa.int32() if f.dataType == _INT else pa.int64()) for i, f in enumerate(fields)]
-    offsets = np.cumsum([0, *[len(r[0]) for r in rows]])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, [f.name for f in fields]))
+def _ends(sizes: list[int] | np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
 
 
 def _parse(length: int, trigger: int):
     @F.arrow_udf(_PHRASES)
     def parse(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield _list([phrases(_data(x), length, trigger) for x in batch], _PHRASES)
+            found = [phrases(_data(x), length, trigger) for x in batch] or [phrases(b"")]
+            start, size, h1, h2, n, cores = (np.concatenate(x) for x in zip(*found, strict=True))
+            columns = [pa.array(start, pa.int64()).cast(pa.int32()), pa.array(size, pa.int64()).cast(pa.int32()), pa.array(h1), pa.array(h2), pa.ListArray.from_arrays(_ends(n), pa.array(cores))]
+            rows = pa.StructArray.from_arrays(columns, [f.name for f in _PHRASES.elementType.fields])
+            yield pa.ListArray.from_arrays(_ends([len(x[0]) for x in found[: len(batch)]]), rows)
 
     return parse
 
 
 def _runs(length: int, trigger: int):
     """The runs of the phrases that are given with a text."""
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
     @F.arrow_udf(_RUNS)
     def runs(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -194,7 +190,7 @@ def _runs(length: int, trigger: int):
             found = [list(chosen_runs(_data(x), w.as_py() or [], length, trigger)) for x, w in zip(texts, wanted, strict=True)]
             columns = list(zip(*[r for own in found for r in own], strict=True)) or [()] * len(kinds)
             rows = pa.StructArray.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], [f.name for f in _RUNS.elementType.fields])
-            yield pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), rows)
+            yield pa.ListArray.from_arrays(_ends([len(x) for x in found]), rows)
 
     return runs
 
@@ -221,27 +217,6 @@ def _pairs(own: pa.ListScalar) -> np.ndarray:
     return np.stack([values.field("a").to_numpy(), values.field("b").to_numpy()], axis=1).astype(np.int64)
 
 
-def _anchor_rows(texts: DataFrame, length: int, trigger: int) -> DataFrame:
-    """(core, h1): what anchors gives of all texts."""
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held, some = [], 0
-            for text in batch.column(0):
-                held.append(anchors(_data(text), length, trigger))
-                some += len(held[-1][0])
-                if some > 1 << 20:
-                    yield made(held)
-                    held, some = [], 0
-            if held:
-                yield made(held)
-
-    def made(held: list) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*held, strict=True)], ["core", "h1"])
-
-    return texts.select("text").mapInArrow(find, "core long, h1 long")
-
-
 def _earlier(a: Column | str, b: Column | str) -> Column:
     """Whether id a comes before id b; null ids come last and are level with one another."""
     a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
@@ -254,12 +229,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Ranges may overlap. t tells the texts of one id apart, by a 64-bit hash.
     """
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("t"), F.col(text_col).alias("text")).where(F.octet_length(F.col(text_col)) >= length)
-    cores = _anchor_rows(texts, length, trigger).groupBy("core").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
-    cores = written(cores.where("lo != hi").select("core"), "cores-shared")
-    mixed = _anchor_rows(texts, length, trigger).join(cores, "core", "left_semi").distinct()
-    mixed = written(mixed.groupBy("h1").agg(F.collect_list("core").alias("cores")), "phrases-mixed")
     parse = texts.select("id", "t", F.explode(_parse(length, trigger)(F.col("text"))).alias("p")).select("id", "t", "p.*")
     parse = written(parse, "parse")
+    anchors = parse.select("h1", F.explode("cores").alias("core"))
+    cores = anchors.groupBy("core").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
+    cores = written(cores.where("lo != hi").select("core"), "cores-shared")
+    mixed = anchors.join(cores, "core", "left_semi").distinct()
+    mixed = written(mixed.groupBy("h1").agg(F.collect_list("core").alias("cores")), "phrases-mixed")
+    parse = parse.drop("cores")
     inside = _inside(_mixed_runs(texts, parse, mixed, length, trigger), length)
     entries = parse.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.bool_or(F.col("id").isNull()).alias("none"))
     several = entries.where("low IS NOT NULL AND (low < high OR none)").select("h1", "h2", "low")
@@ -274,12 +251,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _mixed_runs(texts: DataFrame, parse: DataFrame, mixed: DataFrame, length: int, trigger: int) -> DataFrame:
     """(h1, h2, id, at, anchor, core, s): the runs around shared anchors of each different phrase, with its first id."""
-    wanted = parse.join(mixed.select("h1"), "h1", "left_semi").groupBy("h1", "h2").agg(F.min("id").alias("low"), F.min(F.struct("t", "start", "size", "id")).alias("host"))
-    wanted = wanted.join(mixed, "h1").select("h1", "h2", "low", "host.*", "cores")
-    asked = wanted.groupBy(F.col("id").alias("host_id"), F.col("t").alias("host_t")).agg(F.collect_list(F.struct("start", "h1", "h2", "cores")).alias("wanted"))
+    wanted = parse.join(mixed.select("h1"), "h1", "left_semi").groupBy("h1", "h2").agg(F.min("id").alias("low"), F.min(F.struct("t", "start", "id")).alias("host"))
+    wanted = written(wanted.select("h1", "h2", "low", "host.*"), "phrases-wanted")
+    asked = wanted.join(mixed, "h1").groupBy(F.col("id").alias("host_id"), F.col("t").alias("host_t")).agg(F.collect_list(F.struct("start", "h1", "h2", "low", "cores")).alias("wanted"))
+    asked = written(asked, "phrases-asked")
     hosts = texts.join(asked, F.col("id").eqNullSafe(F.col("host_id")) & (F.col("t") == F.col("host_t")))
-    rows = hosts.select(F.explode(_runs(length, trigger)(F.col("text"), F.col("wanted"))).alias("r")).select("r.*")
-    return written(rows.join(wanted.select("h1", "h2", F.col("low").alias("id")), ["h1", "h2"]), "runs-mixed")
+    needed = F.transform("wanted", lambda p: F.struct(p["start"].alias("start"), p["cores"].alias("cores")))
+    rows = hosts.select("wanted", F.explode(_runs(length, trigger)(F.col("text"), needed)).alias("r"))
+    phrase = F.get("wanted", F.col("r.number"))
+    rows = written(rows.select(phrase["h1"].alias("h1"), phrase["h2"].alias("h2"), phrase["low"].alias("id"), "r.at", "r.anchor", "r.core", "r.s"), "runs-mixed")
+    discard(wanted, asked)
+    return rows
 
 
 def _inside(rows: DataFrame, length: int) -> DataFrame:
