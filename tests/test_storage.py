@@ -87,6 +87,90 @@ def test_merge_like_a_first_write_without_dedup(spark, root):
     assert storage.merge_partitions(days(spark, 15), root, keys=None) == {date(2024, 1, 15): 1}
 
 
+def test_merge_keeps_to_the_declared_columns(spark, root):
+    storage.merge_partitions(days(spark, 15).withColumn("extra", F.lit(1)), root)
+    Path(root, "date=2024-01-16").mkdir()
+    days(spark, 16).withColumn("odd", F.lit("x")).drop("odometer").coalesce(1).write.mode("overwrite").parquet(f"{root}/date=2024-01-16")
+    storage.merge_partitions(days(spark, 15, 16, speed_mph="3.0"), root)
+    for d in (15, 16):
+        assert set(spark.read.parquet(f"{root}/date=2024-01-{d}").columns) == set(unified.TELEMETRY_COLUMNS)
+    with pytest.raises(ValueError, match="odometer"):
+        storage.merge_partitions(days(spark, 15).drop("odometer"), root)
+
+
+def test_merge_prunes_days_while_it_runs(spark, root):
+    storage.save_partitioned(days(spark, *range(1, 29)), root)
+    fresh = days(spark, 15).withColumn("date", F.to_date("timestamp")).persist()
+    df = storage._merged(fresh, root, unified.DEDUP_KEYS, (), True, unified.TELEMETRY_SCHEMA)
+    assert df.count() == 2
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    scanned = [r.f for r in storage.affected_partitions(storage._stored(spark, root, storage.list_partition_dates(spark, root), unified.TELEMETRY_SCHEMA).withColumn("f", F.input_file_name()), fresh).select("f").distinct().collect()]
+    assert len(scanned) == 1
+    fresh.unpersist()
+
+
+def actions(spark):
+    return spark._jsparkSession.sharedState().statusStore().executionsCount()
+
+
+def test_merge_is_one_action(spark, root):
+    """No pass of its own finds the days or counts the rows."""
+    storage.save_partitioned(days(spark, 15, 16), root)
+    new, before = days(spark, 15, 16, 17, 17), actions(spark)
+    assert storage.merge_partitions(new, root) == {date(2024, 1, 15): 1, date(2024, 1, 16): 1, date(2024, 1, 17): 2}
+    assert actions(spark) == before + 1
+
+
+def test_more_days_than_are_counted_on_the_way(spark, root, monkeypatch):
+    monkeypatch.setattr(storage, "MOST_DAYS", 3)
+    assert storage.save_partitioned(days(spark, 15, 15, 16, 17, 18), root) == {date(2024, 1, 15): 2, date(2024, 1, 16): 1, date(2024, 1, 17): 1, date(2024, 1, 18): 1}
+    assert storage.save_partitioned(days(spark, 16), root) == {date(2024, 1, 16): 1}
+
+
+def damage(root, d, at):
+    """Spoil one file of a day: its end (the footer) or its middle (a data page)."""
+    f = next(Path(root, f"date=2024-01-{d}").glob("*.parquet"))
+    data = bytearray(f.read_bytes())
+    if at == "end":
+        data = data[: len(data) // 2]
+    else:
+        for i in range(30, 90):
+            data[i] ^= 0xFF
+    f.write_bytes(data)
+    f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    return f.name
+
+
+def test_damaged_days(spark, root):
+    storage.save_partitioned(days(spark, 15, 16, 16, 17, 18), root)
+    bad = {damage(root, 16, "end"), damage(root, 17, "middle")}
+    rows, skipped = storage.load_readable(spark, root, date(2024, 1, 15), date(2024, 1, 18))
+    assert sorted(str(r.date) for r in rows.collect()) == ["2024-01-15", "2024-01-18"]
+    assert {Path(r.file).name for r in skipped.collect()} == bad and sorted(str(r.date) for r in skipped.collect()) == ["2024-01-16", "2024-01-17"]
+    with pytest.raises(Exception):  # noqa: B017  by default a damaged day is an error
+        storage.load_partition(spark, root, date(2024, 1, 16)).collect()
+    rows, skipped = storage.load_readable(spark, root, date(2024, 1, 18), date(2024, 1, 18))
+    assert (rows.count(), skipped.count()) == (1, 0)
+    rows, skipped = storage.load_readable(spark, root, date(2020, 1, 1), date(2020, 1, 2))
+    assert (rows.count(), skipped.count()) == (0, 0)
+
+
+def test_retention_on_a_registered_table(spark, root):
+    storage.save_partitioned(days(spark, 15, 16, 17, 18), root)
+    storage.register_external_table(spark, "kept", root)
+    listed = lambda: sorted(r.partition for r in spark.sql("SHOW PARTITIONS kept").collect())
+    assert storage.apply_retention(spark, root, 2, datetime(2024, 1, 18, tzinfo=timezone.utc), "kept") == 1
+    assert listed() == ["date=2024-01-16", "date=2024-01-17", "date=2024-01-18"]
+    assert storage.delete_partition(spark, root, date(2024, 1, 17), "kept")
+    assert listed() == ["date=2024-01-16", "date=2024-01-18"] and spark.table("kept").count() == 2
+    storage.merge_partitions(days(spark, 19), root)
+    storage.delete_partition(spark, root, date(2024, 1, 16))
+    storage.sync_external_table(spark, "kept")
+    assert listed() == ["date=2024-01-18", "date=2024-01-19"] and spark.table("kept").count() == 2
+    spark.sql("DROP TABLE kept")
+
+
 def test_metadata(spark, root):
     assert storage.list_partition_dates(spark, root) == [] and storage.latest_partition_date(spark, root) is None
     storage.save_partitioned(days(spark, 15, 17), root)

@@ -169,5 +169,10 @@ def assignments_for(assignments: DataFrame, ids: DataFrame, key: str) -> DataFra
 
 
 def affected_partitions(existing: DataFrame, new: DataFrame, date_col: str = "date") -> DataFrame:
-    """The rows of existing on days that new touches; the semi join prunes partitions at run time."""
-    return existing.join(new.select(date_col).distinct(), date_col, "left_semi")
+    """The rows of existing on days that new touches.
+
+    The days are broadcast, being no more than the calendar has, and prune the partitions of existing at run time. The
+    lower bound, which every day is above, is what makes the planner prune for days that carry no other condition.
+    """
+    days = new.select(date_col).where(F.col(date_col) > F.lit("0001-01-01").cast("date")).distinct()
+    return existing.join(F.broadcast(days), date_col, "left_semi")

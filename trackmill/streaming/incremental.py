@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import json
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trackmill.operators.flatten import union_providers
@@ -14,8 +15,8 @@ from trackmill.operators.storage import latest_partition_date, merge_partitions
 from trackmill.plans.unified import DEDUP_KEYS, enforce_schema, filter_time_range
 from trackmill.sources.pages import ARRIVAL, read_pages, rejected, unwrap_items, validated
 
-#: Gives a provider's rows of a window, or those and what it rejected.
-Fetch = Callable[[SparkSession, datetime, datetime], DataFrame | tuple[DataFrame, DataFrame]]
+#: Gives a provider's rows of a window; or those and what it rejected; or these two and what it skipped (unit, …).
+Fetch = Callable[[SparkSession, datetime, datetime], DataFrame | tuple[DataFrame, ...]]
 
 
 def incremental_start(spark: SparkSession, root: str, default: str, lookback_days: int) -> datetime:
@@ -60,9 +61,18 @@ class RunSummary:
     records: int = 0
     dropped_null_time: int = 0
     rejected: int = 0
+    skipped: int = 0
+    replayed: int = 0
     partitions: set[date] = field(default_factory=set)
     failed: list[tuple[int, str]] = field(default_factory=list)
 
+    def add(self, more: RunSummary) -> None:
+        """Take in what another run, or a part of this one, did."""
+        for f in ("batches", "batches_with_data", "records", "dropped_null_time", "rejected", "skipped", "replayed"):
+            setattr(self, f, getattr(self, f) + getattr(more, f))
+        self.partitions |= more.partitions
+        self.failed += more.failed
+
 
 class AllProvidersFailed(RuntimeError):
     """No provider gave a batch; earlier batches are saved."""
@@ -74,72 +84,165 @@ class AllProvidersFailed(RuntimeError):
         self.partitions = sorted(summary.partitions)
 
 
+@dataclass
+class _Given:
+    """What a provider gave for a window: its typed rows, what it rejected and what it skipped."""
+
+    frame: DataFrame
+    bad: DataFrame | None
+    lost: DataFrame | None
+
+    def watched(self, a: datetime, b: datetime) -> tuple[DataFrame, Observation]:
+        """The rows, counted when and where they are computed: those inside the window, and those without a time."""
+        told, at = Observation(), F.col("timestamp")
+        return self.frame.observe(told, F.count_if(at.between(F.lit(a), F.lit(b))).alias("rows"), F.count_if(at.isNull()).alias("nulls")), told
+
+    def left_out(self) -> tuple[int, int]:
+        """How many items were rejected and how many units skipped."""
+        return self.bad.count() if self.bad is not None else 0, self.lost.select("unit").distinct().count() if self.lost is not None else 0
+
+
+def _fetched(spark: SparkSession, sources: Mapping[str, Fetch], a: datetime, b: datetime, fail: Callable[[str, Exception], None]) -> dict[str, _Given]:
+    given = {}
+    for place, name in enumerate(sorted(sources)):
+        try:
+            found = sources[name](spark, a, b)
+            found, bad, lost = (*found, None, None)[:3] if isinstance(found, tuple) else (found, None, None)
+            frame = enforce_schema(found, [c for c in ARRIVAL if c in found.columns]).withColumn("_source", F.lit(place))
+        except Exception as failure:  # whatever stops a provider, the others go on
+            fail(name, failure)
+            continue
+        given[name] = _Given(frame, bad, lost)
+    return given
+
+
+def _merge_window(given: Mapping[str, _Given], root: str, a: datetime, b: datetime) -> RunSummary:
+    """Unite and merge what the providers gave for one window, in one write that counts as it goes."""
+    watched = [g.watched(a, b) for g in given.values()]
+    order = ["_source", *[c for c in ARRIVAL if any(c in f.columns for f, _ in watched)]]
+    everything = filter_time_range(union_providers([f for f, _ in watched], order), "timestamp", a, b)
+    left_out = [g.left_out() for g in given.values()]
+    touched = merge_partitions(everything, root, order=order)
+    told = [o.get for _, o in watched]
+    rows = sum(t.get("rows") or 0 for t in told)
+    return RunSummary(0, int(rows > 0), rows, sum(t.get("nulls") or 0 for t in told), sum(x for x, _ in left_out), sum(y for _, y in left_out), partitions=set(touched))
+
+
+def _working(given: Mapping[str, _Given], fail: Callable[[str, Exception], None]) -> dict[str, _Given]:
+    """The providers whose rows can be computed, each tried by itself; their rows stay cached."""
+    out = {}
+    for name, g in given.items():
+        held = _Given(g.frame.persist(), g.bad, g.lost)
+        try:
+            held.frame.count()
+            held.left_out()
+        except Exception as failure:  # it fails where it is computed
+            held.frame.unpersist()
+            fail(name, failure)
+            continue
+        out[name] = held
+    return out
+
+
 def run_incremental(spark: SparkSession, sources: Mapping[str, Fetch], root: str, start: datetime, end: datetime, days: float = 1.0) -> RunSummary:
     """Fetch, unite, type and merge each window in turn.
 
     A provider that fails is left out of that window; if all fail the run stops. A provider's frame fails where it is
-    computed, so each is counted, cached, before the union; the same pass counts rows without a time. Of versions of a
-    reading in one window the last to arrive stays: by provider in sorted order, then by the ARRIVAL columns that a
-    frame has, so reruns agree.
+    computed, which is in the one write of the window. Only then each is tried by itself, and those that work are
+    written without the others; nothing of the failed write is stored. Rows are counted by that write; what providers
+    rejected or skipped is counted where they say so. Of versions of a reading in one window the last to arrive stays:
+    by provider in sorted order, then by the ARRIVAL columns that a frame has, so reruns agree. If an executor is lost,
+    rows that are computed again may be counted again; what is stored is not affected.
     """
     summary = RunSummary()
     for k, (a, b) in enumerate(batch_windows(start, end, days)):
         summary.batches += 1
-        frames, rows = [], 0
-        for place, name in enumerate(sorted(sources)):
-            try:
-                found = sources[name](spark, a, b)
-                found, bad = found if isinstance(found, tuple) else (found, None)
-                frame = enforce_schema(found, [c for c in ARRIVAL if c in found.columns]).withColumn("_source", F.lit(place)).persist()
-                inside = F.col("timestamp").between(F.lit(a), F.lit(b))
-                seen = frame.agg(F.count_if(inside).alias("rows"), F.count_if(F.col("timestamp").isNull()).alias("nulls")).first()
-                rejected = bad.count() if bad is not None else 0
-            except Exception as failure:  # whatever stops a provider, the others go on
-                summary.failed.append((k, f"{name}: {type(failure).__name__}"))
-                continue
-            rows += seen.rows
-            summary.dropped_null_time += seen.nulls
-            summary.rejected += rejected
-            frames.append(frame)
-        if not frames:
+
+        def fail(name: str, failure: Exception, k: int = k) -> None:
+            summary.failed.append((k, f"{name}: {type(failure).__name__}"))
+
+        given = _fetched(spark, sources, a, b, fail)
+        if not given:
             raise AllProvidersFailed(k, summary)
-        if rows:
-            order = ["_source", *[c for c in ARRIVAL if any(c in f.columns for f in frames)]]
-            everything = filter_time_range(union_providers(frames, order), "timestamp", a, b)
-            summary.batches_with_data += 1
-            summary.records += rows
-            summary.partitions |= set(merge_partitions(everything, root, order=order))
-        for frame in frames:
-            frame.unpersist()
+        try:
+            summary.add(_merge_window(given, root, a, b))
+        except Exception:  # a provider's, or the store's
+            working = _working(given, fail)
+            if not working:
+                raise AllProvidersFailed(k, summary) from None
+            try:
+                if len(working) == len(given):
+                    raise
+                summary.add(_merge_window(working, root, a, b))
+            finally:
+                for g in working.values():
+                    g.frame.unpersist()
     return summary
 
 
-def stream_ingest(spark: SparkSession, endpoint: str, path: str, root: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame], ts: str = "timestamp", quarantine: str | None = None) -> RunSummary:
+class Ledger:
+    """The micro-batches of a stream that are done with, and what each did: a folder of small files, one per batch.
+
+    An entry is written after all else, and whole or not at all.
+    """
+
+    SCHEMA = "batch long, records long, dropped_null_time long, rejected long, days array<date>"
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def has(self, batch: int) -> bool:
+        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/entry-{batch}/_SUCCESS")
+        return mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(mark)
+
+    def add(self, batch: int, records: int, nulls: int, rejected: int, days: Sequence[date]) -> None:
+        entry = self.spark.createDataFrame([(batch, records, nulls, rejected, sorted(days))], self.SCHEMA)
+        entry.coalesce(1).write.mode("overwrite").json(f"{self.path}/entry-{batch}")
+
+    def entries(self) -> DataFrame:
+        """One row per batch, of all runs of the stream."""
+        return self.spark.read.schema(self.SCHEMA).json(f"{self.path}/entry-*")
+
+
+def stream_ingest(
+    spark: SparkSession, endpoint: str, path: str, root: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame], ts: str = "timestamp", quarantine: str | None = None, ledger: str | None = None, name: str | None = None
+) -> RunSummary:
     """Merge new landed pages into the dataset, whatever has come since the last call, and say what was done.
 
     transform gives the unified columns from an endpoint's valid items, and those of ARRIVAL if it keeps them. Each
     micro-batch is merged like a batch, so a repeated or late reading replaces the stored one, and of a batch's versions
     the last to arrive stays. Bad items and unreadable pages are counted, and kept in the folder quarantine if it is
-    given.
+    given, under stream=…/batch=….
+
+    A batch takes effect once, though Spark may hand it out again after a failure: what it merges and what it
+    quarantines replaces what it wrote before, and the ledger (a folder, by the checkpoint if not given) has an entry
+    for each batch that is done, which is passed over and counted as replayed. name tells the batches of streams that
+    share a quarantine apart; it is the checkpoint's own if not given.
     """
     summary = RunSummary()
+    done = Ledger(spark, ledger or f"{checkpoint.rstrip('/')}-ledger")
+    name = name or checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
-    def upsert(batch: DataFrame, _: int) -> None:
+    def upsert(batch: DataFrame, number: int) -> None:
+        if done.has(number):
+            summary.replayed += 1
+            return
         pages = batch.persist()
         found = transform(validated(unwrap_items(pages, endpoint), endpoint)[0])
         order = [c for c in ARRIVAL if c in found.columns]
-        rows, bad = enforce_schema(found, order).persist(), rejected(pages, endpoint).persist()
-        seen = rows.agg(F.count(ts).alias("rows"), F.count_if(F.col(ts).isNull()).alias("nulls")).first()
-        summary.batches += 1
-        summary.batches_with_data += bool(seen.rows)
-        summary.records += seen.rows
-        summary.dropped_null_time += seen.nulls
-        summary.rejected += bad.count()
-        summary.partitions |= set(merge_partitions(rows, root, ts=ts, order=order))
+        told, at = Observation(), F.col(ts)
+        rows = enforce_schema(found, order).observe(told, F.count(at).alias("rows"), F.count_if(at.isNull()).alias("nulls"))
+        days = merge_partitions(rows, root, ts=ts, order=order)
+        bad, refused = Observation(), rejected(pages, endpoint)
+        refused = refused.observe(bad, F.count(F.lit(1)).alias("rows"))
         if quarantine:
-            bad.write.mode("append").parquet(quarantine)
-        for table in (rows, bad, pages):
-            table.unpersist()
+            refused.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/stream={name}/batch={number}")
+        else:
+            refused.write.format("noop").mode("overwrite").save()
+        counts = told.get.get("rows") or 0, told.get.get("nulls") or 0, bad.get.get("rows") or 0
+        done.add(number, *counts, list(days))
+        summary.add(RunSummary(1, int(counts[0] > 0), *counts, partitions=set(days)))
+        pages.unpersist()
 
     query = read_pages(spark, endpoint, path, stream=True).writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
@@ -155,3 +258,32 @@ def tumbling_counts(stream: DataFrame, width: str = "1 hour", late: str = "7 day
     """Rows and mean speed by provider and window; a window is given out when the watermark has passed it."""
     found = stream.withWatermark("timestamp", late).groupBy(F.window("timestamp", width), "provider").agg(F.count("*").alias("records"), F.avg("speed_mph").alias("mean_speed_mph"))
     return found.select(F.col("window.start").alias("bucket"), "provider", "records", "mean_speed_mph")
+
+
+@dataclass
+class WindowRun:
+    """What a run over windows did: rows taken in, windows closed, and late windows, whose rows were dropped."""
+
+    rows: int = 0
+    closed: int = 0
+    late: int = 0
+
+
+def ingest_windows(stream: DataFrame, out: str, checkpoint: str, width: str = "1 hour", late: str = "7 days") -> WindowRun:
+    """Append the windows of tumbling_counts that are closed to the Parquet files in out, and say what was done.
+
+    Takes in whatever has come since the last call. A window is written once, when the watermark (the latest time less
+    late) has passed its end, and its state is dropped then, so state is as large as the lookback, not as the stream.
+    Rows of windows that are closed already are dropped; late counts such windows by provider and micro-batch.
+    """
+    spark, kept = stream.sparkSession, "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "100000")  # every micro-batch's progress counts
+    try:
+        query = tumbling_counts(stream, width, late).writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        told = [json.loads(p.json) for p in query.recentProgress]
+    finally:
+        spark.conf.set(kept, before)
+    state = [s for p in told for s in p["stateOperators"]]
+    return WindowRun(sum(p["numInputRows"] for p in told), sum(s["numRowsRemoved"] for s in state), sum(s["numRowsDroppedByWatermark"] for s in state))
