@@ -30,8 +30,8 @@ COVERED = 50
 SHARDS = 4
 #: The table of what has reached the threshold has 2**TABLE_BITS bits: 8 MB, at any size of the corpus.
 TABLE_BITS = 26
-#: Words that a task holds before it hands its counts on; bytes that it splits at once.
-MOST_HELD, PIECE_BYTES = 4_000_000, 1 << 20
+#: Words that a task holds before it hands its counts on, different words that it knows; bytes that it splits at once.
+MOST_HELD, MOST_KNOWN, PIECE_BYTES = 1_500_000, 300_000, 1 << 20
 #: Parts that the phrases of a language are ranked in first.
 PARTS = 64
 
@@ -97,9 +97,53 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+class Hashes(dict):
+    """Hashes of a language's words, never 0, which is the border between pieces."""
+
+    def __init__(self, lang: str) -> None:
+        super().__init__({b"\n": 0})
+        self.seed = xxhash.xxh64_intdigest(lang.encode())
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh64_intdigest(word, self.seed) or 1
+        return h
+
+
 def _word_hashes(lang: str, vocabulary: Vocabulary) -> np.ndarray:
-    seed = xxhash.xxh64_intdigest(lang.encode())
-    return np.array([xxhash.xxh64_intdigest(w, seed) for w in vocabulary], dtype=np.uint64)
+    own = Hashes(lang)
+    return np.array(list(map(own.__getitem__, vocabulary)), dtype=np.uint64)
+
+
+def _encoded(docs: DataFrame) -> DataFrame:
+    """(words): the hashes of each text's words, as bytes."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Hashes] = {}
+        for batch in batches:
+            out = []
+            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+                own = known.setdefault(lang.as_py(), Hashes(lang.as_py()))
+                found = [np.array(list(map(own.__getitem__, words_of(piece))), dtype=np.uint64) for piece in _pieces(text.as_py().encode())]
+                out.append(b"".join(x.tobytes() for x in found))
+                if sum(map(len, known.values())) > MOST_KNOWN:
+                    known.clear()
+            yield pa.record_batch([pa.array(out, pa.binary())], ["words"])
+
+    return docs.mapInArrow(encode, "words binary")
+
+
+def _joined(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[np.ndarray]:
+    """The words of encoded texts, most of them at once or as many as one text has."""
+    parts, held = [], 0
+    for batch in batches:
+        for x in batch.column(0):
+            parts.append(np.frombuffer(x.as_buffer(), np.uint64))
+            held += len(parts[-1])
+            if held > most:
+                yield np.concatenate(parts)
+                parts, held = [], 0
+    if held:
+        yield np.concatenate(parts)
 
 
 def _longer(shorter: np.ndarray, words: np.ndarray, k: int) -> np.ndarray:
@@ -122,9 +166,9 @@ def _active(tables: list[np.ndarray], shorter: np.ndarray, at: np.ndarray) -> np
     return out & ~(_set(tables[0], first) & _set(tables[0], second)) if len(tables) > 1 else out
 
 
-def _places(numbers: np.ndarray, k: int) -> np.ndarray:
+def _places(words: np.ndarray, k: int) -> np.ndarray:
     """Where k words stand without a border between them."""
-    inside, n = numbers != 0, len(numbers) - k + 1
+    inside, n = words != 0, len(words) - k + 1
     out = np.ones(max(n, 0), dtype=bool)
     for i in range(k if n > 0 else 0):
         out &= inside[i : i + n]
@@ -140,29 +184,31 @@ def _received(sent: Broadcast) -> list[np.ndarray]:
     return [np.frombuffer(zlib.decompress(t), np.uint64) for t in sent.value]
 
 
-def _hashed_counts(docs: DataFrame, sent: Broadcast, longest: int, most: int) -> DataFrame:
-    """(h, n): counts by hash of what is active by the last table and wasn't by a first one; of words if there is none."""
+def _hashed_counts(encoded: DataFrame, sent: Broadcast, longest: int, most: int) -> DataFrame:
+    """(h, n): counts by hash of what is active by the last table and wasn't by a first one; of words if there is none.
+
+    The last bit of h is 1 for the longest phrases, inside no other.
+    """
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _received(sent)
-        for lang, vocabulary, numbers in _held(batches, most):
-            hashes = _word_hashes(lang, vocabulary)
+        for words in _joined(batches, most):
             if len(tables) == 1:
-                n = np.bincount(numbers, minlength=len(hashes))
-                yield _counts(hashes[1:][n[1:] > 0], n[1:][n[1:] > 0])
-            words = shorter = hashes[numbers]
+                yield _counts(words[words != 0], longest == 1)
+            shorter = words
             for k in range(2, longest + 1):
-                at = _places(numbers, k)
+                at = _places(words, k)
                 if not len(at):
                     break
                 at = at[_active(tables, shorter, at)]
                 shorter = _longer(shorter, words, k)
-                yield _counts(*np.unique(shorter[at], return_counts=True))
+                yield _counts(shorter[at], k == longest)
 
-    return docs.mapInArrow(tally, "h long, n long")
+    return encoded.mapInArrow(tally, "h long, n long")
 
 
-def _counts(h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _counts(h: np.ndarray, last: bool) -> pa.RecordBatch:
+    h, n = np.unique((h & ~np.uint64(1)) | np.uint64(last), return_counts=True)
     return pa.record_batch([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
 
@@ -198,13 +244,18 @@ def _named(lang: str, k: int, phrases: list[bytes], n: np.ndarray) -> pa.RecordB
     return pa.record_batch(columns, ["lang", "phrase", "k", "n"])
 
 
-def _with_bits(table: np.ndarray, reached: DataFrame) -> np.ndarray:
-    """table with the bits of reached(h) set; they come as at most one word of 64 bits for each in the table."""
-    at = F.shiftrightunsigned("h", 64 - int(len(table) * 64).bit_length() + 1)
+def _with_bits(tables: list[np.ndarray], reached: DataFrame) -> list[np.ndarray]:
+    """The tables (of all phrases, of those that can be inside longer ones) with the bits of reached(h) set.
+
+    They come as at most one row for each 64 bits of a table.
+    """
+    at = F.shiftrightunsigned("h", 64 - int(len(tables[0]) * 64).bit_length() + 1)
     bit = F.expr("shiftleft(1L, cast(at & 63 AS int))")
-    words = reached.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = table.copy()
-    out[words["word"].to_numpy()] |= words["bits"].to_numpy().view(np.uint64)
+    rows = reached.select(at.alias("at"), (F.col("h") % 2 == 0).alias("inner"))
+    words = rows.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(bit).alias("all"), F.bit_or(F.when(F.col("inner"), bit).otherwise(F.lit(0).cast("long"))).alias("inner")).toArrow()
+    out = [t.copy() for t in tables]
+    for table, name in zip(out, ("all", "inner"), strict=True):
+        table[words["word"].to_numpy()] |= words[name].to_numpy().view(np.uint64)
     return out
 
 
@@ -213,23 +264,28 @@ def frequent_bits(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
 
     A step reads one shard and counts what is active there and wasn't at the shard's last turn, so that each phrase is
     counted once in each shard, from the step on in which it became active. What a step has counted joins the state;
-    phrases whose cycle is complete leave it. It ends when no shard is left with anything new to count.
+    phrases whose cycle is complete leave it. It ends when no shard is left with anything new to count. At its first
+    turn a shard's words are hashed; later turns read the hashes.
     """
-    table = np.zeros((1 << table_bits) // 64, dtype=np.uint64)
+    found = [np.zeros((1 << table_bits) // 64, dtype=np.uint64)] * 2
     used: list[np.ndarray | None] = [None] * shards
+    encoded: list[DataFrame] = []
     turns, idle, state = [], 0, None
     own = F.pmod(F.xxhash64("text"), F.lit(shards))
     for step in count():
-        shard = step % shards
+        shard, table = step % shards, found[1]
         if used[shard] is not None and np.array_equal(used[shard], table):
             idle += 1
-            if idle == shards:
-                return table, turns
-            continue
+            if idle < shards:
+                continue
+            discard(*encoded, state)
+            return found[0], turns
         idle = 0
         turns.append((shard, used[shard] is None))
+        if used[shard] is None:
+            encoded.append(written(_encoded(docs.where(own == shard)), "words"))
         sent = _sent(docs, used[shard], table)
-        rows = _hashed_counts(docs.where(own == shard), sent, longest, most).withColumn("since", F.lit(step))
+        rows = _hashed_counts(encoded[shard], sent, longest, most).withColumn("since", F.lit(step))
         used[shard] = table
         # first seen so many steps ago, a phrase has been counted in every shard
         rows = rows if state is None else rows.unionByName(state.where(F.col("since") > step - shards))
@@ -238,7 +294,7 @@ def frequent_bits(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
         if state is not None:
             discard(state)
         state = counted
-        table = _with_bits(table, state.where(F.col("n") >= least).select("h"))
+        found = _with_bits(found, state.where(F.col("n") >= least).select("h"))
 
 
 def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
