@@ -32,17 +32,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back, which cuts its lineage and survives lost executors.
 
-    The write's shuffle files go when it ends, so the disk holds one step's shuffles at a time.
+    The write's shuffle files go when it ends, so the disk holds one step's shuffles at a time. codec is the session's
+    if not given.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEAN_UP)
     spark.conf.set(CLEAN_UP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**({"compression": codec} if codec else {})).parquet(path)
     finally:
         spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)

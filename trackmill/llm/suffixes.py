@@ -236,16 +236,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cores = written(cores.where("lo != hi").select("core"), "cores-shared")
     mixed = anchors.join(cores, "core", "left_semi").distinct()
     mixed = written(mixed.groupBy("h1").agg(F.collect_list("core").alias("cores")), "phrases-mixed")
-    parse = parse.drop("cores")
+    wide, parse = parse, written(parse.drop("cores"), "parse-narrow")
+    discard(wide, cores)
     inside = _inside(_mixed_runs(texts, parse, mixed, length, trigger), length)
-    entries = parse.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.bool_or(F.col("id").isNull()).alias("none"))
-    several = entries.where("low IS NOT NULL AND (low < high OR none)").select("h1", "h2", "low")
+    several = parse.groupBy("h1", "h2").agg(*_ids("id")).where(SEVERAL).select("h1", "h2", F.col("first").alias("low"))
     known = written(several.join(inside, ["h1", "h2"], "full"), "known")
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b")))
     parts = F.transform("ranges", lambda r: F.struct((F.col("start") + r["at"]).alias("a"), (F.col("start") + r["at"] + r["n"] - 1 + length).alias("b")))
     found = parse.join(known, ["h1", "h2"]).select("id", "t", F.when(_earlier("low", "id"), whole).otherwise(parts).alias("spans")).where("spans IS NOT NULL")
     found = written(found.groupBy("id", "t").agg(F.flatten(F.collect_list("spans")).cast(_SPANS).alias("spans")), "spans")
-    discard(cores, mixed, parse, inside, known)
+    discard(mixed, parse, inside, known)
     return found
 
 
@@ -259,44 +259,60 @@ def _mixed_runs(texts: DataFrame, parse: DataFrame, mixed: DataFrame, length: in
     needed = F.transform("wanted", lambda p: F.struct(p["start"].alias("start"), p["cores"].alias("cores")))
     rows = hosts.select("wanted", F.explode(_runs(length, trigger)(F.col("text"), needed)).alias("r"))
     phrase = F.get("wanted", F.col("r.number"))
-    rows = written(rows.select(phrase["h1"].alias("h1"), phrase["h2"].alias("h2"), phrase["low"].alias("id"), "r.at", "r.anchor", "r.core", "r.s"), "runs-mixed")
+    rows = written(rows.select(phrase["h1"].alias("h1"), phrase["h2"].alias("h2"), phrase["low"].alias("id"), "r.at", "r.anchor", "r.core", "r.s"), "runs-mixed", "zstd")
     discard(wanted, asked)
     return rows
 
 
+def _ids(id_col: str) -> list[Column]:
+    """The first and last of some ids, and whether one is null."""
+    return [F.min(id_col).alias("first"), F.max(id_col).alias("last"), F.bool_or(F.col(id_col).isNull()).alias("none")]
+
+
+#: Of what _ids gives: whether the ids are of several places.
+SEVERAL = "first IS NOT NULL AND (first < last OR none)"
+
+
 def _inside(rows: DataFrame, length: int) -> DataFrame:
     """(h1, h2, ranges): the windows (at, n) of a phrase that stand, in other phrases, before the phrase does itself.
 
     Three times different strings are formed with the first id of each: runs of windows, parts of runs, windows. The
-    next ones are formed only of strings that share what is common to all their windows with a different string.
+    next ones are formed only of strings that share what is common to all their windows with a different string. Runs
+    go by their MD5 hash, as they are long.
     """
-    runs = written(rows.groupBy("core", "anchor", "s").agg(F.min("id").alias("low")), "runs")
-    several = runs.groupBy("core").count().where("count > 1").select("core")
-    # a window's anchor lies o bytes after its start; a part has the windows of TOGETHER neighbouring o
+    named = rows.withColumn("x", F.unhex(F.md5("s")))
     windows = F.octet_length("s") - (length - 1)
+    runs = written(named.groupBy("core", "anchor", "s", "x").agg(*_ids("id")), "runs", "zstd")
+    several = runs.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    # a window's anchor lies o bytes after its start; a part has the windows of TOGETHER neighbouring o
     least, most = (F.floor(o / TOGETHER).cast("int") for o in (F.greatest(F.col("anchor") - windows + 1, F.lit(0)), F.col("anchor")))
-    parts = runs.join(several, "core", "left_semi").withColumn("windows", windows).withColumn("j", F.explode(F.sequence(least, most)))
+    cut = runs.join(written(several, "cores-several"), "core", "left_semi").select("x", F.col("first").alias("low"), "s", "anchor", windows.alias("windows"), F.explode(F.sequence(least, most)).alias("j"))
     begin = F.greatest(F.lit(0), F.col("anchor") - (F.col("j") + 1) * TOGETHER + 1)
-    parts = parts.withColumn("i", begin).withColumn("n", F.least(F.col("windows") - 1, F.col("anchor") - F.col("j") * TOGETHER) - F.col("i") + 1)
+    cut = cut.withColumn("i", begin).withColumn("n", F.least(F.col("windows") - 1, F.col("anchor") - F.col("j") * TOGETHER) - F.col("i") + 1)
     common = F.substring(F.col("s"), F.col("anchor") - F.col("j") * TOGETHER + 1, F.lit(length - TOGETHER + 1))
-    parts = parts.select("s", "low", "i", "n", F.substring(F.col("s"), F.col("i") + 1, F.col("n") + length - 1).alias("part"), F.xxhash64("j", common).alias("common"))
-    parts = written(parts, "runs-parts")
-    own = written(parts.groupBy("common", "part").agg(F.min("low").alias("low")), "parts")
-    several = own.groupBy("common").count().where("count > 1").select("common")
-    single = own.join(several, "common", "left_semi").groupBy("part").agg(F.min("low").alias("low"))
+    cut = cut.select("x", "low", "i", "n", F.substring(F.col("s"), F.col("i") + 1, F.col("n") + length - 1).alias("part"), F.xxhash64("j", common).alias("common"))
+    told = cut.select("common", "low", F.xxhash64("part").alias("y"), F.xxhash64(F.lit("part"), "part").alias("z")).groupBy("common")
+    told = told.agg(*_ids("low"), (F.min("y") != F.max("y")).alias("y"), (F.min("z") != F.max("z")).alias("z"))
+    told = written(told.where(f"y OR z OR {SEVERAL}").select("common", "first", F.expr("y OR z").alias("mixed")), "parts-common")
+    parts = written(cut.join(told, "common").select("x", "low", "i", "n", F.when(F.col("mixed"), F.col("part")).alias("part"), "first"), "parts")
+    single = parts.where("part IS NOT NULL").groupBy("part").agg(F.min("low").alias("low"))
     single = written(single.withColumn("i", F.explode(F.sequence(F.lit(0), F.octet_length("part") - length))).withColumn("w", F.substring(F.col("part"), F.col("i") + 1, F.lit(length))), "windows")
-    first = written(single.groupBy("w").agg(F.min("low").alias("first")), "windows-first")
-    ahead = single.join(first, "w").where(_earlier("first", "low")).groupBy("part").agg(F.collect_list("i").alias("ahead"))
-    own = written(own.groupBy("part").agg(F.min("low").alias("first")).join(ahead, "part", "left"), "parts-first")
+    # written, so that the join deals both sides anew and can split a window that very many parts share
+    firsts = written(single.groupBy("w").agg(*_ids("low")).where(SEVERAL).select("w", "first"), "windows-first")
+    ahead = single.join(firsts, "w").where(_earlier("first", "low")).groupBy("part").agg(F.collect_list("i").alias("ahead"))
+    own = written(single.groupBy("part").agg(F.min("low").alias("first")).join(ahead, "part", "left"), "parts-first")
     whole = F.when(_earlier("first", "low"), F.array(F.struct("i", "n")))
     some = F.transform("ahead", lambda x: F.struct((F.col("i") + x).cast("int").alias("i"), F.lit(1).alias("n")))
-    marks = parts.join(own, "part").select("s", F.coalesce(whole, some).alias("marks")).where("marks IS NOT NULL").groupBy("s").agg(F.flatten(F.collect_list("marks")).alias("marks"))
-    ahead = written(runs.groupBy("s").agg(F.min("low").alias("first")).join(marks, "s", "left"), "runs-first")
-    whole = F.when(_earlier("first", "id"), F.array(F.struct("at", (F.octet_length("s") - (length - 1)).alias("n"))))
+    marks = parts.where("part IS NULL").select("x", whole.alias("marks"))
+    marks = marks.unionByName(parts.drop("first").join(own, "part").select("x", F.coalesce(whole, some).alias("marks"))).where("marks IS NOT NULL")
+    marks = marks.groupBy("x").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    ahead = runs.select("x", "first", "last", "none").join(marks, "x", "left").where(f"marks IS NOT NULL OR {SEVERAL}").select("x", "first", "marks")
+    ahead = written(ahead, "runs-first")
+    whole = F.when(_earlier("first", "id"), F.array(F.struct("at", F.col("windows").alias("n"))))
     some = F.transform("marks", lambda m: F.struct((F.col("at") + m["i"]).alias("at"), m["n"].alias("n")))
-    found = rows.join(ahead, "s").select("h1", "h2", F.coalesce(whole, some).alias("ranges")).where("ranges IS NOT NULL")
+    found = named.select("h1", "h2", "id", "at", "x", windows.alias("windows")).join(ahead, "x").select("h1", "h2", F.coalesce(whole, some).alias("ranges")).where("ranges IS NOT NULL")
     found = written(found.groupBy("h1", "h2").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "inside")
-    discard(rows, runs, parts, single, first, own, ahead)
+    discard(rows, runs, told, parts, single, firsts, own, ahead)
     return found
 
 
