@@ -112,21 +112,23 @@ def word_count(text: Column) -> Column:
 def connected_components(links: DataFrame) -> DataFrame:
     """Columns (node, component): component is the smallest node reachable over links(a, b).
 
-    Alternates large-star and small-star steps, each a groupBy-min and a join, so that a hub's links are never
-    gathered in one task. Every round is a written table; it ends when a round changes nothing. Nodes without
-    links are not returned; null ends and loops are ignored.
+    Alternates large-star and small-star steps, each a groupBy-min and a join. The minima are written before they are
+    joined, so both sides of a join come from exchanges of their own and Spark can deal a hub's links out to several
+    tasks. Every round is a written table; it ends when a round changes nothing. Nodes without links are not returned;
+    null ends and loops are ignored.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), (F.col("a") != F.col("b")).alias("ok"))
     edges = written(edges.where("ok").select("u", "v").distinct(), "links")
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = written(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links-large")
+        discard(least)
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         done, edges = edges, written(small.select("e.*").where("u != v").distinct(), "links")
-        discard(done)
+        discard(done, large, least)
         before, state = state, _state(edges)
         if before == state:
             break

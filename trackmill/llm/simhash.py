@@ -132,10 +132,10 @@ def fingerprint_components(prints: DataFrame) -> DataFrame:
     nodes = written(prints.groupBy("fp").agg(F.min("id").alias("node")), "nodes")
     links = fingerprint_links(nodes.select("fp"))
     components = connected_components(links.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))).withColumnRenamed("node", "fp")
-    linked = components.join(nodes, "fp")
-    least = linked.groupBy("component").agg(F.min("node").alias("least"))
+    # written, so that this join and the last one deal both sides anew and can split a component, or a fingerprint, of many
+    linked = written(components.join(nodes, "fp"), "linked")
+    least = written(linked.groupBy("component").agg(F.min("node").alias("least")), "least")
     linked = linked.join(least, "component").select("fp", "component", "least")
-    # written, so that the last join deals both sides anew and can split a fingerprint of very many copies
     found = nodes.join(linked, "fp", "left")
     return written(found.select("fp", F.coalesce("component", "fp").alias("component"), F.when(F.col("component").isNull(), F.col("node")).otherwise(F.col("least")).alias("component_id")), "found")
 
