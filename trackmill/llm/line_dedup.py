@@ -1,11 +1,12 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
 Lines within k edits of each other share one of the k + 1 segments of the shorter one, at a place that the lengths and
-the segment's number confine to a few. How many edits are allowed hangs on the shorter line's length. Distinct lines
-index their segments by length and number and look up the substrings at those places; lines that meet are verified with
-a banded bit-parallel edit distance. Where very many lines share a segment, what is left of them beside it, which holds
-all the edits, is cut and looked up in the same way. Classes of lines are connected by such links; of each class the
-first line in the corpus stays.
+the segment's number confine to a few. How many edits are allowed hangs on the shorter line's length, and no edit
+touches a digit: lines with other digits say other things. Lines index their segments by length, number and digits and
+look up the substrings at those places; lines that meet are verified with a banded bit-parallel edit distance. Where
+very many lines share a segment, what is left of them beside it, which holds all the edits, is cut and looked up in the
+same way. A line goes if it is itself within its edits of an earlier line that stays; lines that are linked to dropped
+ones only stay.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackmill.llm.common import connected_components, discard, scratch, written
+from trackmill.llm.common import discard, scratch, written
 
 #: (characters of the shorter line, edits): so many edits are allowed from so many characters on, none below the first.
 BANDS = ((8, 1), (20, 2))
@@ -29,9 +30,17 @@ LETTERS = "eantirosdhlucmgpbfvw"
 MOST_BROADCAST = 500_000
 
 
-def _hash(line: Column) -> list[Column]:
-    """Two independent 64-bit hashes: together they are a line's identity, the first alone deals it out."""
-    return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("line"), line).alias("h2")]
+#: Numbers that lines may go by; the first that proves free of collisions on the lines at hand is used.
+SEEDS = (0, 1, 2, 3)
+
+
+def number(line: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), line)
+
+
+def digits(line: Column) -> Column:
+    """The digits of a line in order, of any script."""
+    return F.regexp_replace(line, r"\P{Nd}+", "")
 
 
 def _text_key(text: Column) -> Column:
@@ -45,63 +54,45 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return split.withColumn("line", F.btrim("line", F.lit(" \t\n\x0b\f\r"))).where("line != ''")
 
 
-def _segment_start(length: Column, number: int, k: int) -> Column:
-    return F.floor(length * number / (k + 1)).cast("int")
-
-
-def _places(line: Column, k: int, shorter: int) -> list[tuple[int, int, Column, Column, Column]]:
-    """(segment's number, shift, place from 0, size, whether it fits) of what a line looks up among lines so much shorter.
+def _lookups(bands: Sequence[tuple[int, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """(least, most, k, shorter, i, shift): what a line looks up among lines that are shorter by so many characters.
 
-    Segment i of the shorter line, if unchanged, lies at most i before or after its own place counted from the left,
-    and at most k - i counted from the right.
+    least and most bound the shorter line's length. Segment i of it, if unchanged, lies at most i before or after its
+    own place counted from the left, and at most k - i counted from the right.
     """
-    out, length = [], F.length(line) - shorter
-    for i in range(k + 1):
-        start, end = _segment_start(length, i, k), _segment_start(length, i + 1, k)
-        for shift in range(max(-i, shorter - (k - i)), min(i, shorter + (k - i)) + 1):
-            at = start + shift
-            out.append((i, shift, at, end - start, (at >= 0) & (at + end - start <= F.length(line)) & (length > 0)))
+    out = []
+    for (least, k), most in zip(bands, [*[b[0] for b in bands[1:]], 1 << 30], strict=True):
+        for shorter in range(k + 1):
+            for i in range(k + 1):
+                out += [(least, most, k, shorter, i, shift) for shift in range(max(-i, shorter - (k - i)), min(i, shorter + (k - i)) + 1)]
     return out
 
 
-def _key(line: Column, shorter: int, i: int, at: Column, size: Column) -> Column:
-    return F.xxhash64(F.length(line) - shorter, F.lit(i), F.substring(line, at + 1, size))
-
-
-def segments(line: Column, k: int) -> list[Column]:
-    """Keys under which a line is indexed: its length, a segment's number and the segment."""
-    own = [p for p in _places(line, k, 0) if p[1] == 0]
-    return [_key(line, 0, i, at, size) for i, _, at, size, _ in own]
-
-
-def probes(line: Column, k: int) -> list[Column]:
-    """Keys under which a line looks up lines that are up to k characters shorter, or as long; itself among them."""
-    return [F.when(fits, _key(line, shorter, i, at, size)) for shorter in range(k + 1) for i, _, at, size, fits in _places(line, k, shorter)]
-
+def _looked_up(rows: DataFrame, text: str, lookups: Sequence[tuple[int, ...]], *fixed: str) -> DataFrame:
+    """rows with a row for each lookup that fits text, as (k, shorter, i, own, at, size, piece).
 
-def _entries(line: Column, bands: Sequence[tuple[int, int]], what) -> Column:
-    """An array of what(key, own, at, size) for all that a line looks up; own marks what it is itself indexed under.
-
-    Entries may be null. Lines whose every partner is in one band have only that band's.
+    piece is the substring of size characters from at (0 the first); own says that it is text's own segment, under which
+    others find it. Columns in fixed must equal the lookup's. The lookups are exploded from a constant array, so that
+    the plan has one expression for all of them.
     """
-    length = F.length(line)
-    whole, plain = [], []
-    for (least, k), most in zip(bands, [*[b[0] for b in bands[1:]], None], strict=True):
-        found = []
-        for shorter in range(k + 1):
-            inside = length - shorter >= least
-            if most is not None:
-                inside &= length - shorter < most
-            for i, shift, at, size, fits in _places(line, k, shorter):
-                entry = what(_key(line, shorter, i, at, size), shorter == 0 and shift == 0, at, size)
-                found.append(F.when(fits, entry))
-                whole.append(F.when(inside & fits, entry))
-        only = length - k >= least
-        plain.append((only if most is None else only & (length < most), F.array(*found)))
-    out = F.array(*whole)
-    for only, found in plain:
-        out = F.when(only, found).otherwise(out)
-    return out
+    names = ("least", "most", "k", "shorter", "i", "shift")
+    said = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, x, strict=True)]) for x in lookups])
+    out = rows.withColumn("length", F.length(text)).withColumn("p", F.explode(said))
+    for c in fixed:
+        out = out.where(F.col(c) == F.col(f"p.{c}"))
+    short = F.col("length") - F.col("p.shorter")
+    cut = lambda number: F.floor(short * number / (F.col("p.k") + 1)).cast("int")
+    out = out.withColumns({"short": short, "at": cut(F.col("p.i")) + F.col("p.shift"), "size": cut(F.col("p.i") + 1) - cut(F.col("p.i"))})
+    out = out.where((F.col("short") > 0) & (F.col("short") >= F.col("p.least")) & (F.col("short") < F.col("p.most")) & (F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("length")))
+    kept = [c for c in rows.columns if c not in ("k", "shorter", "own", "at", "size")]
+    piece = F.substring(F.col(text), F.col("at") + 1, F.col("size"))
+    return out.select(*kept, "short", "p.k", "p.shorter", "p.i", ((F.col("p.shorter") == 0) & (F.col("p.shift") == 0)).alias("own"), "at", "size", piece.alias("piece"))
+
+
+def entries(lines: DataFrame, bands: Sequence[tuple[int, int]] = BANDS) -> DataFrame:
+    """(h1, key, own, k, shorter, at, size) of lines(h1, line): what each is indexed under (own) and looks up."""
+    rows = _looked_up(lines.withColumn("d", F.xxhash64(digits(F.col("line")))), "line", _lookups(bands))
+    return rows.select("h1", F.xxhash64("short", "i", "d", "piece").alias("key"), "own", "k", "shorter", "at", "size")
 
 
 def _let(value: Column, then) -> Column:
@@ -210,56 +201,50 @@ def _few(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
 
 
-def line_links(found: DataFrame, bands: Sequence[tuple[int, int]] = BANDS, heavy: int = HEAVY) -> DataFrame:
-    """(a, b): identities of different lines of found(line) within their edits, each pair once. Lines may repeat.
+def line_links(found: DataFrame, bands: Sequence[tuple[int, int]] = BANDS, heavy: int = HEAVY, seed: int = 0) -> DataFrame:
+    """(a, b): numbers of different lines of found(line) within their edits, each pair once. Lines may repeat.
 
-    First only keys are dealt out, once per distinct line and task, and keys that two lines share are found by partial
-    aggregates, so a key of very many lines is no single task's. The texts of lines under those are fetched, their pairs
-    formed under a condition on signatures, and the pairs verified. Keys of more than heavy entries are joined on a
-    second key, a segment of the rest of the line, which loses no link.
+    First only keys are dealt out, and those that two lines share are found by partial aggregates, so a key of very many
+    lines is no single task's. The texts of lines under these are fetched, their pairs formed under a condition on
+    signatures, and the pairs verified. Keys of more than heavy entries are joined on a second key, a segment of the
+    rest of the line, which loses no link.
     """
-    long, most = found.where(F.length("line") >= bands[0][0]), max(k for _, k in bands)
-    # the last bit says whether a line is indexed under the key or looks it up
-    tried = _entries(F.col("line"), bands, lambda key, own, at, size: key.bitwiseAND(_long(-2)).bitwiseOR(_long(int(own))))
-    distinct = long.select(*_hash(F.col("line")), tried.alias("tried")).groupBy("h1", "h2").agg(F.any_value("tried").alias("tried"))
-    distinct = written(distinct.select("h1", "tried"), "lines-tried")
-    rows = distinct.select("h1", F.explode("tried").alias("key")).where("key IS NOT NULL").select("h1", F.shiftright("key", 1).alias("key"), (F.col("key") % 2 != 0).alias("own"))
-    owner = F.when(F.col("own"), F.col("h1"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.min(owner).alias("lo_own"), F.max(owner).alias("hi_own"))
-    shared = written(shared.where("lo_own IS NOT NULL AND lo != hi"), "keys-shared")
-    ends = _few(shared.select("key", "lo_own", "hi_own"))
-    other = F.col("own") | (F.col("lo_own") != F.col("h1")) | (F.col("hi_own") != F.col("h1"))
-    met = written(rows.join(ends, "key").where(other).select(F.col("h1").alias("met")).distinct(), "lines-met")
-    discard(distinct)
-    texts = _texts(long.select(F.xxhash64("line").alias("h1"), "line"), met)
-    signed = texts.select("h1", "line", letter_signature(F.col("line")).alias("sig"))
-    entries = signed.select("h1", "sig", F.explode(tried).alias("key")).where("key IS NOT NULL")
-    entries = written(entries.select("h1", "sig", F.shiftright("key", 1).alias("key"), (F.col("key") % 2 != 0).alias("own")), "line-entries")
-    crowded = written(shared.where(F.col("n") > heavy).select("key"), "keys-crowded")
-    light, pairs = entries, None
+    long = found.where(F.length("line") >= bands[0][0]).select(number(F.col("line"), seed).alias("h1"), "line")
+    tried = entries(long, bands)
+    shared = tried.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.bool_or("own").alias("own"))
+    shared = written(shared.where("own AND lo != hi").select("key"), "keys-shared")
+    rows = written(tried.join(_few(shared), "key", "left_semi").distinct(), "line-entries")
+    texts = _texts(long, written(rows.select(F.col("h1").alias("met")).distinct(), "lines-met"))
+    signed = written(texts.select("h1", letter_signature(F.col("line")).alias("sig")), "lines-signed")
+    crowded = written(rows.groupBy("key").count().where(F.col("count") > heavy).select("key"), "keys-crowded")
+    light, pairs = rows, None
     if not crowded.isEmpty():
-        light = light.join(_few(crowded), "key", "left_anti")
-        pairs = _crowded_pairs(signed, crowded, bands)
-    some = _pairs(light.where("own"), light, ["key"], most)
+        light = rows.join(_few(crowded), "key", "left_anti")
+        pairs = _crowded_pairs(rows.join(_few(crowded), "key", "left_semi"), texts.join(signed, "h1"), bands)
+    some = _pairs(light.select("h1", "key", "own", "k", "shorter").join(signed, "h1"), ["key"])
     pairs = written((some if pairs is None else some.unionByName(pairs)).distinct(), "line-pairs")
     left = texts.select(F.col("h1").alias("p"), F.col("line").alias("a"))
     right = texts.select(F.col("h1").alias("q"), F.col("line").alias("b"))
-    both = pairs.join(left, "p").join(right, "q").where(_within(F.col("a"), F.col("b"), bands))
-    return both.select(_identity(*_hash(F.col("a"))).alias("a"), _identity(*_hash(F.col("b"))).alias("b"))
+    near = (digits(F.col("a")) == digits(F.col("b"))) & _within(F.col("a"), F.col("b"), bands)
+    out = written(pairs.join(left, "p").join(right, "q").where(near).select(F.col("p").alias("a"), F.col("q").alias("b")), "line-links")
+    discard(shared, rows, signed, crowded, pairs)
+    return out
+
 
+def _crowded_pairs(dense: DataFrame, texts: DataFrame, bands: Sequence[tuple[int, int]]) -> DataFrame:
+    """(p, q): lines that meet under a crowded key and a segment of what is left of them beside it.
 
-def _crowded_pairs(signed: DataFrame, crowded: DataFrame, bands: Sequence[tuple[int, int]]) -> DataFrame:
-    """(p, q): lines that meet under a crowded key and a segment of what is left of them beside it."""
-    most = max(k for _, k in bands)
-    tried = _entries(F.col("line"), bands, lambda key, own, at, size: F.struct(F.shiftright(key, 1).alias("key"), F.lit(own).alias("own"), at.alias("at"), size.alias("size")))
-    dense = signed.select("h1", "line", "sig", F.explode(tried).alias("e")).where("e IS NOT NULL").select("h1", "line", "sig", "e.*").join(_few(crowded), "key", "left_semi")
+    The rest holds all the edits that the key's own lengths allow, and is shorter by as much as the line.
+    """
     rest = F.concat(F.substring("line", 1, F.col("at")), F.substring(F.col("line"), F.col("at") + F.col("size") + 1, F.length("line")))
-    dense = written(dense.select("h1", "sig", "key", "own", rest.alias("rest"), bigram_signature(rest).alias("grams")), "lines-crowded")
-    own = dense.where("own").select("h1", "sig", "grams", "key", F.explode(F.array(*segments(F.col("rest"), most))).alias("second"))
-    asking = dense.select("h1", "sig", "grams", "key", F.explode(F.array(*probes(F.col("rest"), most))).alias("second")).where("second IS NOT NULL")
-    asking = asking.withColumnRenamed("grams", "grams_q")
-    near = F.bit_count(F.col("grams").bitwiseXOR(F.col("grams_q"))) <= 4 * most
-    return _pairs(own, asking, ["key", "second"], most, near)
+    dense = dense.join(texts, "h1").select("h1", "sig", "key", F.col("own").alias("first"), "k", "shorter", rest.alias("rest"))
+    dense = written(dense.withColumn("grams", bigram_signature(F.col("rest"))), "lines-crowded")
+    lookups = sorted({(0, 1 << 30, *x[2:]) for x in _lookups(bands)})
+    second = _looked_up(dense, "rest", lookups, "k", "shorter").withColumn("second", F.xxhash64("i", "piece"))
+    rows = second.select("h1", "sig", "grams", "key", "second", (F.col("first") & F.col("own")).alias("own"), "k", "shorter")
+    # a line under a key of its own also asks for lines of its own length
+    near = F.bit_count(F.col("grams").bitwiseXOR(F.col("grams_q"))) <= 4 * F.col("k")
+    return _pairs(rows, ["key", "second"], near)
 
 
 def bigram_signature(line: Column) -> Column:
@@ -269,10 +254,11 @@ def bigram_signature(line: Column) -> Column:
     return F.aggregate(grams, _long(0), lambda x, g: x.bitwiseXOR(g))
 
 
-def _pairs(own: DataFrame, asking: DataFrame, keys: list[str], k: int, near: Column | None = None) -> DataFrame:
-    """(p, q): lines that meet under the keys and whose signatures are near enough for k edits."""
-    asking = asking.withColumnsRenamed({"h1": "q", "sig": "sig_q", **{c: f"{c}_q" for c in keys}}).drop("own")
-    on = (F.lit(True) if near is None else near) & (F.col("h1") != F.col("q")) & (F.bit_count(F.col("sig").bitwiseXOR(F.col("sig_q"))) <= 2 * k)
+def _pairs(rows: DataFrame, keys: list[str], near: Column | None = None) -> DataFrame:
+    """(p, q): lines that meet under the keys, one of them by its own segment, and whose signatures are near enough."""
+    asking = rows.withColumnsRenamed({"h1": "q", "sig": "sig_q", "grams": "grams_q", **{c: f"{c}_q" for c in keys}}).drop("own", "k")
+    own = rows.where("own").drop("shorter")
+    on = (F.lit(True) if near is None else near) & (F.col("h1") != F.col("q")) & (F.bit_count(F.col("sig").bitwiseXOR(F.col("sig_q"))) <= 2 * F.col("k"))
     for c in keys:
         on &= F.col(c) == F.col(f"{c}_q")
     return own.join(asking, on).select(F.least("h1", "q").alias("p"), F.greatest("h1", "q").alias("q"))
@@ -291,33 +277,72 @@ def _texts(lines: DataFrame, met: DataFrame) -> DataFrame:
     return written(found, "line-texts")
 
 
-def _identity(h1: Column | str, h2: Column | str) -> Column:
-    return F.concat(F.lpad(F.hex(h1), 16, "0"), F.lpad(F.hex(h2), 16, "0"))
+def stars(links: DataFrame, places: DataFrame) -> DataFrame:
+    """(line, kept): the lines to drop and, of the lines that stay, the first that each is linked to.
+
+    links(a, b) are between lines of places(line, place). Lines are gone through by place: one stays unless it is linked
+    to an earlier one that stays. That is done in rounds: those without an earlier undecided neighbour stay, their
+    neighbours go, and the rest is judged again. Each round is written; a chain of links that runs in the order of
+    places takes as many rounds as half its length.
+    """
+    ends = links.select(F.explode(F.array("a", "b")).alias("line")).distinct()
+    placed = written(places.join(ends, "line", "left_semi"), "lines-placed")
+    both = links.join(placed.select(F.col("line").alias("a"), F.col("place").alias("x")), "a").join(placed.select(F.col("line").alias("b"), F.col("place").alias("y")), "b")
+    swap = F.col("y") < F.col("x")
+    edges = written(both.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("early"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("late")), "edges")
+    open_edges, stay = edges, []
+    while True:
+        late = open_edges.select(F.col("late").alias("line")).distinct()
+        kept = written(open_edges.select(F.col("early").alias("line")).distinct().join(late, "line", "left_anti"), "lines-kept")
+        stay.append(kept)
+        gone = written(open_edges.join(kept.withColumnRenamed("line", "early"), "early", "left_semi").select(F.col("late").alias("line")).distinct(), "lines-dropped")
+        left = open_edges
+        for decided, end in ((kept, "early"), (gone, "early"), (gone, "late")):
+            left = left.join(decided.withColumnRenamed("line", end), end, "left_anti")
+        left = written(left, "edges-open")
+        discard(gone, *([] if open_edges is edges else [open_edges]))
+        open_edges = left
+        if open_edges.isEmpty():
+            break
+    # an edge's early end that no round decided as a late one was kept in one; lines left without edges stay, and need no entry
+    every = stay[0]
+    for more in stay[1:]:
+        every = every.unionByName(more)
+    first = edges.join(written(every, "lines-stay").withColumnRenamed("line", "early"), "early", "left_semi")
+    first = first.join(placed.withColumnRenamed("line", "early"), "early").groupBy("late").agg(F.min("place").alias("kept"))
+    out = written(first.withColumnRenamed("late", "line"), "stars")
+    discard(edges, open_edges, placed, *stay)
+    return out
 
 
 def _dropped(docs: DataFrame, id_col: str, text_col: str, bands: Sequence[tuple[int, int]]) -> DataFrame:
     """The lines to drop as (id, t, at, kept_in, near)."""
     found = lines(docs, id_col, text_col)
-    named = written(found.select("id", "t", "at", *_hash(F.col("line"))), "lines")
-    links = written(line_links(found, bands), "line-links")
-    classes = connected_components(links).select(F.col("node").alias("line"), F.col("component").alias("class"))
     place = F.struct(F.col("id").isNull().alias("none"), "id", "t", "at")
-    groups = named.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).withColumn("line", _identity("h1", "h2"))
-    joined = groups.join(classes, "line", "left")
-    plain = joined.where("class IS NULL AND n > 1").select("h1", "h2", "first", F.lit(False).alias("near"))
-    linked = written(joined.where("class IS NOT NULL").select("h1", "h2", "class", "first"), "linked")
-    firsts = linked.groupBy("class").agg(F.min("first").alias("first"))
-    known = plain.unionByName(linked.drop("first").join(firsts, "class").select("h1", "h2", "first", F.lit(True).alias("near")))
-    known = written(known, "repeated")
-    gone = named.join(known, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
-    return written(gone.select("id", "t", "at", F.col("first.id").alias("kept_in"), "near").distinct(), "lines-gone")
+    for seed in SEEDS:
+        named = found.select("id", "t", "at", number(F.col("line"), seed).alias("line"), F.xxhash64(F.lit("line"), F.col("line")).alias("check"))
+        named = written(named, "lines")
+        groups = written(named.groupBy("line").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.min("check").alias("lo"), F.max("check").alias("hi")), "lines-different")
+        if groups.where("lo != hi").isEmpty():
+            break
+    else:
+        raise ValueError("every line number has collisions")
+    links = line_links(found, bands, seed=seed)
+    near = stars(links, groups.select("line", "place")).select("line", F.col("kept").alias("first"), F.lit(True).alias("near"))
+    copies = groups.where("n > 1").join(near, "line", "left_anti").select("line", F.col("place").alias("first"), F.lit(False).alias("near"))
+    known = written(copies.unionByName(near), "repeated")
+    gone = named.drop("check").join(known, "line").where(~place.eqNullSafe(F.col("first")))
+    out = written(gone.select("id", "t", "at", F.col("first.id").alias("kept_in"), "near").distinct(), "lines-gone")
+    discard(named, groups, links, known)
+    return out
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: Sequence[tuple[int, int]] = BANDS) -> DataFrame:
     """One row per different id and text of docs: id_col, n_lines, n_dropped, n_near, dropped (line, kept_in), by line.
 
-    A line is dropped if its class has an earlier line, by id (null ids last), then text, then number; kept_in is the
-    id with the first one. n_near counts the dropped lines whose class has different lines. Lines are compared trimmed;
+    A line is dropped if an equal one, or one within its edits that stays, stands earlier, by id (null ids last), then
+    text, then number; kept_in is the id with the first such one. n_near counts the dropped lines that differ from the
+    one that stays. Lines with other digits are never near. Lines are compared trimmed;
     blank lines, and null and empty texts, count no lines and lose none. Rows that repeat id and text are one document,
     as are null and empty texts of one id; several texts of one id are several. Texts of one id are told apart by a
     64-bit hash. Lines under the first band's length match exactly only. Other columns of docs are not read.
