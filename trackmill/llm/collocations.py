@@ -27,7 +27,7 @@ from trackmill.llm.common import discard, written
 LEAST, LONGEST, TOP = 10, 3, 2000
 #: A phrase in a longer one that makes up this share (percent) of its occurrences is dropped.
 COVERED = 50
-SHARDS = 4
+SHARDS = 3
 #: The table of what has reached the threshold has 2**TABLE_BITS bits: 8 MB, at any size of the corpus.
 TABLE_BITS = 26
 #: Words that a task holds before it hands its counts on, different words that it knows; bytes that it splits at once.
@@ -114,20 +114,25 @@ def _word_hashes(lang: str, vocabulary: Vocabulary) -> np.ndarray:
     return np.array(list(map(own.__getitem__, vocabulary)), dtype=np.uint64)
 
 
-def _encoded(docs: DataFrame) -> DataFrame:
+def _encoded(docs: DataFrame, most: int) -> DataFrame:
     """(words): the hashes of each text's words, as bytes."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Hashes] = {}
         for batch in batches:
-            out = []
+            out, size = [], 0
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
                 own = known.setdefault(lang.as_py(), Hashes(lang.as_py()))
                 found = [np.array(list(map(own.__getitem__, words_of(piece))), dtype=np.uint64) for piece in _pieces(text.as_py().encode())]
                 out.append(b"".join(x.tobytes() for x in found))
                 if sum(map(len, known.values())) > MOST_KNOWN:
                     known.clear()
-            yield pa.record_batch([pa.array(out, pa.binary())], ["words"])
+                size += len(out[-1])
+                if size > 8 * most:
+                    yield pa.record_batch([pa.array(out, pa.binary())], ["words"])
+                    out, size = [], 0
+            if out:
+                yield pa.record_batch([pa.array(out, pa.binary())], ["words"])
 
     return docs.mapInArrow(encode, "words binary")
 
@@ -283,7 +288,7 @@ def frequent_bits(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
         idle = 0
         turns.append((shard, used[shard] is None))
         if used[shard] is None:
-            encoded.append(written(_encoded(docs.where(own == shard)), "words"))
+            encoded.append(written(_encoded(docs.where(own == shard), most), "words"))
         sent = _sent(docs, used[shard], table)
         rows = _hashed_counts(encoded[shard], sent, longest, most).withColumn("since", F.lit(step))
         used[shard] = table
@@ -306,7 +311,8 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     texts = _texts(docs, lang_col, text_col)
     table, _ = frequent_bits(texts, least, longest, shards, table_bits, most)
     sent = _sent(texts, table)
-    found = written(_exact_counts(texts, sent, longest, most).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+    # spelled out, words take several times the memory of their hashes
+    found = written(_exact_counts(texts, sent, longest, most // 4).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
     sent.destroy()
     return found
 
