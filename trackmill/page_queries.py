@@ -7,6 +7,7 @@ drivers and places, events are readings.
 from __future__ import annotations
 
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from trackmill.functions import telemetry as fn
 from trackmill.operators import analytics, flatten, keep, storage, temporal
 from trackmill.plans import unified
 from trackmill.queries import _FIRST, FLAT, _assignments, _events, _nearest_sql, _ntz, _register, _root, _table, flat
-from trackmill.sources import pages
+from trackmill.sources import landing, pages
 from trackmill.streaming import incremental
 
 PER_PAGE = 100
@@ -320,9 +321,12 @@ def partition_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("SELECT count(DISTINCT ts::DATE) AS partitions, min(ts::DATE) AS earliest, max(ts::DATE) AS latest, true AS sized FROM events")
 def storage_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sizes are held against those that a reader of the files' rows gives for them."""
     root = _saved(spark, sf_dir)
-    found, sizes = storage.storage_statistics(spark, root), storage.partition_sizes(spark, root, "mb")
-    sized = all(x > 0 for x in sizes.values()) and abs(sum(sizes.values()) - found["total_mb"]) < 0.01
+    found, sizes = storage.storage_statistics(spark, root), storage.partition_sizes(spark, root, "bytes")
+    seen = spark.read.parquet(root).select("date", "_metadata.file_path", "_metadata.file_size").distinct().groupBy("date").agg(F.sum("file_size").alias("n"))
+    seen = {r.date: r.n for r in seen.collect()}
+    sized = sizes == seen and found["total_mb"] == round(sum(seen.values()) / 1024**2, 2)
     return spark.createDataFrame([(found["partitions"], found["earliest"], found["latest"], sized)], "partitions long, earliest date, latest date, sized boolean")
 
 
@@ -393,8 +397,50 @@ def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("SELECT ts::DATE AS date, count(*) AS records FROM events WHERE ts::DATE IN (SELECT ts::DATE FROM events WHERE value > 99.9) GROUP BY ALL")
 def affected_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _events(spark, sf_dir).withColumn("date", F.to_date("ts"))
-    return analytics.partition_counts(temporal.affected_partitions(rows, rows.where("value > 99.9")))
+    """The stored days that some new rows touch; the others are pruned while it runs."""
+    stored = storage.load_date_range(spark, _saved(spark, sf_dir), date(2000, 1, 1), date(2100, 1, 1))
+    new = _events(spark, sf_dir).where("value > 99.9").withColumn("date", F.to_date("ts"))
+    return analytics.partition_counts(temporal.affected_partitions(stored, new))
+
+
+@_register("SELECT 'date=' || ts::DATE AS partition, count(*) AS records FROM events WHERE ts::DATE >= DATE '2024-01-21' GROUP BY ALL")
+def retention_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention on a registered table: the days that SQL lists are those that are left, a new one among them."""
+    root = _root(spark, "dataset")
+    rows = flat(spark, sf_dir)
+    newest = F.to_date("timestamp") == F.lit(date(2024, 1, 30))
+    storage.save_partitioned(rows.where(~newest), root)
+    name = f"kept_{root.rsplit('-', 1)[1]}"
+    storage.register_external_table(spark, name, root)
+    storage.save_partitioned(rows.where(newest), root)
+    storage.sync_external_table(spark, name)
+    storage.apply_retention(spark, root, 10, datetime(2024, 1, 31, 12, tzinfo=timezone.utc), name)
+    counts = analytics.partition_counts(spark.table(name)).select(F.concat(F.lit("date="), "date").alias("partition"), "records")
+    return spark.sql(f"SHOW PARTITIONS {name}").join(counts, "partition", "left")
+
+
+def _spoil(spark: SparkSession, file: str, keep: int = 0) -> None:
+    """Leave a file its first bytes only, and garbage after them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    start = bytearray(keep)
+    if keep:
+        held = spark.read.format("binaryFile").load(file).select(F.substring(F.col("content"), F.lit(1), F.lit(keep)).alias("x")).first().x
+        start = bytearray(held)
+    out = fs.create(path, True)
+    out.write(start + bytearray(b"not what was written here"))
+    out.close()
+
+
+@_register("SELECT ts::DATE AS date, count(*) AS records, 2::BIGINT AS days_skipped FROM events WHERE ts::DATE BETWEEN DATE '2024-01-03' AND DATE '2024-01-12' AND ts::DATE NOT IN (DATE '2024-01-05', DATE '2024-01-09') GROUP BY ALL")
+def damaged_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored days are damaged, one wholly and one behind its beginning; they are left out and named."""
+    root = _saved(spark, sf_dir)
+    for file in storage.data_files(spark, root).where("date IN (DATE '2024-01-05', DATE '2024-01-09')").collect():
+        _spoil(spark, file.file, 200 if file.date.day == 9 else 0)
+    rows, skipped = storage.load_readable(spark, root, date(2024, 1, 3), date(2024, 1, 12))
+    days = skipped.where("date IN (DATE '2024-01-05', DATE '2024-01-09')").agg(F.count_distinct("date").alias("days_skipped"))
+    return analytics.partition_counts(rows).join(days)  # one row
 
 
 # --- runs and streams ---
@@ -446,3 +492,105 @@ def stream_first_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = incremental.first_within(spark.readStream.schema(unified.TELEMETRY_SCHEMA).parquet(landed), 60)
     stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start().awaitTermination()
     return _ntz(spark.read.parquet(out).groupBy("provider_vehicle_id", "timestamp").agg(F.count("*").alias("kept")))
+
+
+@_register(
+    """WITH e AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'motive' ELSE 'samsara' END AS provider, CASE WHEN event_id % 7 <> 0 THEN value END AS speed, event_id % 10 = 0 AS second, date_trunc('hour', ts) AS bucket, ts FROM events),
+    w AS (SELECT date_trunc('milliseconds', max(ts) FILTER (NOT second)) - INTERVAL 2 DAY AS one, date_trunc('milliseconds', max(ts)) - INTERVAL 2 DAY AS two FROM e),
+    late AS (SELECT count(DISTINCT (bucket, provider)) AS n FROM e, w WHERE second AND bucket + INTERVAL 1 HOUR <= one)
+    SELECT bucket::TIMESTAMP AS bucket, provider, count(*) AS records, round(avg(speed), 6) AS mean_speed_mph, (SELECT n FROM late) AS late_windows FROM e, w
+    WHERE bucket + INTERVAL 1 HOUR <= two AND (NOT second OR bucket + INTERVAL 1 HOUR > one) GROUP BY ALL"""
+)
+def stream_windows_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows appended to files as they close; the tenth of the rows that comes later is late for most of them."""
+    landed, out = _root(spark, "landing"), _root(spark, "windows")
+    second, late = F.col("latitude") % 10 == 0, 0
+    for rows in (flat(spark, sf_dir).where(~second), flat(spark, sf_dir).where(second)):
+        rows.write.mode("append").parquet(landed)
+        late += incremental.ingest_windows(spark.readStream.schema(unified.TELEMETRY_SCHEMA).parquet(landed), out, f"{out}-checkpoint", "1 hour", "2 days").late
+    return _ntz(spark.read.parquet(out)).withColumn("mean_speed_mph", F.round("mean_speed_mph", 6)).withColumn("late_windows", F.lit(late).cast("long"))
+
+
+@_register("SELECT count(*) FILTER (event_id % 5 <> 0) AS stored, count(*) FILTER (event_id % 5 = 0) AS quarantined, 1::BIGINT AS batches, 1::BIGINT AS replayed, count(*) FILTER (event_id % 5 <> 0) AS told FROM events WHERE event_type = 'view'")
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that stops after a batch's work and before its commit hands it out again, twice; it takes effect once."""
+    i = F.col("event_id")
+    item = F.struct(F.struct(i.cast("string").alias("id"), _said(F.col("ts")).alias("located_at"), F.lit(1.5).alias("lat"), F.lit(2.5).alias("lon"), F.when(i % 5 == 0, "unheard of").otherwise("breadcrumb").alias("type"), F.col("value").alias("speed")).alias("vehicle_location"))
+    landed = _land(spark, _events(spark, sf_dir, "view").withColumn("vehicle_id", i), "vehicle_locations", item, i, i, "landing", "vehicle_id")
+    root, aside = _root(spark, "dataset"), _root(spark, "quarantine")
+    dim = spark.range(1).selectExpr("CAST(NULL AS BIGINT) AS id", "'' AS vin", "'' AS number", "false AS metric_units")
+
+    def unify(items: DataFrame) -> DataFrame:
+        vehicles = items.select(F.col("vehicle_id").alias("id")).distinct().join(dim.drop("id"))  # one row
+        return flatten.flatten_motive(items, vehicles, origin=True)
+
+    def run() -> incremental.RunSummary:
+        return incremental.stream_ingest(spark, "motive_vehicle_locations", landed, root, f"{root}-checkpoint", unify, quarantine=aside)
+
+    def undo(*names: str) -> None:
+        for name in names:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    run()
+    undo(f"{root}-checkpoint/commits/0", f"{root}-checkpoint-ledger/entry-0")  # it stopped before the ledger's entry
+    run()
+    undo(f"{root}-checkpoint/commits/0")  # and now after it
+    replayed = run().replayed
+    entries = incremental.Ledger(spark, f"{root}-checkpoint-ledger").entries().agg(F.count("*").alias("batches"), F.sum("records").alias("told"))
+    frames = [spark.read.parquet(root).agg(F.count("*").alias("stored")), spark.read.parquet(aside).agg(F.count("*").alias("quarantined")), entries.withColumn("replayed", F.lit(replayed).cast("long"))]
+    return reduce(DataFrame.join, frames)  # one row each
+
+
+@_register(
+    f"""WITH e AS (SELECT * FROM events WHERE event_type = 'view'),
+    m AS (SELECT 'motive' AS provider, count(*) FILTER (user_id <> 3) AS records, count(*) FILTER (user_id <> 3) AS with_driver, count(DISTINCT user_id) FILTER (user_id = 3) AS skipped FROM e JOIN customer c ON c.c_custkey = e.user_id WHERE c_custkey % 10 <> 0),
+    s AS (SELECT 'samsara' AS provider, count(*) AS records, count(CASE WHEN f.user_id % 8 <> 1 THEN f.driver_id END) AS with_driver, 1::BIGINT AS skipped FROM (SELECT g.user_id, f.driver_id FROM e g JOIN {_FIRST} f ON g.event_id = f.gid AND f.nth = 1) f)
+    SELECT * FROM m UNION ALL SELECT * FROM s"""
+)
+def degrade_on_missing_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One vehicle's locations and one of eight chunks of assignments are damaged: the vehicle goes, the drivers are null."""
+    e, i = _events(spark, sf_dir, "view"), F.col("event_id")
+    person = F.struct(i.alias("id"), F.lit("Ann").alias("first_name"), F.lit("Lee").alias("last_name"))
+    item = F.struct(F.struct(i.cast("string").alias("id"), _said(F.col("ts")).alias("located_at"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"), F.lit("breadcrumb").alias("type"), person.alias("driver")).alias("vehicle_location"))
+    located, assigned = _root(spark, "locations"), _root(spark, "assignments")
+    pages_of = e.groupBy(F.col("user_id").alias("vehicle_id"), F.floor(i / 1000).alias("page")).agg(F.collect_list(item).alias("vehicle_locations")).drop("page")
+    pages_of.repartition(8, "vehicle_id").sortWithinPartitions("vehicle_id").write.partitionBy("vehicle_id").option("compression", "gzip").json(located)
+    made = spark.read.json(_samsara_assignments(spark, sf_dir))
+    made.withColumn("chunk", F.get("data", F.lit(0))["vehicle"]["id"].cast("int") % 8).repartition(8, "chunk").write.partitionBy("chunk").option("compression", "gzip").json(assigned)
+    for path, unit, value, keep in ((located, "vehicle_id", "3", 0), (assigned, "chunk", "1", 100)):
+        for file in landing.landed_files(spark, path, unit).where(F.col("unit") == value).collect():
+            _spoil(spark, file.file, keep)
+    k = F.col("c_custkey")
+    vehicle = F.struct(F.struct(k.alias("id"), F.lit(1).alias("company_id"), F.lit("n").alias("number"), F.when(k % 10 == 0, "lost").otherwise("active").alias("status"), F.lit(True).alias("ifta"), F.lit("2024-01-01T00:00:00Z").alias("created_at"), F.lit("2024-01-01T00:00:00Z").alias("updated_at")).alias("vehicle"))
+    vehicles = _land(spark, _table(spark, sf_dir, "customer"), "vehicles", vehicle, k, k, "vehicles")
+    read, lost = landing.isolated_pages(spark, "samsara_driver_assignments", assigned, "chunk")
+    drivers = flatten.flatten_samsara(_samsara_stats(spark, sf_dir), pages.validated(pages.unwrap_items(read, "samsara_driver_assignments"), "samsara_driver_assignments")[0])
+    found = [landing.motive_rows(spark, vehicles, located), (drivers, lost)]
+    out = []
+    for name, (rows, skipped) in zip(("motive", "samsara"), found, strict=True):
+        counts = rows.agg(F.lit(name).alias("provider"), F.count("*").alias("records"), F.count("driver_id").alias("with_driver"))
+        out.append(counts.join(landing.skipped_units(skipped).agg(F.count("*").alias("skipped"))))  # one row each
+    return out[0].unionByName(out[1])
+
+
+@_register(f"WITH {FLAT} SELECT provider, count(DISTINCT vin) AS vehicles, true AS near FROM flat GROUP BY ALL")
+def vehicle_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches stored day by day, one day twice, merged to a fleet's count: within five percent of the exact one."""
+    path, sketches = _root(spark, "sketches"), analytics.daily_vehicle_sketches(flat(spark, sf_dir))
+    for days in (sketches, sketches.where("date = DATE '2024-01-05'")):
+        days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    about = analytics.vehicles_in_sketches(spark.read.parquet(path), "provider").withColumnRenamed("vehicles", "about")
+    exact = analytics.distinct_vehicles_by_provider(flat(spark, sf_dir))
+    return exact.join(about, "provider").select("provider", "vehicles", (F.abs(F.col("about") - F.col("vehicles")) <= 0.05 * F.col("vehicles")).alias("near"))
+
+
+@_register(
+    f"""WITH {FLAT} SELECT provider, location_description AS kind, count(speed_mph) AS count, round(avg(speed_mph), 6) AS mean, round(stddev_samp(speed_mph), 6) AS std, min(speed_mph) AS min,
+    round(quantile_cont(speed_mph, 0.25), 6) AS p25, round(quantile_cont(speed_mph, 0.5), 6) AS p50, round(quantile_cont(speed_mph, 0.75), 6) AS p75, max(speed_mph) AS max FROM flat GROUP BY ALL"""
+)
+def describe_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of every group, narrowed down together until few values are left to sort."""
+    rows = flat(spark, sf_dir).withColumnRenamed("location_description", "kind")
+    found = analytics.describe_numeric(rows, "speed_mph", most=200, by=["provider", "kind"])
+    return found.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p25", "p50", "p75")})

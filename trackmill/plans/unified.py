@@ -135,7 +135,8 @@ def date_superset_filter(df: DataFrame, ts: str, start, end, date_col: str = "da
 
 
 def filter_not_passenger(df: DataFrame) -> DataFrame:
-    return df.where(~F.col("is_passenger"))
+    """Those who drive; a missing flag counts as false, as in interval_join_first."""
+    return df.where(~F.coalesce("is_passenger", F.lit(False)))
 
 
 def filter_known_driver(df: DataFrame) -> DataFrame:

@@ -177,7 +177,8 @@ def unknown_states(stats: DataFrame) -> DataFrame:
 def audit_pages(pages: DataFrame, endpoint: str, batch: Sequence[str] = ()) -> DataFrame:
     """Whether every page of a collection is there, one row per batch.
 
-    Offset paging: expected pages, those seen and the numbers missing. Cursor paging: whether the last page came.
+    Offset paging: expected pages, those seen and the numbers missing. Cursor paging: whether the last page came; cursors
+    don't say which page they lead to, so a page missing in the middle isn't seen.
     """
     if ENDPOINTS[endpoint].vendor == "motive":
         p = F.col("pagination")
