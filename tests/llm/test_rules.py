@@ -155,3 +155,50 @@ def test_url_filter_against_loops(spark):
     assert sorted(map(tuple, filter_urls(p, e).collect()), key=str) == sorted(want, key=str)
     assert len({w[4] for w in want}) == 3
     assert filter_urls(p.limit(0), e).count() == 0 and filter_urls(p, e.limit(0)).where("n_hits > 0").count() == 0
+
+
+def shared_prompts(n, rng):
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
+    return [(i, "Choose the best answer: " + " ".join(word() for _ in range(12))) for i in range(n)]
+
+
+def test_items_that_share_a_piece():
+    """Counted first or not, the same hits; and very many items with one opening cost little more than a few."""
+    import time
+
+    from trackmill.llm.decontaminate import Matcher
+
+    rng = random.Random(3)
+    items = shared_prompts(300, rng)
+    texts = []
+    for _ in range(60):
+        _, chosen = rng.choice(items)
+        letters = list(chosen)
+        for _ in range(rng.randint(0, 6)):
+            at = rng.randrange(len(letters))
+            letters[at : at + 1] = rng.choice([[], ["x"], [letters[at], "y"]])
+        texts.append(" ".join(["said before", "Choose the best answer: or not"] * rng.randint(0, 3) + ["".join(letters), "and after"]))
+    plain, counted = Matcher(items, shared=10**9), Matcher(items, shared=4)
+    hits = [plain.match(t) for t in texts]
+    assert [counted.match(t) for t in texts] == hits and sum(map(len, hits)) > 20
+    text, took = " ".join(["Choose the best answer: nothing of the kind"] * 15), {}
+    for n in (10, 10_000):
+        matcher = Matcher(shared_prompts(n, rng))
+        began = time.perf_counter()
+        assert matcher.match(text) == []
+        took[n] = time.perf_counter() - began
+    assert took[10_000] < 0.2, took
+
+
+def test_short_items_and_long_texts():
+    from trackmill.llm.decontaminate import Matcher
+
+    rng = random.Random(4)
+    item = "a passage of the benchmark that is long enough"
+    matcher = Matcher([(1, "yes"), (2, "42"), (3, item), (4, "  Yes ")])
+    assert matcher.match("Yesterday we met 1420 people, yes we did, 42 of them") == []
+    assert matcher.match("Well:\n  YES \nor 42") == [(1, 9, 0), (4, 9, 0)]
+    words = [("".join(rng.choice("abcdefg") for _ in range(6))) for _ in range(200_000)]
+    words[150_000] = item
+    text = " ".join(words)
+    assert matcher.match(text) == [(3, text.index(item) + len(item), 0)]

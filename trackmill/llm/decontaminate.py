@@ -2,7 +2,9 @@
 
 An item within e edits of a passage, cut into e + 1 pieces, has at least one piece in it unchanged. All pieces are
 looked up in each text with one automaton; around each hit the window the whole item could fill is verified with
-Myers' bit-parallel edit distance. Windows of one item that overlap are verified as one.
+Myers' bit-parallel edit distance. Windows of one item that overlap are verified as one. Where very many items share a
+piece, as prompts do, their three-letter sequences are counted in the passage first, which rules most of them out.
+Items that allow no edit are too short to tell a passage by, and count only where they make up a line.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +23,8 @@ from trackmill.llm.common import scratch, written
 
 #: Edits allowed per character of an item, and bytes of items that one automaton is built from.
 ERROR_RATE, BLOCK_BYTES = 0.05, 4_000_000
+#: Items under one piece beyond which they are counted first; different numbers for sequences of three letters.
+SHARED, GRAMS = 16, 1 << 15
 
 
 def hits_type(item_id: T.DataType) -> T.ArrayType:
@@ -60,43 +65,60 @@ def edit_search(item: str, text: str, edits: int) -> tuple[int, int] | None:
     return best
 
 
+def grams(text: str) -> np.ndarray:
+    """Numbers of the sequences of three letters in order; different ones may have one number."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return (c[:-2] * 7919 + c[1:-1] * 131 + c[2:]) % GRAMS
+
+
 class Matcher:
     """All items of one block."""
 
-    def __init__(self, items: Iterable[tuple[int, str]], error_rate: float = ERROR_RATE) -> None:
+    def __init__(self, items: Iterable[tuple[int, str]], error_rate: float = ERROR_RATE, shared: int = SHARED) -> None:
         self.items: dict[int, tuple[str, int]] = {}
+        self.lines: dict[str, list[int]] = {}
         found: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             item = normalised(text)
-            if item:
-                edits = int(len(item) * error_rate)
+            edits = int(len(item) * error_rate)
+            if item and not edits:
+                self.lines.setdefault(item, []).append(item_id)
+            elif item:
                 self.items[item_id] = (item, edits)
                 for offset, piece in pieces(item, edits):
                     found.setdefault(piece, []).append((item_id, offset))
         self.automaton = ahocorasick.Automaton()
         for piece, places in found.items():
-            self.automaton.add_word(piece, (len(piece), places))
+            self.automaton.add_word(piece, (len(piece), places, _Crowd(self.items, places) if len(places) > shared else None))
         if found:
             self.automaton.make_automaton()
 
     def match(self, text: str | None) -> list[tuple[int, int, int]]:
         """(item, end in the normalised text, edits) of the best passage of each item found, by item."""
+        out = [(item_id, end, 0) for item_id, end in self._lines(text or "")] if self.lines else []
         text = normalised(text)
         windows: dict[int, list[tuple[int, int]]] = {}
-        if not self.items:
-            return []
-        for end, (length, places) in self.automaton.iter(text):
-            for item_id, offset in places:
-                item, edits = self.items[item_id]
-                start = end + 1 - length - offset
-                span = (max(0, start - edits), min(len(text), start + len(item) + edits))
-                own = windows.setdefault(item_id, [])
-                if own and span[0] <= own[-1][1] and span[0] >= own[-1][0]:
-                    own[-1] = (own[-1][0], max(own[-1][1], span[1]))
-                else:
-                    own.append(span)
-        out = []
-        for item_id, spans in sorted(windows.items()):
+        crowds: dict[int, tuple[_Crowd, int, list[int]]] = {}
+
+        def look(item_id: int, start: int) -> None:
+            item, edits = self.items[item_id]
+            span = (max(0, start - edits), min(len(text), start + len(item) + edits))
+            own = windows.setdefault(item_id, [])
+            if own and span[0] <= own[-1][1] and span[0] >= own[-1][0]:
+                own[-1] = (own[-1][0], max(own[-1][1], span[1]))
+            else:
+                own.append(span)
+
+        for end, (length, places, crowd) in self.automaton.iter(text) if self.items else ():
+            if crowd:
+                crowds.setdefault(id(crowd), (crowd, length, []))[2].append(end + 1 - length)
+            else:
+                for item_id, offset in places:
+                    look(item_id, end + 1 - length - offset)
+        for crowd, _, starts in crowds.values():
+            for item_id, start in crowd.possible(text, starts):
+                look(item_id, start)
+        for item_id, spans in windows.items():
             item, edits = self.items[item_id]
             best = None
             for a, b in _merged(spans):
@@ -104,7 +126,53 @@ class Matcher:
                     best = (hit[0], a + hit[1])
             if best:
                 out.append((item_id, best[1], best[0]))
-        return out
+        return sorted(out)
+
+    def _lines(self, text: str) -> Iterator[tuple[int, int]]:
+        """(item, end in the normalised text) of the first line that a short item makes up."""
+        end, seen = -1, set()
+        for line in text.splitlines():
+            line = normalised(line)
+            end += len(line) + 1 if line else 0
+            for item_id in self.lines.get(line, ()) if line not in seen else ():
+                yield item_id, end
+            seen.add(line)
+
+
+class _Crowd:
+    """The items that share a piece, with the numbers of all their sequences of three letters."""
+
+    def __init__(self, items: dict[int, tuple[str, int]], places: list[tuple[int, int]]) -> None:
+        self.places = places
+        own = [items[item_id] for item_id, _ in places]
+        self.before = max(offset + edits for (_, offset), (_, edits) in zip(places, own, strict=True))
+        self.after = max(len(item) - offset + edits for (_, offset), (item, edits) in zip(places, own, strict=True))
+        each = [grams(item) for item, _ in own]
+        self.grams, self.at = np.concatenate(each), np.cumsum([0, *map(len, each)])[:-1]
+        # an edit touches three sequences at most
+        self.need = np.array([len(g) - 3 * edits for g, (_, edits) in zip(each, own, strict=True)])
+
+    def possible(self, text: str, starts: list[int]) -> Iterator[tuple[int, int]]:
+        """(item, start) for the places of the piece in text of those items whose sequences are there often enough."""
+        for group in _near(starts, self.before + self.after):
+            there = np.zeros(GRAMS, dtype=np.int64)
+            there[grams(text[max(0, group[0] - self.before) : group[-1] + self.after])] = 1
+            for k in np.flatnonzero(np.add.reduceat(there[self.grams], self.at) >= self.need).tolist():
+                item_id, offset = self.places[k]
+                for start in group:
+                    yield item_id, start - offset
+
+
+def _near(starts: list[int], reach: int) -> Iterator[list[int]]:
+    """Ascending places in groups of which each is within reach of the next."""
+    group: list[int] = []
+    for s in starts:
+        if group and s - group[-1] > reach:
+            yield group
+            group = []
+        group.append(s)
+    if group:
+        yield group
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -124,8 +192,9 @@ def benchmark_hits(
 
     Items go to the executors in blocks of about block_bytes of text, cut by a hash of the item, so what is broadcast
     is bounded. Where there are several, each block's hits are written before the next block is read, and joined to the
-    texts in the end, so that one block is in memory at a time. Null, empty and blank texts have no hits; null, empty
-    and blank items and those with null ids match nothing; items too short for an edit match exactly; of items that
+    texts in the end, so that one block is in memory at a time and the texts are read once for each block. Null, empty and blank texts have no hits; null, empty
+    and blank items and those with null ids match nothing; items too short for an edit (20 characters at
+    the usual rate) match a whole line exactly; of items that
     repeat an id, the one last in text order counts. Ids may have any type that has an order. Rows that repeat have the
     same hits. Empty tables give empty hits or an empty result.
     """

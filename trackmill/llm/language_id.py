@@ -8,6 +8,7 @@ The languages' sums over all words of a text give a softmax; the likeliest langu
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 
 from trackmill.llm.common import held_out, scratch, written
 
+#: Runs of letters, and of what Python counts among them though it is a number: letters that are numerals, fractions.
 LETTERS = re.compile(r"[^\W\d_]+")
+NUMERALS = re.compile(f"[{''.join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ('Nl', 'No'))}]+")
 UNKNOWN = "und"
 #: Labelled rows the model is fitted on at most, and how often a word or n-gram must occur among them to be learned.
 MAX_DOCS, LEAST_COUNT = 6000, 2
@@ -30,7 +33,11 @@ MEMO, MEMO_LETTERS = 200_000, 64
 
 
 def words(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    text = text.lower()
+    found = LETTERS.findall(text)
+    if not text.isascii() and NUMERALS.search(text):
+        found = [part for run in found for part in NUMERALS.split(run) if part]
+    return found
 
 
 def grams(word: str, n: int) -> Iterator[str]:
