@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,27 @@ def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def joins_by_hash(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark may join by hash instead of by sorting where each partition of a side is small.
+
+    Small is the size that it cuts partitions to at any rate, as measured when the join is about to run; others are
+    sorted.
+    """
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def few(table: DataFrame, most: int) -> DataFrame:
+    """A written table, to be broadcast if a count finds at most so many rows; others are left to a shuffle."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that written() made and that nothing reads any more."""
     for df in tables:

@@ -26,12 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackmill.llm.common import discard, written
+from trackmill.llm.common import discard, few, joins_by_hash, written
 
 #: Bytes of a repeated passage at least; anchors of which one is a trigger; bytes that an anchor compares.
 LENGTH, TRIGGER, ANCHOR = 50, 4, 20
 #: Neighbouring suffixes that go as one before they are told apart.
 TOGETHER = 8
+#: Numbers (of 8 to 24 bytes) that are broadcast at most; more of them take a shuffle.
+MOST_BROADCAST = 2_000_000
 #: Windows that are hashed at once: memory for a text of any length.
 BLOCK = 1 << 18
 #: Constants of the rolling hash (odd) and of its finisher.
@@ -234,7 +236,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     anchors = parse.select("h1", F.explode("cores").alias("core"))
     cores = anchors.groupBy("core").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
     cores = written(cores.where("lo != hi").select("core"), "cores-shared")
-    mixed = anchors.join(cores, "core", "left_semi").distinct()
+    mixed = anchors.join(few(cores, MOST_BROADCAST), "core", "left_semi").distinct()
     mixed = written(mixed.groupBy("h1").agg(F.collect_list("core").alias("cores")), "phrases-mixed")
     wide, parse = parse, written(parse.drop("cores"), "parse-narrow")
     discard(wide, cores)
@@ -286,7 +288,8 @@ def _inside(rows: DataFrame, length: int) -> DataFrame:
     several = runs.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
     # a window's anchor lies o bytes after its start; a part has the windows of TOGETHER neighbouring o
     least, most = (F.floor(o / TOGETHER).cast("int") for o in (F.greatest(F.col("anchor") - windows + 1, F.lit(0)), F.col("anchor")))
-    cut = runs.join(written(several, "cores-several"), "core", "left_semi").select("x", F.col("first").alias("low"), "s", "anchor", windows.alias("windows"), F.explode(F.sequence(least, most)).alias("j"))
+    several = written(several, "cores-several")
+    cut = runs.join(few(several, MOST_BROADCAST), "core", "left_semi").select("x", F.col("first").alias("low"), "s", "anchor", windows.alias("windows"), F.explode(F.sequence(least, most)).alias("j"))
     begin = F.greatest(F.lit(0), F.col("anchor") - (F.col("j") + 1) * TOGETHER + 1)
     cut = cut.withColumn("i", begin).withColumn("n", F.least(F.col("windows") - 1, F.col("anchor") - F.col("j") * TOGETHER) - F.col("i") + 1)
     common = F.substring(F.col("s"), F.col("anchor") - F.col("j") * TOGETHER + 1, F.lit(length - TOGETHER + 1))
@@ -294,7 +297,7 @@ def _inside(rows: DataFrame, length: int) -> DataFrame:
     told = cut.select("common", "low", F.xxhash64("part").alias("y"), F.xxhash64(F.lit("part"), "part").alias("z")).groupBy("common")
     told = told.agg(*_ids("low"), (F.min("y") != F.max("y")).alias("y"), (F.min("z") != F.max("z")).alias("z"))
     told = written(told.where(f"y OR z OR {SEVERAL}").select("common", "first", F.expr("y OR z").alias("mixed")), "parts-common")
-    parts = written(cut.join(told, "common").select("x", "low", "i", "n", F.when(F.col("mixed"), F.col("part")).alias("part"), "first"), "parts")
+    parts = written(cut.join(few(told, MOST_BROADCAST), "common").select("x", "low", "i", "n", F.when(F.col("mixed"), F.col("part")).alias("part"), "first"), "parts")
     single = parts.where("part IS NOT NULL").groupBy("part").agg(F.min("low").alias("low"))
     single = written(single.withColumn("i", F.explode(F.sequence(F.lit(0), F.octet_length("part") - length))).withColumn("w", F.substring(F.col("part"), F.col("i") + 1, F.lit(length))), "windows")
     # written, so that the join deals both sides anew and can split a window that very many parts share
@@ -326,7 +329,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs are not read. An empty table gives an empty result. Phrases are told apart by 128-bit hashes, strings inside them
     by their bytes.
     """
-    found = repeated_spans(docs, id_col, text_col, length, trigger).withColumnsRenamed({"id": "gone_id", "t": "gone_t"})
+    with joins_by_hash(docs.sparkSession):
+        found = repeated_spans(docs, id_col, text_col, length, trigger).withColumnsRenamed({"id": "gone_id", "t": "gone_t"})
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("t"))
     rows = rows.join(found, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("t") == F.col("gone_t")), "left")
