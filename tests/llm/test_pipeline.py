@@ -50,7 +50,7 @@ def test_stages_by_hand(spark, stages):
 
 def test_registered():
     names = set(entry.queries())
-    assert {"pipeline", *(q for q in queries.QUERIES)} <= names and {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {"pipeline", *(q for q in queries.QUERIES)} <= names and {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(entry.oracle_sql()) <= names
 
 

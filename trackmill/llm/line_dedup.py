@@ -40,7 +40,7 @@ def number(line: Column, seed: int) -> Column:
 
 def digits(line: Column) -> Column:
     """The digits of a line in order, of any script."""
-    return F.regexp_replace(line, r"\P{Nd}+", "")
+    return F.when(F.rlike(line, F.lit(r"\p{Nd}")), F.regexp_replace(line, r"\P{Nd}+", "")).otherwise(F.lit(""))
 
 
 def _text_key(text: Column) -> Column:
@@ -90,9 +90,9 @@ def _looked_up(rows: DataFrame, text: str, lookups: Sequence[tuple[int, ...]], *
 
 
 def entries(lines: DataFrame, bands: Sequence[tuple[int, int]] = BANDS) -> DataFrame:
-    """(h1, key, own, k, shorter, at, size) of lines(h1, line): what each is indexed under (own) and looks up."""
+    """(h1, line, key, own, k, shorter, at, size) of lines(h1, line): what each is indexed under (own) and looks up."""
     rows = _looked_up(lines.withColumn("d", F.xxhash64(digits(F.col("line")))), "line", _lookups(bands))
-    return rows.select("h1", F.xxhash64("short", "i", "d", "piece").alias("key"), "own", "k", "shorter", "at", "size")
+    return rows.select("h1", "line", F.xxhash64("short", "i", "d", "piece").alias("key"), "own", "k", "shorter", "at", "size")
 
 
 def _let(value: Column, then) -> Column:
@@ -213,8 +213,12 @@ def line_links(found: DataFrame, bands: Sequence[tuple[int, int]] = BANDS, heavy
     tried = entries(long, bands)
     shared = tried.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.bool_or("own").alias("own"))
     shared = written(shared.where("own AND lo != hi").select("key"), "keys-shared")
-    rows = written(tried.join(_few(shared), "key", "left_semi").distinct(), "line-entries")
-    texts = _texts(long, written(rows.select(F.col("h1").alias("met")).distinct(), "lines-met"))
+    if shared.count() <= MOST_BROADCAST:  # lines take their texts along
+        hits = written(tried.join(F.broadcast(shared), "key", "left_semi").distinct(), "line-hits")
+        rows, texts = hits.drop("line"), written(hits.select("h1", "line").distinct(), "line-texts")
+    else:
+        rows = written(tried.drop("line").join(shared, "key", "left_semi").distinct(), "line-entries")
+        texts = _texts(long, written(rows.select(F.col("h1").alias("met")).distinct(), "lines-met"))
     signed = written(texts.select("h1", letter_signature(F.col("line")).alias("sig")), "lines-signed")
     crowded = written(rows.groupBy("key").count().where(F.col("count") > heavy).select("key"), "keys-crowded")
     light, pairs = rows, None
@@ -265,16 +269,8 @@ def _pairs(rows: DataFrame, keys: list[str], near: Column | None = None) -> Data
 
 
 def _texts(lines: DataFrame, met: DataFrame) -> DataFrame:
-    """(h1, line): the different lines whose h1 is in met.
-
-    Numbers of a counted, small size are broadcast, so that copies of a line are dropped where they are read; more of
-    them meet the lines in a shuffle, after the copies are dropped.
-    """
-    if met.count() <= MOST_BROADCAST:
-        found = lines.join(F.broadcast(met), F.col("h1") == F.col("met"), "left_semi").distinct()
-    else:
-        found = lines.distinct().join(met, F.col("h1") == F.col("met"), "left_semi")
-    return written(found, "line-texts")
+    """(h1, line): the different lines whose h1 is in met, which are met in a shuffle after the copies are dropped."""
+    return written(lines.distinct().join(met, F.col("h1") == F.col("met"), "left_semi"), "line-texts")
 
 
 def stars(links: DataFrame, places: DataFrame) -> DataFrame:
