@@ -150,6 +150,8 @@ def test_damaged_days(spark, root):
     assert {Path(r.file).name for r in skipped.collect()} == bad and sorted(str(r.date) for r in skipped.collect()) == ["2024-01-16", "2024-01-17"]
     with pytest.raises(Exception):  # noqa: B017  by default a damaged day is an error
         storage.load_partition(spark, root, date(2024, 1, 16)).collect()
+    assert storage.load_partition(spark, root, date(2024, 1, 16), skip_unreadable=True).count() == 0
+    assert storage.load_date_range(spark, root, date(2024, 1, 15), date(2024, 1, 17), sort=True, skip_unreadable=True).count() == 1
     rows, skipped = storage.load_readable(spark, root, date(2024, 1, 18), date(2024, 1, 18))
     assert (rows.count(), skipped.count()) == (1, 0)
     rows, skipped = storage.load_readable(spark, root, date(2020, 1, 1), date(2020, 1, 2))

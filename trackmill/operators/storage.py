@@ -84,14 +84,22 @@ def _dataset(spark: SparkSession, root: str, days: Sequence[date], schema: T.Str
     return _stored(spark, root, sorted(set(days) & set(list_partition_dates(spark, root))), schema)
 
 
-def load_partition(spark: SparkSession, root: str, d: date, schema: T.StructType | None = None) -> DataFrame:
-    """One day; a day that isn't there gives no rows."""
+def load_partition(spark: SparkSession, root: str, d: date, schema: T.StructType | None = None, skip_unreadable: bool = False) -> DataFrame:
+    """One day; a day that isn't there gives no rows. skip_unreadable leaves out damaged files, which load_readable names."""
+    if skip_unreadable:
+        return load_readable(spark, root, d, d, schema or TELEMETRY_SCHEMA)[0]
     return _dataset(spark, root, [d], schema)
 
 
-def load_date_range(spark: SparkSession, root: str, d0: date, d1: date, sort: bool = False, schema: T.StructType | None = None) -> DataFrame:
-    """The days from d0 to d1, both included; days that aren't there are skipped, d0 after d1 gives no rows."""
-    rows = _dataset(spark, root, [d for d in list_partition_dates(spark, root) if d0 <= d <= d1], schema)
+def load_date_range(spark: SparkSession, root: str, d0: date, d1: date, sort: bool = False, schema: T.StructType | None = None, skip_unreadable: bool = False) -> DataFrame:
+    """The days from d0 to d1, both included; days that aren't there are skipped, d0 after d1 gives no rows.
+
+    skip_unreadable leaves out damaged files, which load_readable names.
+    """
+    if skip_unreadable:
+        rows = load_readable(spark, root, d0, d1, schema or TELEMETRY_SCHEMA)[0]
+    else:
+        rows = _dataset(spark, root, [d for d in list_partition_dates(spark, root) if d0 <= d <= d1], schema)
     return rows.orderBy(*[F.col(c).asc_nulls_last() for c in SORT_KEYS]) if sort else rows
 
 
