@@ -16,6 +16,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -223,9 +224,9 @@ def _exact_counts(docs: DataFrame, sent: Broadcast, longest: int, most: int) ->
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (table,) = _received(sent)
         for lang, vocabulary, numbers in _held(batches, most):
-            hashes, spelled = _word_hashes(lang, vocabulary), list(vocabulary)
+            hashes, spelled = _word_hashes(lang, vocabulary), pa.array(list(vocabulary), pa.binary())
             words = shorter = hashes[numbers]
-            yield _named(lang, 0, [b""], np.array([np.count_nonzero(numbers)]))
+            yield _named(lang, 0, pa.array([b""], pa.binary()), np.array([np.count_nonzero(numbers)]))
             rank = numbers.astype(np.int64)  # numbers the phrases of k words at each place, one by one
             for k in range(1, longest + 1):
                 at = _places(numbers, k)
@@ -239,13 +240,15 @@ def _exact_counts(docs: DataFrame, sent: Broadcast, longest: int, most: int) ->
                 if k < longest:
                     rank = np.full(len(numbers), -1, dtype=np.int64)
                     rank[at] = own
-                yield _named(lang, k, [b" ".join(spelled[w] for w in numbers[p : p + k]) for p in at[first].tolist()], n)
+                each = [spelled.take(pa.array(numbers[at[first] + j])) for j in range(k)]
+                yield _named(lang, k, pc.binary_join_element_wise(*each, b" "), n)
 
     return docs.mapInArrow(tally, "lang string, phrase string, k int, n long").groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
 
 
-def _named(lang: str, k: int, phrases: list[bytes], n: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array([k] * len(phrases), pa.int32()), pa.array(n.astype(np.int64))]
+def _named(lang: str, k: int, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    size = len(phrases)
+    columns = [pa.repeat(pa.scalar(lang, pa.string()), size), phrases.cast(pa.string()), pa.repeat(pa.scalar(k, pa.int32()), size), pa.array(n.astype(np.int64))]
     return pa.record_batch(columns, ["lang", "phrase", "k", "n"])
 
 
@@ -312,7 +315,7 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     table, _ = frequent_bits(texts, least, longest, shards, table_bits, most)
     sent = _sent(texts, table)
     # spelled out, words take several times the memory of their hashes
-    found = written(_exact_counts(texts, sent, longest, most // 4).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+    found = written(_exact_counts(texts, sent, longest, most // 2).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
     sent.destroy()
     return found
 
