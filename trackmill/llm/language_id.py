@@ -22,7 +22,7 @@ from trackmill.llm.common import held_out, scratch, written
 
 #: Runs of letters, and of what Python counts among them though it is a number: letters that are numerals, fractions.
 LETTERS = re.compile(r"[^\W\d_]+")
-NUMERALS = re.compile(f"[{''.join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ('Nl', 'No'))}]+")
+NUMERALS = frozenset(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("Nl", "No"))
 UNKNOWN = "und"
 #: Labelled rows the model is fitted on at most, and how often a word or n-gram must occur among them to be learned.
 MAX_DOCS, LEAST_COUNT = 6000, 2
@@ -35,8 +35,8 @@ MEMO, MEMO_LETTERS = 200_000, 64
 def words(text: str) -> list[str]:
     text = text.lower()
     found = LETTERS.findall(text)
-    if not text.isascii() and NUMERALS.search(text):
-        found = [part for run in found for part in NUMERALS.split(run) if part]
+    if not text.isascii() and not NUMERALS.isdisjoint(text):
+        found = [part for run in found for part in "".join(" " if c in NUMERALS else c for c in run).split()]
     return found
 
 
