@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,7 +160,8 @@ def save_partitioned(df: DataFrame, root: str, date_col: str = "timestamp", dedu
 
 
 def merge_partitions(
-    new: DataFrame, root: str, keys: Sequence[str] | None = DEDUP_KEYS, ts: str = "timestamp", order: Sequence[str] = (), compression: str = "snappy", dedup_first_write: bool = True, schema: T.StructType = TELEMETRY_SCHEMA
+    new: DataFrame, root: str, keys: Sequence[str] | None = DEDUP_KEYS, ts: str = "timestamp", order: Sequence[str] = (), compression: str = "snappy", dedup_first_write: bool = True, schema: T.StructType = TELEMETRY_SCHEMA,
+    told: Observation | None = None, counts: Sequence[Column] = (),
 ) -> dict[date, int]:
     """Unite new with what its days hold, keep the last row per key, replace those days; rows by day.
 
@@ -168,25 +169,30 @@ def merge_partitions(
     stored. Without keys whole rows are compared. dedup_first_write=False leaves copies in a day's first write. The
     table has the columns of schema: others of new are left out, missing ones are an error, and stored days are read by
     it, whatever their files have. One job does all but the listing: the days that new touches prune the stored ones
-    while it runs, and the rows are counted as they are written. The new rows are computed once, so the days that are
-    read are the days written.
+    while it runs, and the rows are counted as they are written. The new rows are held, so the days that are read are
+    the days written. told is told counts over all new rows, those without a day too, of which nothing is stored; they
+    are counted where the held rows go into the merge, as executors may compute a row that isn't held yet several times.
     """
+    if told and not dedup_first_write:
+        raise ValueError("new rows are counted only where copies go from first writes too")
     own = [f for f in schema.fields if f.name != "date"]
     extra = [c for c in order if c not in schema.fieldNames()]
-    fresh = require_columns(new, [ts, *[f.name for f in own]]).withColumn("date", F.to_date(ts)).where("date IS NOT NULL")
+    fresh = require_columns(new, [ts, *[f.name for f in own]]).withColumn("date", F.to_date(ts))
+    fresh = fresh if told else fresh.where("date IS NOT NULL")
     fresh = fresh.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in own], *extra, "date").persist()
     try:
-        return _write_days(_merged(fresh, root, keys, order, dedup_first_write, T.StructType(own)), root, compression)
+        return _write_days(_merged(fresh, root, keys, order, dedup_first_write, T.StructType(own), told, counts), root, compression)
     finally:
         fresh.unpersist()
 
 
-def _merged(fresh: DataFrame, root: str, keys: Sequence[str] | None, order: Sequence[str], dedup_first_write: bool, schema: T.StructType) -> DataFrame:
+def _merged(fresh: DataFrame, root: str, keys: Sequence[str] | None, order: Sequence[str], dedup_first_write: bool, schema: T.StructType, told: Observation | None = None, counts: Sequence[Column] = ()) -> DataFrame:
     """The days of fresh as they will be."""
     spark = fresh.sparkSession
     stored = list_partition_dates(spark, root)
     columns = [*schema.fieldNames(), "date"]
-    tagged = fresh.select(*columns, F.lit(1).alias("_seq"), F.struct(F.lit(0), *order).alias("_order"))
+    counted = fresh.observe(told, *counts).where("date IS NOT NULL") if told else fresh
+    tagged = counted.select(*columns, F.lit(1).alias("_seq"), F.struct(F.lit(0), *order).alias("_order"))
     old = affected_partitions(_stored(spark, root, stored, schema), fresh).select(*columns, F.lit(0).alias("_seq"), F.lit(None).cast(tagged.schema["_order"].dataType).alias("_order"))
     both = old.unionByName(tagged)
     kept = keep_last(both, [*keys, "date"] if keys else None, ("_seq", "_order"))

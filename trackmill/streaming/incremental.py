@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from trackmill.operators.flatten import union_providers
 from trackmill.operators.storage import latest_partition_date, merge_partitions
-from trackmill.plans.unified import DEDUP_KEYS, enforce_schema, filter_time_range
+from trackmill.plans.unified import DEDUP_KEYS, enforce_schema
 from trackmill.sources.pages import ARRIVAL, read_pages, rejected, unwrap_items, validated
 
 #: Gives a provider's rows of a window; or those and what it rejected; or these two and what it skipped (unit, …).
@@ -92,11 +92,6 @@ class _Given:
     bad: DataFrame | None
     lost: DataFrame | None
 
-    def watched(self, a: datetime, b: datetime) -> tuple[DataFrame, Observation]:
-        """The rows, counted when and where they are computed: those inside the window, and those without a time."""
-        told, at = Observation(), F.col("timestamp")
-        return self.frame.observe(told, F.count_if(at.between(F.lit(a), F.lit(b))).alias("rows"), F.count_if(at.isNull()).alias("nulls")), told
-
     def left_out(self) -> tuple[int, int]:
         """How many items were rejected and how many units skipped."""
         return self.bad.count() if self.bad is not None else 0, self.lost.select("unit").distinct().count() if self.lost is not None else 0
@@ -116,16 +111,22 @@ def _fetched(spark: SparkSession, sources: Mapping[str, Fetch], a: datetime, b:
     return given
 
 
+def _merged_and_counted(new: DataFrame, root: str, ts: str, order: Sequence[str]) -> tuple[int, int, dict[date, int]]:
+    """Merge new rows, and say how many of them have a time, how many have none, and the rows of the days they touch."""
+    told, at = Observation(), F.col(ts)
+    days = merge_partitions(new, root, ts=ts, order=order, told=told, counts=[F.count(at).alias("rows"), F.count_if(at.isNull()).alias("nulls")])
+    return told.get.get("rows") or 0, told.get.get("nulls") or 0, days
+
+
 def _merge_window(given: Mapping[str, _Given], root: str, a: datetime, b: datetime) -> RunSummary:
     """Unite and merge what the providers gave for one window, in one write that counts as it goes."""
-    watched = [g.watched(a, b) for g in given.values()]
-    order = ["_source", *[c for c in ARRIVAL if any(c in f.columns for f, _ in watched)]]
-    everything = filter_time_range(union_providers([f for f, _ in watched], order), "timestamp", a, b)
+    frames = [g.frame for g in given.values()]
+    order = ["_source", *[c for c in ARRIVAL if any(c in f.columns for f in frames)]]
+    at = F.col("timestamp")
+    everything = union_providers(frames, order).where(at.between(F.lit(a), F.lit(b)) | at.isNull())
     left_out = [g.left_out() for g in given.values()]
-    touched = merge_partitions(everything, root, order=order)
-    told = [o.get for _, o in watched]
-    rows = sum(t.get("rows") or 0 for t in told)
-    return RunSummary(0, int(rows > 0), rows, sum(t.get("nulls") or 0 for t in told), sum(x for x, _ in left_out), sum(y for _, y in left_out), partitions=set(touched))
+    rows, nulls, touched = _merged_and_counted(everything, root, "timestamp", order)
+    return RunSummary(0, int(rows > 0), rows, nulls, sum(x for x, _ in left_out), sum(y for _, y in left_out), partitions=set(touched))
 
 
 def _working(given: Mapping[str, _Given], fail: Callable[[str, Exception], None]) -> dict[str, _Given]:
@@ -230,16 +231,14 @@ def stream_ingest(
         pages = batch.persist()
         found = transform(validated(unwrap_items(pages, endpoint), endpoint)[0])
         order = [c for c in ARRIVAL if c in found.columns]
-        told, at = Observation(), F.col(ts)
-        rows = enforce_schema(found, order).observe(told, F.count(at).alias("rows"), F.count_if(at.isNull()).alias("nulls"))
-        days = merge_partitions(rows, root, ts=ts, order=order)
+        rows, nulls, days = _merged_and_counted(enforce_schema(found, order), root, ts, order)
         bad, refused = Observation(), rejected(pages, endpoint)
         refused = refused.observe(bad, F.count(F.lit(1)).alias("rows"))
         if quarantine:
             refused.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/stream={name}/batch={number}")
         else:
             refused.write.format("noop").mode("overwrite").save()
-        counts = told.get.get("rows") or 0, told.get.get("nulls") or 0, bad.get.get("rows") or 0
+        counts = rows, nulls, bad.get.get("rows") or 0
         done.add(number, *counts, list(days))
         summary.add(RunSummary(1, int(counts[0] > 0), *counts, partitions=set(days)))
         pages.unpersist()
