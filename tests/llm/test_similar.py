@@ -1,8 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from trackmill.llm import similar
+from trackmill.llm.common import written
 from trackmill.llm.simhash import majority
 from trackmill.llm.similar import hashed, similar_copies
 
@@ -88,3 +91,18 @@ def test_a_crowd_around_one_text(spark):
     got = sorted(((r.doc_id, r.component_id) for r in similar_copies(spark.createDataFrame(every, SCHEMA)).collect()), key=str)
     assert got == by_hand(every)
     assert 20 < len({c for _, c in got}) < len(got) - 20
+
+
+def test_pairs_carry_few_sets_at_once(spark):
+    """However many pairs a text has, what a share of them carries is bounded; no pair is lost, none comes twice."""
+    sets = spark.range(60).select("id", F.sequence(F.lit(1).cast("long"), F.col("id") + 40).alias("set"))
+    pairs = written(spark.range(60).alias("p").join(spark.range(60).alias("q"), F.col("p.id") < F.col("q.id")).select(F.col("p.id").alias("a"), F.col("q.id").alias("b")), "pairs")
+    left, right = (sets.select(F.col("id").alias(n), F.col("set").alias(x)) for n, x in (("a", "x"), ("b", "y")))
+    carried = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(similar, "MOVED", 1000)
+        for share in similar._joined(pairs, left, right):
+            carried.append([(r.a, r.b, r.n, r.m) for r in share.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m")).collect()])
+    assert sorted(x for share in carried for x in share) == [(a, b, a + 40, b + 40) for a in range(60) for b in range(a + 1, 60)]
+    held = sum(a + 40 for a in range(60))
+    assert len(carried) > 10 and max(sum(n for _, _, n, _ in share) for share in carried) < held

@@ -11,6 +11,7 @@ whole sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackmill.llm.common import connected_components, discard, one_row_each, written
+from trackmill.llm.common import connected_components, discard, few, one_row_each, written
 from trackmill.llm.simhash import _LOWER, fingerprint_links, majority
 
 #: Words of a shingle, of fingerprints too, and the least similarity of near copies as a fraction.
@@ -34,6 +35,8 @@ CLOSE = 16
 HEAVY = 64
 #: Text numbers (8 bytes each) that are broadcast at most.
 MOST_BROADCAST = 500_000
+#: Members of sets that pairs carry at once at least, 32 MB of whole hashes; beyond, half as many as the sets have.
+MOVED = 4_000_000
 #: Numbers that texts may go by; the first that proves free of collisions on the texts at hand is used.
 SEEDS = (0, 1, 2, 3)
 
@@ -146,6 +149,38 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return found
 
 
+def _joined(pairs: DataFrame, left: DataFrame, right: DataFrame, shares: int | None = None) -> Iterator[DataFrame]:
+    """The written pairs with what left(…, a, x) and right(…, b, y) have for them, in shares to be written one by one.
+
+    A pair carries a whole set, and a text of very many pairs is carried as often. In each share pairs carry about half
+    as many members as left's sets have, so the shuffles take no more disk than a few times these, however many pairs
+    there are; shares grow with the pairs by text, not with the texts.
+    """
+    on_a, on_b = ([c for c in pairs.columns if c in side.columns] for side in (left, right))
+    if shares is None:
+        sizes = left.select(*on_a, F.size("x").cast("long").alias("size"))
+        held, moved = (sizes.agg(F.sum("size")).first()[0] or 0), (pairs.join(sizes, on_a).agg(F.sum("size")).first()[0] or 0)
+        shares = max(1, -(-moved // max(MOVED, held // 2)))
+    if shares == 1:
+        yield pairs.join(left, on_a).join(right, on_b)
+        return
+    for i in range(shares):
+        part = few(written(pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(shares)) == i), "share"), MOST_BROADCAST)
+        # the pairs, not the sets, are sent to where these are
+        yield part.join(left, on_a).join(right.join(part.select(*on_b).distinct(), on_b, "left_semi"), on_b)
+        discard(part)
+
+
+def _written_pairs(shares: Iterator[DataFrame], where: Column) -> DataFrame:
+    """(a, b) of the pairs that where holds for, share by share."""
+    parts = [written(x.where(where).select("a", "b"), "similar-share") for x in shares]
+    if len(parts) == 1:
+        return parts[0]
+    found = written(reduce(DataFrame.unionByName, parts), "similar")
+    discard(*parts)
+    return found
+
+
 def _compared(pairs: DataFrame, texts: DataFrame, halves: bool) -> DataFrame:
     flags = F.explode(F.array(F.struct(F.col("a").alias("met"), F.lit(True).alias("is_a")), F.struct(F.col("b").alias("met"), F.lit(False).alias("is_a"))))
     met = pairs.select(flags.alias("x")).select("x.*").groupBy("met").agg(F.bool_or("is_a").alias("is_a"), F.bool_or(~F.col("is_a")).alias("is_b"))
@@ -161,7 +196,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, halves: bool) -> DataFrame:
     right = sets.where("is_b").select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("set").alias("y"))
     # shingles whose halves are equal count once, so that many more may be shared
     both = F.size(F.array_intersect("x", "y")) + F.col("n") - F.size("x") + F.col("m") - F.size("y")
-    found = written(pairs.join(left, "a").join(right, "b").where(_similar(both, F.col("n"), F.col("m"))).select("a", "b"), "similar")
+    found = _written_pairs(_joined(pairs, left, right), _similar(both, F.col("n"), F.col("m")))
     discard(met, sets)
     return found
 
@@ -205,17 +240,23 @@ def _pivoted(rows: DataFrame, texts: DataFrame) -> DataFrame:
     ranked = entries.join(often, ["pivot", "key"]).groupBy("pivot", "node").agg(F.array_sort(F.collect_list(F.struct("often", "key"))).alias("shared"))
     least = F.greatest(F.lit(1), F.ceil((F.col("score") + F.col("least")) / (2 * OF_BOTH)))
     looked = F.size("own") - least + 1 - (F.size("own") - F.size("shared"))
-    first = scored.join(ranked, ["pivot", "node"]).where(looked > 0).select("pivot", "node", "part", "score", F.explode(F.slice("shared", 1, looked.cast("int"))).alias("x"))
-    first = written(first.select("pivot", "node", "part", "score", F.col("x.key").alias("key")), "apart-firsts")
+    first = scored.join(ranked, ["pivot", "node"]).where(looked > 0).select("pivot", "node", "part", "score", F.size("own").alias("d"), F.explode(F.slice("shared", 1, looked.cast("int"))).alias("x"))
+    first = written(first.select("pivot", "node", "part", "score", "d", F.col("x.key").alias("key")), "apart-firsts")
     other = first.select(*[F.col(c).alias(f"{c}_r") for c in first.columns])
     on = (F.col("pivot") == F.col("pivot_r")) & (F.col("key") == F.col("key_r")) & (F.col("node") < F.col("node_r")) & (F.col("part") != F.col("part_r")) & (F.col("score") + F.col("score_r") > 0)
-    found = written(first.join(other, on).select("pivot", F.col("node").alias("a"), F.col("node_r").alias("b")).distinct(), "pivot-met")
+    # what two have in common is no more than the smaller has
+    on &= 2 * OF_BOTH * F.least("d", "d_r") >= F.col("score") + F.col("score_r")
+    # the smaller one is carried to the larger one
+    smaller = F.col("d") <= F.col("d_r")
+    ends = F.when(smaller, F.col("node")).otherwise(F.col("node_r")).alias("a"), F.when(smaller, F.col("node_r")).otherwise(F.col("node")).alias("b")
+    met_there = written(first.join(other, on).select("pivot", *ends).distinct(), "pivot-met")
     left = apart.select("pivot", F.col("node").alias("a"), F.col("own").alias("x"), F.col("score").alias("s"))
     right = apart.select("pivot", F.col("node").alias("b"), F.col("own").alias("y"), F.col("score").alias("t"))
     both = 2 * OF_BOTH * F.size(F.array_intersect("x", "y"))
-    found = found.join(left, ["pivot", "a"]).join(right, ["pivot", "b"]).where(both >= F.col("s") + F.col("t")).select("a", "b")
+    discard(sets, first)
+    found = _written_pairs(_joined(met_there, left, right), both >= F.col("s") + F.col("t"))
     links = written(sure.unionByName(found).distinct(), "pivot-links")
-    discard(pairs, met, sets, apart, first)
+    discard(pairs, met, apart, met_there, found)
     return links
 
 
