@@ -1,7 +1,10 @@
 import random
 import re
+import weakref
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +106,25 @@ def test_top_and_ties(spark):
 def test_empty(spark, empty):
     got = collocations.collocations(empty)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and got.count() == 0
+
+
+def test_words_that_are_counted_are_let_go(monkeypatch):
+    """When a language's words are spelled out, those given out before it are no longer in memory."""
+    real, given = collocations._held, []
+
+    def watched(batches, most):
+        for lang, vocabulary, numbers in real(batches, most):
+            assert not [x for x in given if x() is not None]
+            given.append(weakref.ref(vocabulary))
+            yield lang, vocabulary, numbers
+            del vocabulary, numbers
+
+    monkeypatch.setattr(collocations, "_held", watched)
+    batches = [pa.record_batch([pa.array(["en", "de", "en"]), pa.array([f"one two {i}", "eins zwei", "one two."])], ["lang", "text"]) for i in range(5)]
+    every = np.full(1 << 6, ~np.uint64(0))
+    rows = pa.Table.from_batches(collocations._spelled(iter(batches), every, 3, 6)).to_pylist()
+    assert len(given) > 4
+    found = Counter()
+    for r in rows:
+        found[r["lang"], r["phrase"], r["k"]] += r["n"]
+    assert found["en", "one two", 2] == 10 and found["de", "eins zwei", 2] == 5 and found["en", "", 0] == 25

@@ -32,7 +32,7 @@ SHARDS = 3
 #: The table of what has reached the threshold has 2**TABLE_BITS bits: 8 MB, at any size of the corpus.
 TABLE_BITS = 26
 #: Words that a task holds before it hands its counts on, different words that it knows; bytes that it splits at once.
-MOST_HELD, MOST_KNOWN, PIECE_BYTES = 1_500_000, 300_000, 1 << 20
+MOST_HELD, MOST_KNOWN, PIECE_BYTES = 1_500_000, 200_000, 1 << 20
 #: Parts that the phrases of a language are ranked in first.
 PARTS = 64
 
@@ -63,10 +63,9 @@ def _held(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, V
     held = 0
 
     def out() -> Iterator[tuple[str, Vocabulary, np.ndarray]]:
-        for lang, parts in numbers.items():
-            yield lang, vocabularies[lang], np.concatenate(parts)
-        vocabularies.clear()
-        numbers.clear()
+        while numbers:  # a language goes as it is given out
+            lang, parts = numbers.popitem()
+            yield lang, vocabularies.pop(lang), np.concatenate(parts)
 
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -75,6 +74,7 @@ def _held(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, V
             for piece in _pieces(data):
                 numbers.setdefault(lang, []).append(np.array(list(map(vocabulary.__getitem__, words_of(piece))), dtype=np.int32))
                 held += len(numbers[lang][-1])
+            del vocabulary
             if held > most:
                 yield from out()
                 held = 0
@@ -111,8 +111,10 @@ class Hashes(dict):
 
 
 def _word_hashes(lang: str, vocabulary: Vocabulary) -> np.ndarray:
-    own = Hashes(lang)
-    return np.array(list(map(own.__getitem__, vocabulary)), dtype=np.uint64)
+    seed = Hashes(lang).seed
+    out = np.fromiter((xxhash.xxh64_intdigest(word, seed) or 1 for word in vocabulary), np.uint64, len(vocabulary))
+    out[0] = 0  # the border between pieces comes first
+    return out
 
 
 def _encoded(docs: DataFrame, most: int) -> DataFrame:
@@ -222,30 +224,38 @@ def _exact_counts(docs: DataFrame, sent: Broadcast, longest: int, most: int) ->
     """(lang, phrase, k, n): counts of the phrases whose bit is set; with k 0 the number of all words."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (table,) = _received(sent)
-        for lang, vocabulary, numbers in _held(batches, most):
-            hashes, spelled = _word_hashes(lang, vocabulary), pa.array(list(vocabulary), pa.binary())
-            words = shorter = hashes[numbers]
-            yield _named(lang, 0, pa.array([b""], pa.binary()), np.array([np.count_nonzero(numbers)]))
-            rank = numbers.astype(np.int64)  # numbers the phrases of k words at each place, one by one
-            for k in range(1, longest + 1):
-                at = _places(numbers, k)
-                if not len(at):
-                    break
-                if k > 1:
-                    shorter = _longer(shorter, words, k)
-                at = at[_set(table, shorter[at]) & (rank[at] >= 0)]
-                same = rank[at] * len(spelled) + numbers[at + k - 1] if k > 1 else rank[at]
-                _, first, own, n = np.unique(same, return_index=True, return_inverse=True, return_counts=True)
-                if k < longest:
-                    rank = np.full(len(numbers), -1, dtype=np.int64)
-                    rank[at] = own
-                each = [spelled.take(pa.array(numbers[at[first] + j])) for j in range(k)]
-                yield _named(lang, k, pc.binary_join_element_wise(*each, b" "), n)
+        return _spelled(batches, _received(sent)[0], longest, most)
 
     return docs.mapInArrow(tally, "lang string, phrase string, k int, n long").groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
 
 
+def _spelled(batches: Iterator[pa.RecordBatch], table: np.ndarray, longest: int, most: int) -> Iterator[pa.RecordBatch]:
+    for lang, vocabulary, numbers in _held(batches, most):
+        yield _named(lang, 0, pa.array([b""], pa.binary()), np.array([np.count_nonzero(numbers)]))
+        yield from _spelled_phrases(lang, vocabulary, numbers, table, longest)
+        del vocabulary, numbers  # or they stay while the next words are gathered
+
+
+def _spelled_phrases(lang: str, vocabulary: Vocabulary, numbers: np.ndarray, table: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
+    hashes, spelled = _word_hashes(lang, vocabulary), pa.array(list(vocabulary), pa.binary())
+    words = shorter = hashes[numbers]
+    rank = numbers.astype(np.int64)  # numbers the phrases of k words at each place, one by one
+    for k in range(1, longest + 1):
+        at = _places(numbers, k)
+        if not len(at):
+            break
+        if k > 1:
+            shorter = _longer(shorter, words, k)
+        at = at[_set(table, shorter[at]) & (rank[at] >= 0)]
+        same = rank[at] * len(spelled) + numbers[at + k - 1] if k > 1 else rank[at]
+        _, first, own, n = np.unique(same, return_index=True, return_inverse=True, return_counts=True)
+        if k < longest:
+            rank = np.full(len(numbers), -1, dtype=np.int64)
+            rank[at] = own
+        each = [spelled.take(pa.array(numbers[at[first] + j])) for j in range(k)]
+        yield _named(lang, k, pc.binary_join_element_wise(*each, b" "), n)
+
+
 def _named(lang: str, k: int, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
     size = len(phrases)
     columns = [pa.repeat(pa.scalar(lang, pa.string()), size), phrases.cast(pa.string()), pa.repeat(pa.scalar(k, pa.int32()), size), pa.array(n.astype(np.int64))]
@@ -315,7 +325,7 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     table, _ = frequent_bits(texts, least, longest, shards, table_bits, most)
     sent = _sent(texts, table)
     # spelled out, words take several times the memory of their hashes
-    found = written(_exact_counts(texts, sent, longest, most // 2).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+    found = written(_exact_counts(texts, sent, longest, most // 4).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
     sent.destroy()
     return found
 
