@@ -32,6 +32,19 @@ def test_components(spark, shape):
     assert {r.node: r.component for r in connected_components(links).collect()} == by_hand(pairs)
 
 
+def test_stars_take_no_round(spark, monkeypatch):
+    """Links to the least node of each component are told from others, and only the others take rounds."""
+    from trackmill.llm import common
+
+    written, names = common.written, []
+    monkeypatch.setattr(common, "written", lambda df, name, codec=None: names.append(name) or written(df, name, codec))
+    for pairs, rounds in (([(1, 5), (1, 6), (2, 7)], 0), ([], 0), ([(1, 5), (5, 6)], 1), ([(1, 6), (2, 6)], 1)):
+        names.clear()
+        found = connected_components(spark.createDataFrame(pairs, "a long, b long"))
+        assert {r.node: r.component for r in found.collect()} == by_hand(pairs)
+        assert names.count("links") == 1 + rounds
+
+
 SMALL = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",

@@ -106,3 +106,29 @@ def test_pairs_carry_few_sets_at_once(spark):
     assert sorted(x for share in carried for x in share) == [(a, b, a + 40, b + 40) for a in range(60) for b in range(a + 1, 60)]
     held = sum(a + 40 for a in range(60))
     assert len(carried) > 10 and max(sum(n for _, _, n, _ in share) for share in carried) < held
+
+
+def test_few_pairs_of_a_crowd_are_compared(spark, monkeypatch):
+    """Texts that share little of what sets them apart from the pivot aren't compared by their sets."""
+    rng = random.Random(22)
+    words = sentence(rng, 120).split()
+    pool = [f"pool{i}" for i in range(12)]
+    crowd = []
+    for _ in range(150):
+        text = list(words)
+        for at in rng.sample(range(0, 120, 5), 6):
+            text[at : at + 2] = [rng.choice(pool[:4]), rng.choice(pool)]
+        crowd.append(" ".join(text))
+    crowd += [edited(rng, crowd[k].split(), 2) for k in range(0, 60, 2)]
+    every = [(i, t, "en", "s", len(t)) for i, t in enumerate(crowd)]
+    compared, real = [], similar._joined
+
+    def joined(pairs, left, right, shares=None):
+        if "s" in left.columns:
+            compared.append((pairs.count(), len(crowd)))
+        return real(pairs, left, right, shares)
+
+    monkeypatch.setattr(similar, "_joined", joined)
+    got = sorted(((r.doc_id, r.component_id) for r in similar_copies(spark.createDataFrame(every, SCHEMA)).collect()), key=str)
+    assert got == by_hand(every)
+    assert compared and all(pairs < 3 * texts for pairs, texts in compared)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackmill.llm.common import connected_components, discard, few, one_row_each, written
+from trackmill.llm.common import cleaned_up, connected_components, discard, few, one_row_each, written
 from trackmill.llm.simhash import _LOWER, fingerprint_links, majority
 
 #: Words of a shingle, of fingerprints too, and the least similarity of near copies as a fraction.
@@ -159,7 +159,8 @@ def _joined(pairs: DataFrame, left: DataFrame, right: DataFrame, shares: int | N
     on_a, on_b = ([c for c in pairs.columns if c in side.columns] for side in (left, right))
     if shares is None:
         sizes = left.select(*on_a, F.size("x").cast("long").alias("size"))
-        held, moved = (sizes.agg(F.sum("size")).first()[0] or 0), (pairs.join(sizes, on_a).agg(F.sum("size")).first()[0] or 0)
+        with cleaned_up(pairs.sparkSession):
+            held, moved = (sizes.agg(F.sum("size")).first()[0] or 0), (pairs.join(sizes, on_a).agg(F.sum("size")).first()[0] or 0)
         shares = max(1, -(-moved // max(MOVED, held // 2)))
     if shares == 1:
         yield pairs.join(left, on_a).join(right, on_b)
@@ -219,7 +220,8 @@ def _pivoted(rows: DataFrame, texts: DataFrame) -> DataFrame:
     pivot, does. With d shingles set apart, of n in all, two texts are similar if and only if d + d' less twice what
     the two have in common of these is at most (n + n') / 9. So they are joined on these, the rarest first, and only as
     many as leave too few for the rest; with 9 d - n of at most 0 together they are similar at any rate, and all such
-    are linked to the text of the least 9 d - n.
+    are linked to the text of the least 9 d - n. Of the pairs that meet only those are compared whose places there leave
+    them a chance: what two have in common is what they were seen to have and, at most, what follows the last of it.
     """
     pivots = rows.groupBy("key").agg(F.min("node").alias("pivot"))
     pairs = written(rows.join(written(pivots, "pivots"), "key").select("pivot", "node", "part").distinct(), "pivot-pairs")
@@ -229,34 +231,38 @@ def _pivoted(rows: DataFrame, texts: DataFrame) -> DataFrame:
     sets = written(sets.select("node", _sets("text").alias("set")), "sets")
     apart = pairs.join(sets.select(F.col("node").alias("pivot"), F.col("set").alias("x")), "pivot").join(sets.withColumnRenamed("set", "y"), "node")
     apart = apart.withColumn("own", F.concat(F.array_except("x", "y"), F.array_except("y", "x"))).withColumn("score", OF_BOTH * F.size("own") - F.size("y"))
-    apart = written(apart.select("pivot", "node", "part", "own", "score"), "apart-sets")
+    # i, a small number for the two, is what pairs are made of
+    apart = written(apart.select("pivot", "node", "part", "own", "score", F.monotonically_increasing_id().alias("i")), "apart-sets")
     # the pivot itself is among its texts, with nothing to set it apart
     best = written(apart.groupBy("pivot").agg(F.min_by("node", F.struct("score", "node")).alias("best"), F.min("score").alias("least")), "nearest")
     scored = apart.join(best, "pivot")
     sure = scored.where((F.col("score") + F.col("least") <= 0) & (F.col("node") != F.col("best"))).select(F.col("best").alias("a"), F.col("node").alias("b"))
-    entries = apart.select("pivot", "node", F.explode("own").alias("key"))
+    entries = apart.select("pivot", "i", F.explode("own").alias("key"))
     often = written(entries.groupBy("pivot", "key").agg(F.count("*").alias("often")).where("often > 1"), "often")
     # a set's shingles that no other set has come first and need no entry
-    ranked = entries.join(often, ["pivot", "key"]).groupBy("pivot", "node").agg(F.array_sort(F.collect_list(F.struct("often", "key"))).alias("shared"))
-    least = F.greatest(F.lit(1), F.ceil((F.col("score") + F.col("least")) / (2 * OF_BOTH)))
-    looked = F.size("own") - least + 1 - (F.size("own") - F.size("shared"))
-    first = scored.join(ranked, ["pivot", "node"]).where(looked > 0).select("pivot", "node", "part", "score", F.size("own").alias("d"), F.explode(F.slice("shared", 1, looked.cast("int"))).alias("x"))
-    first = written(first.select("pivot", "node", "part", "score", "d", F.col("x.key").alias("key")), "apart-firsts")
+    ranked = entries.join(often, ["pivot", "key"]).groupBy("i").agg(F.array_sort(F.collect_list(F.struct("often", "key"))).alias("shared"))
+    looked = F.size("shared") - F.greatest(F.lit(1), F.ceil((F.col("score") + F.col("least")) / (2 * OF_BOTH))) + 1
+    first = scored.join(ranked, "i").where(looked > 0)
+    first = first.select("pivot", "i", "part", "score", F.size("own").alias("d"), F.size("shared").alias("s"), F.posexplode(F.slice("shared", 1, looked.cast("int"))).alias("at", "x"))
+    first = written(first.select("pivot", "i", "part", "score", "d", "s", "at", F.col("x.key").alias("key")), "apart-firsts")
     other = first.select(*[F.col(c).alias(f"{c}_r") for c in first.columns])
-    on = (F.col("pivot") == F.col("pivot_r")) & (F.col("key") == F.col("key_r")) & (F.col("node") < F.col("node_r")) & (F.col("part") != F.col("part_r")) & (F.col("score") + F.col("score_r") > 0)
-    # what two have in common is no more than the smaller has
-    on &= 2 * OF_BOTH * F.least("d", "d_r") >= F.col("score") + F.col("score_r")
+    on = (F.col("pivot") == F.col("pivot_r")) & (F.col("key") == F.col("key_r")) & (F.col("i") < F.col("i_r")) & (F.col("part") != F.col("part_r")) & (F.col("score") + F.col("score_r") > 0)
+    needed = F.ceil((F.col("score") + F.col("score_r")) / (2 * OF_BOTH))
+    before, after = F.least("at", "at_r"), F.least(F.col("s") - F.col("at"), F.col("s_r") - F.col("at_r")) - 1
+    on &= before + 1 + after >= needed
     # the smaller one is carried to the larger one
     smaller = F.col("d") <= F.col("d_r")
-    ends = F.when(smaller, F.col("node")).otherwise(F.col("node_r")).alias("a"), F.when(smaller, F.col("node_r")).otherwise(F.col("node")).alias("b")
-    met_there = written(first.join(other, on).select("pivot", *ends).distinct(), "pivot-met")
-    left = apart.select("pivot", F.col("node").alias("a"), F.col("own").alias("x"), F.col("score").alias("s"))
-    right = apart.select("pivot", F.col("node").alias("b"), F.col("own").alias("y"), F.col("score").alias("t"))
+    ends = F.when(smaller, F.col("i")).otherwise(F.col("i_r")).alias("a"), F.when(smaller, F.col("i_r")).otherwise(F.col("i")).alias("b")
+    seen = first.join(other, on).select(*ends, (after - needed).alias("rest")).groupBy("a", "b").agg(F.count("*").alias("k"), F.min("rest").alias("rest"))
+    met_there = written(seen.where(F.col("k") + F.col("rest") >= 0).select("a", "b"), "pivot-met")
+    left = apart.select(F.col("i").alias("a"), F.col("own").alias("x"), F.col("score").alias("s"))
+    right = apart.select(F.col("i").alias("b"), F.col("own").alias("y"), F.col("score").alias("t"))
     both = 2 * OF_BOTH * F.size(F.array_intersect("x", "y"))
     discard(sets, first)
     found = _written_pairs(_joined(met_there, left, right), both >= F.col("s") + F.col("t"))
-    links = written(sure.unionByName(found).distinct(), "pivot-links")
-    discard(pairs, met, apart, met_there, found)
+    named = found.join(apart.select(F.col("i").alias("a"), F.col("node").alias("node_a")), "a").join(apart.select(F.col("i").alias("b"), F.col("node").alias("node_b")), "b")
+    links = written(sure.unionByName(named.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))).distinct(), "pivot-links")
+    discard(pairs, met, apart, best, often, met_there, found)
     return links
 
 
