@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 import weakref
 from collections import Counter
 
@@ -128,3 +129,33 @@ def test_words_that_are_counted_are_let_go(monkeypatch):
     for r in rows:
         found[r["lang"], r["phrase"], r["k"]] += r["n"]
     assert found["en", "one two", 2] == 10 and found["de", "eins zwei", 2] == 5 and found["en", "", 0] == 25
+
+
+def test_looking_up_takes_little_memory():
+    """What is active among 1.5 million places is found in a few MB besides the places, and is the same as all at once."""
+    rng = np.random.default_rng(3)
+    words = rng.integers(1, 2**64, 1_500_000, dtype=np.uint64)
+    tables = [rng.integers(0, 2**64, 1 << 12, dtype=np.uint64) for _ in range(2)]
+    at = np.arange(len(words) - 1)
+    both = lambda table: collocations._set(table, words[at]) & collocations._set(table, words[at + 1])
+    want = both(tables[1]) & ~both(tables[0])
+    tracemalloc.start()
+    got = collocations._active(tables, words, at)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got, want) and 0 < got.sum() < len(got)
+    assert peak < 20e6
+
+
+def test_texts_come_in_small_batches(spark, monkeypatch):
+    """While texts are read few rows go to Python at once; then the session's setting holds again."""
+    name, seen, real = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, collocations.written
+    before = spark.conf.get(name)
+
+    def watched(df, table):
+        seen[table] = int(spark.conf.get(name))
+        return real(df, table)
+
+    monkeypatch.setattr(collocations, "written", watched)
+    assert phrase_counts(spark.createDataFrame(spoken(random.Random(4))[:20], SCHEMA), table_bits=12, shards=1).count()
+    assert set(seen) == {"words", "phrases-counted", "phrases"} and max(seen.values()) <= 500 and spark.conf.get(name) == before

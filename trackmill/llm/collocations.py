@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackmill.llm.common import discard, written
+from trackmill.llm.common import discard, small_batches, written
 
 #: Occurrences of a phrase at least, words of the longest one, phrases reported per language.
 LEAST, LONGEST, TOP = 10, 3, 2000
@@ -33,6 +33,8 @@ SHARDS = 3
 TABLE_BITS = 26
 #: Words that a task holds before it hands its counts on, different words that it knows; bytes that it splits at once.
 MOST_HELD, MOST_KNOWN, PIECE_BYTES = 1_500_000, 200_000, 1 << 20
+#: Texts that a task gets at once, and places that it looks up at once.
+BATCH_TEXTS, LOOKED_UP = 500, 1 << 17
 #: Parts that the phrases of a language are ranked in first.
 PARTS = 64
 
@@ -169,9 +171,13 @@ def _active(tables: list[np.ndarray], shorter: np.ndarray, at: np.ndarray) -> np
 
     A second table, if any, is that of the shard's last turn: what was active then has been counted in this shard.
     """
-    first, second = shorter[at], shorter[at + 1]
-    out = _set(tables[-1], first) & _set(tables[-1], second)
-    return out & ~(_set(tables[0], first) & _set(tables[0], second)) if len(tables) > 1 else out
+    out = np.zeros(len(at), dtype=bool)
+    for i in range(0, len(at), LOOKED_UP):  # what a look-up takes is several times the places
+        own = at[i : i + LOOKED_UP]
+        first, second = shorter[own], shorter[own + 1]
+        found = _set(tables[-1], first) & _set(tables[-1], second)
+        out[i : i + LOOKED_UP] = found & ~(_set(tables[0], first) & _set(tables[0], second)) if len(tables) > 1 else found
+    return out
 
 
 def _places(words: np.ndarray, k: int) -> np.ndarray:
@@ -301,13 +307,15 @@ def frequent_bits(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
         idle = 0
         turns.append((shard, used[shard] is None))
         if used[shard] is None:
-            encoded.append(written(_encoded(docs.where(own == shard), most), "words"))
+            with small_batches(docs.sparkSession, BATCH_TEXTS):
+                encoded.append(written(_encoded(docs.where(own == shard), most), "words"))
         sent = _sent(docs, used[shard], table)
         rows = _hashed_counts(encoded[shard], sent, longest, most).withColumn("since", F.lit(step))
         used[shard] = table
         # first seen so many steps ago, a phrase has been counted in every shard
         rows = rows if state is None else rows.unionByName(state.where(F.col("since") > step - shards))
-        counted = written(rows.groupBy("h").agg(F.sum("n").alias("n"), F.min("since").alias("since")), "phrases-counted")
+        with small_batches(docs.sparkSession, BATCH_TEXTS):
+            counted = written(rows.groupBy("h").agg(F.sum("n").alias("n"), F.min("since").alias("since")), "phrases-counted")
         sent.destroy()
         if state is not None:
             discard(state)
@@ -324,8 +332,9 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     texts = _texts(docs, lang_col, text_col)
     table, _ = frequent_bits(texts, least, longest, shards, table_bits, most)
     sent = _sent(texts, table)
-    # spelled out, words take several times the memory of their hashes
-    found = written(_exact_counts(texts, sent, longest, most // 4).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+    with small_batches(docs.sparkSession, BATCH_TEXTS):
+        # spelled out, words take several times the memory of their hashes
+        found = written(_exact_counts(texts, sent, longest, most // 4).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
     sent.destroy()
     return found
 
