@@ -132,3 +132,46 @@ def test_few_pairs_of_a_crowd_are_compared(spark, monkeypatch):
     got = sorted(((r.doc_id, r.component_id) for r in similar_copies(spark.createDataFrame(every, SCHEMA)).collect()), key=str)
     assert got == by_hand(every)
     assert compared and all(pairs < 3 * texts for pairs, texts in compared)
+
+
+def rows_met(spark, since):
+    """Rows made by the join of a crowd's shingles, of executions after since."""
+    store, out = spark._jsparkSession.sharedState().statusStore(), 0
+    executions = store.executionsList()
+    for i in range(executions.size()):
+        number = executions.apply(i).executionId()
+        if number <= since:
+            continue
+        nodes, counts = store.planGraph(number).allNodes(), store.executionMetrics(number)
+        for node in map(nodes.apply, range(nodes.size())):
+            if "Join" in node.name() and "pivot_r" in node.desc():
+                found = [counts.get(m.accumulatorId()) for m in map(node.metrics().apply, range(node.metrics().size())) if m.name() == "number of output rows"]
+                out += sum(int(x.get().replace(",", "")) for x in found if x.isDefined())
+    return out
+
+
+def latest(spark):
+    spark.range(1).collect()
+    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return max(executions.apply(i).executionId() for i in range(executions.size()))
+
+
+def test_rows_met_in_a_crowd_grow_with_its_texts(spark):
+    """Near copies with edits of a small pool: twice the texts don't meet four times as often."""
+    made = {}
+    for n in (150, 300):
+        rng = random.Random(23)
+        words = sentence(rng, 120).split()
+        crowd = []
+        for i in range(n):
+            text = list(words)
+            for at in rng.sample(range(0, 120, 6), rng.randint(1, 6)):
+                text[at] = f"pool{at}" if rng.random() < 0.5 else f"own{i}at{at}"
+            crowd.append(" ".join(text))
+        every = [(i, t, "en", "s", len(t)) for i, t in enumerate(dict.fromkeys(crowd))]
+        since = latest(spark)
+        got = sorted(((r.doc_id, r.component_id) for r in similar_copies(spark.createDataFrame(every, SCHEMA)).collect()), key=str)
+        made[n] = rows_met(spark, since)
+        assert got == by_hand(every)
+        assert 1 < len({c for _, c in got}) < len(got) - 20
+    assert made[300] < 3 * made[150] + 300 and made[300] < 20 * 300, made

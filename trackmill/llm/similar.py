@@ -10,7 +10,7 @@ whole sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -213,18 +213,33 @@ def _apart(rows: DataFrame, links: DataFrame) -> DataFrame:
     return found
 
 
+def _chance(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+    """Whether two of apart-firsts of one key can be similar if that is the first shingle they share.
+
+    What they share is then this one and, at most, what follows it; of similar ones the first shared one says so.
+    """
+    needed = F.ceil((x("score") + y("score")) / (2 * OF_BOTH))
+    open_yet = (x("part") != y("part")) & (x("hub") != y("hub")) & (x("score") + y("score") > 0)
+    return open_yet & (F.least(x("s") - x("at"), y("s") - y("at")) >= needed)
+
+
 def _pivoted(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): links among the texts that rows(key, node, part) has under one key, where those are very many.
-
-    Such texts have most in common, so a shingle tells nothing; what sets each apart from the key's least text, the
-    pivot, does. With d shingles set apart, of n in all, two texts are similar if and only if d + d' less twice what
-    the two have in common of these is at most (n + n') / 9. So they are joined on these, the rarest first, and only as
-    many as leave too few for the rest; with 9 d - n of at most 0 together they are similar at any rate, and all such
-    are linked to the text of the least 9 d - n. Of the pairs that meet only those are compared whose places there leave
-    them a chance: what two have in common is what they were seen to have and, at most, what follows the last of it.
+    """(a, b): links that connect the similar ones of the texts that rows(key, node, part) has under one key, where those are very many.
+
+    Such texts have most in common, so a shingle tells nothing; what sets each apart from the key's pivot, the text that
+    has the most such keys for its size, does. With d shingles set apart, of n in all, two texts are similar if and only
+    if d + d' less twice what the two have in common of these is at most (n + n') / 9. So they are joined on these, the
+    rarest first, and only as many as leave too few for the rest; with 9 d - n of at most 0 together they are similar at
+    any rate, and all such are linked to the text of the least 9 d - n. Two texts meet only under shingles that can be
+    the first they share, and are compared only if what they were seen to have in common and what follows the last of it
+    suffices.
+
+    The texts under a shingle are first compared with the one of least 9 d - n alone. Each text's hub is the part of the
+    least text it was linked to, so texts of one hub are connected and don't meet again.
     """
-    pivots = rows.groupBy("key").agg(F.min("node").alias("pivot"))
-    pairs = written(rows.join(written(pivots, "pivots"), "key").select("pivot", "node", "part").distinct(), "pivot-pairs")
+    central = rows.groupBy("node").agg((F.count("*") / F.max("n")).alias("keys"))
+    pivots = written(rows.join(central, "node").groupBy("key").agg(F.max_by("node", F.struct("keys", "node")).alias("pivot")), "pivots")
+    pairs = written(rows.join(pivots, "key").select("pivot", "node", "part").distinct(), "pivot-pairs")
     met = written(pairs.select(F.explode(F.array("pivot", "node")).alias("met")).distinct(), "met")
     side = F.broadcast(met) if met.count() <= MOST_BROADCAST else met
     sets = texts.join(side, F.col("node") == F.col("met"), "left_semi").dropDuplicates(["node"])
@@ -234,35 +249,55 @@ def _pivoted(rows: DataFrame, texts: DataFrame) -> DataFrame:
     # i, a small number for the two, is what pairs are made of
     apart = written(apart.select("pivot", "node", "part", "own", "score", F.monotonically_increasing_id().alias("i")), "apart-sets")
     # the pivot itself is among its texts, with nothing to set it apart
-    best = written(apart.groupBy("pivot").agg(F.min_by("node", F.struct("score", "node")).alias("best"), F.min("score").alias("least")), "nearest")
-    scored = apart.join(best, "pivot")
-    sure = scored.where((F.col("score") + F.col("least") <= 0) & (F.col("node") != F.col("best"))).select(F.col("best").alias("a"), F.col("node").alias("b"))
+    best = apart.groupBy("pivot").agg(F.min_by(F.struct("node", "part"), F.struct("score", "node")).alias("best"), F.min("score").alias("least"))
+    best = written(best.select("pivot", F.col("best.node").alias("best"), F.col("best.part").alias("best_part"), "least"), "nearest")
+    is_sure = F.col("score") + F.col("least") <= 0
+    scored = apart.join(best, "pivot").withColumn("hub", F.when(is_sure, F.col("best_part")).otherwise(F.col("part")))
+    sure = scored.where(is_sure & (F.col("node") != F.col("best"))).select(F.col("best").alias("a"), F.col("node").alias("b"))
     entries = apart.select("pivot", "i", F.explode("own").alias("key"))
     often = written(entries.groupBy("pivot", "key").agg(F.count("*").alias("often")).where("often > 1"), "often")
     # a set's shingles that no other set has come first and need no entry
     ranked = entries.join(often, ["pivot", "key"]).groupBy("i").agg(F.array_sort(F.collect_list(F.struct("often", "key"))).alias("shared"))
     looked = F.size("shared") - F.greatest(F.lit(1), F.ceil((F.col("score") + F.col("least")) / (2 * OF_BOTH))) + 1
     first = scored.join(ranked, "i").where(looked > 0)
-    first = first.select("pivot", "i", "part", "score", F.size("own").alias("d"), F.size("shared").alias("s"), F.posexplode(F.slice("shared", 1, looked.cast("int"))).alias("at", "x"))
-    first = written(first.select("pivot", "i", "part", "score", "d", "s", "at", F.col("x.key").alias("key")), "apart-firsts")
-    other = first.select(*[F.col(c).alias(f"{c}_r") for c in first.columns])
-    on = (F.col("pivot") == F.col("pivot_r")) & (F.col("key") == F.col("key_r")) & (F.col("i") < F.col("i_r")) & (F.col("part") != F.col("part_r")) & (F.col("score") + F.col("score_r") > 0)
-    needed = F.ceil((F.col("score") + F.col("score_r")) / (2 * OF_BOTH))
-    before, after = F.least("at", "at_r"), F.least(F.col("s") - F.col("at"), F.col("s_r") - F.col("at_r")) - 1
-    on &= before + 1 + after >= needed
+    first = first.select("pivot", "i", "part", "hub", is_sure.alias("sure"), "score", F.size("own").alias("d"), F.size("shared").alias("s"), F.posexplode(F.slice("shared", 1, looked.cast("int"))).alias("at", "x"))
+    first = written(first.select("pivot", "i", "part", "hub", "sure", "score", "d", "s", "at", F.col("x.key").alias("key")), "apart-firsts")
+    looks = apart.select("i", "node", "part", "score")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """The similar ones of pairs(a, b), as the rows l and r of looks, l being of lesser score."""
+        left = apart.select(F.col("i").alias("a"), F.col("own").alias("x"), F.col("score").alias("s"))
+        right = apart.select(F.col("i").alias("b"), F.col("own").alias("y"), F.col("score").alias("t"))
+        both = 2 * OF_BOTH * F.size(F.array_intersect("x", "y"))
+        found = _written_pairs(_joined(pairs, left, right), both >= F.col("s") + F.col("t"))
+        ends = [looks.select(F.col("i").alias(end), F.struct("score", "i", "node", "part").alias(f"end_{end}")) for end in ("a", "b")]
+        named = written(found.join(ends[0], "a").join(ends[1], "b").select(F.least("end_a", "end_b").alias("l"), F.greatest("end_a", "end_b").alias("r")), "pivot-similar")
+        discard(found)
+        return named
+
     # the smaller one is carried to the larger one
-    smaller = F.col("d") <= F.col("d_r")
-    ends = F.when(smaller, F.col("i")).otherwise(F.col("i_r")).alias("a"), F.when(smaller, F.col("i_r")).otherwise(F.col("i")).alias("b")
-    seen = first.join(other, on).select(*ends, (after - needed).alias("rest")).groupBy("a", "b").agg(F.count("*").alias("k"), F.min("rest").alias("rest"))
+    def carried(x: Callable[[str], Column], y: Callable[[str], Column]) -> tuple[Column, Column]:
+        smaller = x("d") <= y("d")
+        return F.when(smaller, x("i")).otherwise(y("i")).alias("a"), F.when(smaller, y("i")).otherwise(x("i")).alias("b")
+
+    lead, own, other = (lambda c: F.col(f"lead.{c}")), F.col, (lambda c: F.col(f"{c}_r"))
+    leaders = first.groupBy("pivot", "key").agg(F.min_by(F.struct("i", "part", "hub", "score", "d", "s", "at"), F.struct("score", "i")).alias("lead"))
+    leaders = written(leaders, "apart-leaders")
+    star_met = written(first.join(leaders, ["pivot", "key"]).where(_chance(own, lead)).select(*carried(own, lead)).distinct(), "star-met")
+    stars = compared(star_met)
+    hubs = written(stars.groupBy(F.col("r.i").alias("i")).agg(F.min("l").alias("l")).select("i", F.col("l.part").alias("star")), "hubs")
+    open_yet = first.join(hubs, "i", "left").withColumn("hub", F.when(F.col("sure"), F.col("hub")).otherwise(F.coalesce("star", "hub"))).drop("star", "sure")
+    on = (F.col("pivot") == F.col("pivot_r")) & (F.col("key") == F.col("key_r")) & (F.col("i") < F.col("i_r")) & _chance(own, other)
+    after = F.least(own("s") - own("at"), other("s") - other("at")) - 1
+    rest = after - F.ceil((own("score") + other("score")) / (2 * OF_BOTH))
+    seen = open_yet.join(open_yet.select(*[F.col(c).alias(f"{c}_r") for c in open_yet.columns]), on)
+    seen = seen.select(*carried(own, other), rest.alias("rest")).groupBy("a", "b").agg(F.count("*").alias("k"), F.min("rest").alias("rest"))
     met_there = written(seen.where(F.col("k") + F.col("rest") >= 0).select("a", "b"), "pivot-met")
-    left = apart.select(F.col("i").alias("a"), F.col("own").alias("x"), F.col("score").alias("s"))
-    right = apart.select(F.col("i").alias("b"), F.col("own").alias("y"), F.col("score").alias("t"))
-    both = 2 * OF_BOTH * F.size(F.array_intersect("x", "y"))
-    discard(sets, first)
-    found = _written_pairs(_joined(met_there, left, right), both >= F.col("s") + F.col("t"))
-    named = found.join(apart.select(F.col("i").alias("a"), F.col("node").alias("node_a")), "a").join(apart.select(F.col("i").alias("b"), F.col("node").alias("node_b")), "b")
-    links = written(sure.unionByName(named.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))).distinct(), "pivot-links")
-    discard(pairs, met, apart, best, often, met_there, found)
+    discard(sets, first, hubs, leaders)
+    found = compared(met_there)
+    links = sure.unionByName(stars.unionByName(found).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")))
+    links = written(links.distinct(), "pivot-links")
+    discard(pivots, pairs, met, apart, best, often, star_met, stars, met_there, found)
     return links
 
 
