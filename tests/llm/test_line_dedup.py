@@ -180,3 +180,13 @@ def test_stages_compile(spark):
         assert repeated_lines(docs).count() > 0
     finally:
         spark.conf.unset("spark.sql.codegen.fallback")
+
+
+def test_only_lines_with_white_space_at_their_ends_are_trimmed(spark):
+    """Each character at either end, alone or mixed; other white space stays. Lines without any aren't gone through."""
+    odd = ["", " ", "a", " a", "a\t", "\x0b\x0ca b\r", "\r\r", " a ", "ä ", " 　 ", "a\tb"]
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(odd)], "doc_id long, text string")
+    got = {r.id: r.line for r in line_dedup.lines(frame).collect()}
+    assert got == {i: x.strip(" \t\n\x0b\x0c\r") for i, x in enumerate(odd) if x.strip(" \t\n\x0b\x0c\r")}
+    plan = line_dedup.lines(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert "trim(" in plan and all(" THEN trim(" in part for part in re.findall(r".{0,6}trim\(", plan))

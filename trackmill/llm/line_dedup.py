@@ -12,6 +12,8 @@ ones only stay.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ BANDS = ((8, 1), (20, 2))
 HEAVY = 1000
 #: A line that isn't blank.
 NOT_BLANK = r"[^\n]*[^\x20\x09-\x0D\n][^\n]*"
+#: What lines are trimmed of.
+SPACES = " \t\n\x0b\f\r"
 #: Letters that signatures count.
 LETTERS = "eantirosdhlucmgpbfvw"
 #: Line numbers or keys (8 bytes each) that are broadcast at most; more of them take a shuffle.
@@ -43,6 +47,12 @@ def digits(line: Column) -> Column:
     return F.when(F.rlike(line, F.lit(r"\p{Nd}")), F.regexp_replace(line, r"\P{Nd}+", "")).otherwise(F.lit(""))
 
 
+def trimmed(line: Column) -> Column:
+    """A line of a text without white space at its ends. Spark's trim of given characters goes through whole strings, so only lines that need it take it."""
+    ends = reduce(or_, [f(line, F.lit(c)) for c in SPACES for f in (F.startswith, F.endswith)])
+    return F.when(ends, F.btrim(line, F.lit(SPACES))).otherwise(line)
+
+
 def _text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
@@ -51,7 +61,7 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """(id, t, at, line): the lines of docs, trimmed, with their numbers from 0 in the text t; blank lines are left out."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     split = docs.select(F.col(id_col).alias("id"), _text_key(text).alias("t"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-    return split.withColumn("line", F.btrim("line", F.lit(" \t\n\x0b\f\r"))).where("line != ''")
+    return split.withColumn("line", trimmed(F.col("line"))).where("line != ''")
 
 
 def _lookups(bands: Sequence[tuple[int, int]]) -> list[tuple[int, int, int, int, int, int]]:
