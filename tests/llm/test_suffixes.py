@@ -62,6 +62,26 @@ def test_repeats(spark, monkeypatch, length, trigger):
     assert sum(w[2] for w in want) > 3000 and max(w[3] for w in want) > 1
 
 
+def test_slices(spark, monkeypatch):
+    """Large inputs go slice by slice: a step has a part of the rows at a time, and all is found that one slice finds."""
+    rows, most, real = repetitive(random.Random(11)), [], suffixes.written
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+
+    def told(df, name, *codec):
+        out = real(df, name, *codec)
+        most[-1][name] = max(most[-1].get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(suffixes, "written", told)
+    for size in (10**9, 1):
+        monkeypatch.setattr(suffixes, "SLICE", size, raising=False)
+        most.append({})
+        got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(docs).collect()), key=str)
+        assert got == by_hand(rows, 50)
+    for name in ("cores-shared", "runs-mixed", "runs", "parts", "windows", "inside", "spans"):
+        assert 0 < most[1][name] < 0.7 * most[0][name]
+
+
 def test_long_texts_in_blocks(spark, monkeypatch):
     rng = random.Random(4)
     long = "".join(rng.choice("abcdefgh ") for _ in range(40_000))

@@ -11,13 +11,16 @@ shuffles by the suffixes' beginnings, which put equal ones together; no order of
 run in parallel go as one: those around an anchor, then those of an eighth of the length, are told apart singly only
 where different strings hold them. In the end documents take from the parse what each phrase, and each suffix in it,
 says of earlier documents.
+
+On large inputs the steps go by slices, one after the other, so that the disk holds a part of their shuffles at a time:
+what depends on anchors by their hashes, what depends on texts by their ids.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +37,14 @@ LENGTH, TRIGGER, ANCHOR = 50, 4, 20
 TOGETHER = 8
 #: Numbers (of 8 to 24 bytes) that are broadcast at most; more of them take a shuffle.
 MOST_BROADCAST = 2_000_000
+#: Slices at most, and the phrases of the parse that make one.
+SLICES, SLICE = 4, 8_000_000
 #: Windows that are hashed at once: memory for a text of any length.
 BLOCK = 1 << 18
 #: Constants of the rolling hash (odd) and of its finisher.
 BASE, FINISH = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+#: The bits of an anchor's hash that are kept; the others are zero, which compresses.
+KEPT = np.uint64(0xFFFF_FFFF_FFFF_0000)
 
 
 @lru_cache(maxsize=4)
@@ -105,7 +112,7 @@ def parsed(data: bytes, length: int = LENGTH, trigger: int = TRIGGER, width: int
         runs = np.concatenate([[0], runs[runs > 0]])
     begin = starts[runs]
     end = np.append(begin[1:] + length - 1, len(data)) if len(begin) else begin
-    return starts, cores.view(np.int64), places, begin, end, runs
+    return starts, (cores & KEPT).view(np.int64), places, begin, end, runs
 
 
 def names(data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -121,21 +128,22 @@ def phrases(data: bytes, length: int = LENGTH, trigger: int = TRIGGER) -> list[n
     return [begin, end - begin, found[:, 0], found[:, 1], np.diff(np.append(runs, len(starts))), cores]
 
 
-def chosen_runs(data: bytes, wanted: list[dict], length: int = LENGTH, trigger: int = TRIGGER) -> Iterator[tuple]:
-    """The runs of the wanted phrases (start, cores) of a text, as far as their anchors' hashes are among the cores.
+def chosen_runs(data: bytes, wanted: np.ndarray, cores: np.ndarray, length: int = LENGTH, trigger: int = TRIGGER) -> tuple:
+    """The runs of a text's wanted phrases, given by their starts, as far as their anchors' hashes are among the cores.
 
-    A run is (number of the phrase in wanted, first window in the phrase, anchor's place in the run, hash, string).
+    Of each run: number of the phrase in wanted, first window in the phrase, anchor's place in the run, hash, string.
     """
-    starts, cores, places, begin, _, runs = parsed(data, length, trigger)
+    starts, own, places, begin, _, runs = parsed(data, length, trigger)
     stop = np.append(starts[1:], len(data) - length + 1)
-    ends = np.append(runs[1:], len(starts))
-    for number, p in enumerate(wanted):
-        k = int(np.searchsorted(begin, p["start"]))
-        own = set(p["cores"])
-        for r in range(runs[k], ends[k]):
-            if (core := int(cores[r])) in own:
-                a = int(starts[r])
-                yield number, a - p["start"], int(places[r]) - a, core, data[a : int(stop[r]) - 1 + length]
+    k = np.searchsorted(begin, wanted)
+    n = np.append(runs[1:], len(starts))[k] - runs[k]
+    number = np.repeat(np.arange(len(wanted)), n)
+    at = np.arange(len(number)) + np.repeat(runs[k] - (np.cumsum(n) - n), n)
+    known = np.append(np.sort(cores), np.iinfo(np.int64).max)  # no core is that number
+    keep = known[np.searchsorted(known, own[at])] == own[at]
+    number, at = number[keep], at[keep]
+    strings = [data[a:b] for a, b in zip(starts[at].tolist(), (stop[at] - 1 + length).tolist(), strict=True)]
+    return number, starts[at] - wanted[number], places[at] - starts[at], own[at], strings
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -183,16 +191,18 @@ def _parse(length: int, trigger: int):
 
 
 def _runs(length: int, trigger: int):
-    """The runs of the phrases that are given with a text."""
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    """The runs of the phrases that are given with a text, by their starts, around the cores that are given with these."""
 
     @F.arrow_udf(_RUNS)
     def runs(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, wanted in parts:
-            found = [list(chosen_runs(_data(x), w.as_py() or [], length, trigger)) for x, w in zip(texts, wanted, strict=True)]
-            columns = list(zip(*[r for own in found for r in own], strict=True)) or [()] * len(kinds)
-            rows = pa.StructArray.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], [f.name for f in _RUNS.elementType.fields])
-            yield pa.ListArray.from_arrays(_ends([len(x) for x in found]), rows)
+            starts, lists = wanted.values.field("start").to_numpy().astype(np.int64), wanted.values.field("cores")
+            cores, ends, of = lists.values.to_numpy(), lists.offsets.to_numpy(), wanted.offsets.to_numpy()
+            found = [chosen_runs(_data(x), starts[a:b], cores[ends[a] : ends[b]], length, trigger) for x, a, b in zip(texts, of[:-1].tolist(), of[1:].tolist(), strict=True)]
+            number, at, anchor, core = (np.concatenate([np.empty(0, np.int64), *x]) for x in list(zip(*found, strict=True))[:4] or [()] * 4)
+            columns = [*(pa.array(x, pa.int64()).cast(pa.int32()) for x in (number, at, anchor)), pa.array(core), pa.array([s for x in found for s in x[4]], pa.binary())]
+            rows = pa.StructArray.from_arrays(columns, [f.name for f in _RUNS.elementType.fields])
+            yield pa.ListArray.from_arrays(_ends([len(x[0]) for x in found]), rows)
 
     return runs
 
@@ -219,6 +229,11 @@ def _pairs(own: pa.ListScalar) -> np.ndarray:
     return np.stack([values.field("a").to_numpy(), values.field("b").to_numpy()], axis=1).astype(np.int64)
 
 
+def _slices(key: Column | str, n: int) -> list[Column]:
+    """Conditions that deal rows out to n slices by a key; their hash isn't the one that shuffles go by."""
+    return [F.pmod(F.xxhash64(key), F.lit(n)) == k for k in range(n)] if n > 1 else [F.lit(True)]
+
+
 def _earlier(a: Column | str, b: Column | str) -> Column:
     """Whether id a comes before id b; null ids come last and are level with one another."""
     a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
@@ -232,38 +247,60 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("t"), F.col(text_col).alias("text")).where(F.octet_length(F.col(text_col)) >= length)
     parse = texts.select("id", "t", F.explode(_parse(length, trigger)(F.col("text"))).alias("p")).select("id", "t", "p.*")
-    parse = written(parse, "parse")
-    anchors = parse.select("h1", F.explode("cores").alias("core"))
-    cores = anchors.groupBy("core").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
-    cores = written(cores.where("lo != hi").select("core"), "cores-shared")
-    mixed = anchors.join(few(cores, MOST_BROADCAST), "core", "left_semi").distinct()
-    mixed = written(mixed.groupBy("h1").agg(F.collect_list("core").alias("cores")), "phrases-mixed")
-    wide, parse = parse, written(parse.drop("cores"), "parse-narrow")
-    discard(wide, cores)
-    inside = _inside(_mixed_runs(texts, parse, mixed, length, trigger), length)
+    parse = written(parse, "parse", "zstd")
+    n = min(SLICES, 1 + parse.count() // SLICE)
+    mixed = _mixed_phrases(parse, n)
+    wide, parse = parse, written(parse.drop("cores"), "parse-narrow", "zstd")
+    discard(wide)
+    rows = _mixed_runs(texts, parse, mixed, length, trigger, n)
+    discard(mixed)
+    inside = [_inside(reduce(DataFrame.unionByName, rows).where(own), length) for own in _slices("core", n)]
+    discard(*rows)
     several = parse.groupBy("h1", "h2").agg(*_ids("id")).where(SEVERAL).select("h1", "h2", F.col("first").alias("low"))
-    known = written(several.join(inside, ["h1", "h2"], "full"), "known")
+    ranges = reduce(DataFrame.unionByName, inside).groupBy("h1", "h2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    known = written(several.join(ranges, ["h1", "h2"], "full"), "known", "zstd")
+    discard(*inside)
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b")))
     parts = F.transform("ranges", lambda r: F.struct((F.col("start") + r["at"]).alias("a"), (F.col("start") + r["at"] + r["n"] - 1 + length).alias("b")))
-    found = parse.join(known, ["h1", "h2"]).select("id", "t", F.when(_earlier("low", "id"), whole).otherwise(parts).alias("spans")).where("spans IS NOT NULL")
-    found = written(found.groupBy("id", "t").agg(F.flatten(F.collect_list("spans")).cast(_SPANS).alias("spans")), "spans")
-    discard(mixed, parse, inside, known)
-    return found
-
-
-def _mixed_runs(texts: DataFrame, parse: DataFrame, mixed: DataFrame, length: int, trigger: int) -> DataFrame:
-    """(h1, h2, id, at, anchor, core, s): the runs around shared anchors of each different phrase, with its first id."""
+    out = []
+    for own in _slices("id", n):
+        found = parse.where(own).join(known, ["h1", "h2"]).select("id", "t", F.when(_earlier("low", "id"), whole).otherwise(parts).alias("spans")).where("spans IS NOT NULL")
+        out.append(written(found.groupBy("id", "t").agg(F.flatten(F.collect_list("spans")).cast(_SPANS).alias("spans")), "spans"))
+    discard(parse, known)
+    return reduce(DataFrame.unionByName, out)
+
+
+def _mixed_phrases(parse: DataFrame, n: int) -> DataFrame:
+    """(h1, cores): of each phrase the anchors that other phrases hold too, found in n slices of anchors."""
+    anchors, out = parse.select("h1", F.explode("cores").alias("core")), []
+    for own in _slices("core", n):
+        cores = anchors.where(own).groupBy("core").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
+        cores = written(cores.where("lo != hi").select("core"), "cores-shared")
+        out.append(written(anchors.where(own).join(few(cores, MOST_BROADCAST), "core", "left_semi").distinct(), "anchors-mixed"))
+        discard(cores)
+    mixed = written(reduce(DataFrame.unionByName, out).groupBy("h1").agg(F.collect_list("core").alias("cores")), "phrases-mixed")
+    discard(*out)
+    return mixed
+
+
+def _mixed_runs(texts: DataFrame, parse: DataFrame, mixed: DataFrame, length: int, trigger: int, n: int) -> list[DataFrame]:
+    """(h1, h2, id, at, anchor, core, s): the runs around shared anchors of each different phrase, with its first id.
+
+    A table for each of n slices of texts.
+    """
     wanted = parse.join(mixed.select("h1"), "h1", "left_semi").groupBy("h1", "h2").agg(F.min("id").alias("low"), F.min(F.struct("t", "start", "id")).alias("host"))
     wanted = written(wanted.select("h1", "h2", "low", "host.*"), "phrases-wanted")
     asked = wanted.join(mixed, "h1").groupBy(F.col("id").alias("host_id"), F.col("t").alias("host_t")).agg(F.collect_list(F.struct("start", "h1", "h2", "low", "cores")).alias("wanted"))
     asked = written(asked, "phrases-asked")
-    hosts = texts.join(asked, F.col("id").eqNullSafe(F.col("host_id")) & (F.col("t") == F.col("host_t")))
+    discard(wanted)
     needed = F.transform("wanted", lambda p: F.struct(p["start"].alias("start"), p["cores"].alias("cores")))
-    rows = hosts.select("wanted", F.explode(_runs(length, trigger)(F.col("text"), needed)).alias("r"))
-    phrase = F.get("wanted", F.col("r.number"))
-    rows = written(rows.select(phrase["h1"].alias("h1"), phrase["h2"].alias("h2"), phrase["low"].alias("id"), "r.at", "r.anchor", "r.core", "r.s"), "runs-mixed", "zstd")
-    discard(wanted, asked)
-    return rows
+    phrase, out = F.get("wanted", F.col("r.number")), []
+    for here, there in zip(_slices("id", n), _slices("host_id", n), strict=True):
+        hosts = texts.where(here).join(asked.where(there), F.col("id").eqNullSafe(F.col("host_id")) & (F.col("t") == F.col("host_t")))
+        rows = hosts.select("wanted", F.explode(_runs(length, trigger)(F.col("text"), needed)).alias("r"))
+        out.append(written(rows.select(phrase["h1"].alias("h1"), phrase["h2"].alias("h2"), phrase["low"].alias("id"), "r.at", "r.anchor", "r.core", "r.s"), "runs-mixed", "zstd"))
+    discard(asked)
+    return out
 
 
 def _ids(id_col: str) -> list[Column]:
@@ -298,12 +335,14 @@ def _inside(rows: DataFrame, length: int) -> DataFrame:
     told = told.agg(*_ids("low"), (F.min("y") != F.max("y")).alias("y"), (F.min("z") != F.max("z")).alias("z"))
     told = written(told.where(f"y OR z OR {SEVERAL}").select("common", "first", F.expr("y OR z").alias("mixed")), "parts-common")
     parts = written(cut.join(few(told, MOST_BROADCAST), "common").select("x", "low", "i", "n", F.when(F.col("mixed"), F.col("part")).alias("part"), "first"), "parts")
+    discard(several, told)
     single = parts.where("part IS NOT NULL").groupBy("part").agg(F.min("low").alias("low"))
     single = written(single.withColumn("i", F.explode(F.sequence(F.lit(0), F.octet_length("part") - length))).withColumn("w", F.substring(F.col("part"), F.col("i") + 1, F.lit(length))), "windows")
     # written, so that the join deals both sides anew and can split a window that very many parts share
     firsts = written(single.groupBy("w").agg(*_ids("low")).where(SEVERAL).select("w", "first"), "windows-first")
     ahead = single.join(firsts, "w").where(_earlier("first", "low")).groupBy("part").agg(F.collect_list("i").alias("ahead"))
     own = written(single.groupBy("part").agg(F.min("low").alias("first")).join(ahead, "part", "left"), "parts-first")
+    discard(single, firsts)
     whole = F.when(_earlier("first", "low"), F.array(F.struct("i", "n")))
     some = F.transform("ahead", lambda x: F.struct((F.col("i") + x).cast("int").alias("i"), F.lit(1).alias("n")))
     marks = parts.where("part IS NULL").select("x", whole.alias("marks"))
@@ -311,11 +350,12 @@ def _inside(rows: DataFrame, length: int) -> DataFrame:
     marks = marks.groupBy("x").agg(F.flatten(F.collect_list("marks")).alias("marks"))
     ahead = runs.select("x", "first", "last", "none").join(marks, "x", "left").where(f"marks IS NOT NULL OR {SEVERAL}").select("x", "first", "marks")
     ahead = written(ahead, "runs-first")
+    discard(runs, parts, own)
     whole = F.when(_earlier("first", "id"), F.array(F.struct("at", F.col("windows").alias("n"))))
     some = F.transform("marks", lambda m: F.struct((F.col("at") + m["i"]).alias("at"), m["n"].alias("n")))
     found = named.select("h1", "h2", "id", "at", "x", windows.alias("windows")).join(ahead, "x").select("h1", "h2", F.coalesce(whole, some).alias("ranges")).where("ranges IS NOT NULL")
     found = written(found.groupBy("h1", "h2").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "inside")
-    discard(rows, runs, told, parts, single, firsts, own, ahead)
+    discard(ahead)
     return found
 
 
